@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from basketry.functions.exprs import lookback, round_half_up, safe_ratio
 
-_ONE = F.lit(1)
 
 
 # ---- over the windowed revenue table -------------------------------------------
@@ -78,7 +77,7 @@ def window_series(revenue: DataFrame, value: str, interval: str, as_of=None,
 def active_windows(revenue: DataFrame, interval: str = "30 minutes", as_of=None) -> DataFrame:
     """Windows starting within the lookback."""
     return (revenue.where(lookback("window_start", interval, as_of, inclusive=True))
-                   .agg(F.count(_ONE).alias("active_windows")))
+                   .agg(F.count(F.lit(1)).alias("active_windows")))
 
 
 # ---- over the conversion funnel table ------------------------------------------
@@ -215,7 +214,7 @@ def orders_of(orders: DataFrame, column: str = "currency", value: str = "USD") -
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Q22 (U3): one row per table."""
-    parts = [df.agg(F.count(_ONE).alias("row_count")).select(
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -230,7 +229,7 @@ def tile(orders: DataFrame, alias: str, expr, where=None) -> DataFrame:
 
 
 def total_orders(orders):
-    return tile(orders, "total_orders", F.count(_ONE))
+    return tile(orders, "total_orders", F.count(F.lit(1)))
 
 
 def total_revenue(orders, currency="USD"):
@@ -251,7 +250,7 @@ def products_sold(orders):
 
 
 def orders_per_user(orders):
-    return orders.agg(safe_ratio(F.count(_ONE), F.count_distinct("user_id")).alias("orders_per_user"))
+    return orders.agg(safe_ratio(F.count(F.lit(1)), F.count_distinct("user_id")).alias("orders_per_user"))
 
 
 def revenue_per_user(orders):
@@ -260,7 +259,7 @@ def revenue_per_user(orders):
 
 def product_counts(orders: DataFrame, k: int = 10) -> DataFrame:
     """K09 (k=1), K12 input: orders per product, top k."""
-    return (orders.groupBy("product_id").agg(F.count(_ONE).alias("value"))
+    return (orders.groupBy("product_id").agg(F.count(F.lit(1)).alias("value"))
                   .orderBy(F.desc("value"), F.asc("product_id")).limit(k))
 
 
@@ -271,7 +270,7 @@ def product_stats(orders: DataFrame) -> DataFrame:
     product is spread over reducers before its final combine.
     """
     per = orders.groupBy("product_id", "user_id").agg(
-        F.count(_ONE).alias("_n"), F.sum("price").alias("_s"), F.count("price").alias("_np"))
+        F.count(F.lit(1)).alias("_n"), F.sum("price").alias("_s"), F.count("price").alias("_np"))
     return per.groupBy("product_id").agg(
         F.sum("_n").alias("order_count"),
         F.sum("_s").alias("total_revenue"),
@@ -286,7 +285,7 @@ def top_products(orders: DataFrame, k: int = 20) -> DataFrame:
 
 def top_products_by_revenue(orders: DataFrame, k: int = 20) -> DataFrame:
     """K19."""
-    g = orders.groupBy("product_id").agg(F.count(_ONE).alias("order_count"),
+    g = orders.groupBy("product_id").agg(F.count(F.lit(1)).alias("order_count"),
                                          F.sum("price").alias("total_revenue"),
                                          F.avg("price").alias("avg_price"))
     return g.orderBy(F.desc("total_revenue"), F.asc("product_id")).limit(k)
@@ -295,7 +294,7 @@ def top_products_by_revenue(orders: DataFrame, k: int = 20) -> DataFrame:
 def currency_summary(orders: DataFrame) -> DataFrame:
     """Count, sum, mean, min, max per currency."""
     return (orders.groupBy("currency").agg(
-                F.count(_ONE).alias("orders"),
+                F.count(F.lit(1)).alias("orders"),
                 F.sum("price").alias("revenue"),
                 F.avg("price").alias("avg_order_value"),
                 F.min("price").alias("min_price"),
@@ -305,7 +304,7 @@ def currency_summary(orders: DataFrame) -> DataFrame:
 
 def orders_by_currency(orders: DataFrame) -> DataFrame:
     """K17."""
-    return (orders.groupBy("currency").agg(F.count(_ONE).alias("value"))
+    return (orders.groupBy("currency").agg(F.count(F.lit(1)).alias("value"))
                   .orderBy(F.desc("value"), F.asc("currency")))
 
 
@@ -328,13 +327,13 @@ def count_since(orders: DataFrame, interval: str = "1 minute", as_of=None,
                 alias: str = "orders_last_minute") -> DataFrame:
     """K42."""
     return (orders.where(lookback("timestamp", interval, as_of, inclusive=True))
-                  .agg(F.count(_ONE).alias(alias)))
+                  .agg(F.count(F.lit(1)).alias(alias)))
 
 
 def processing_rate(orders: DataFrame, interval: str = "5 minutes", as_of=None) -> DataFrame:
     """Rows / (max - min seconds) inside the lookback; null for a zero span."""
     from basketry.functions.exprs import seconds_between
     return (orders.where(lookback("timestamp", interval, as_of, inclusive=True))
-                  .agg(safe_ratio(F.count(_ONE),
+                  .agg(safe_ratio(F.count(F.lit(1)),
                                   seconds_between(F.max("timestamp"), F.min("timestamp")))
                        .alias("avg_rate")))

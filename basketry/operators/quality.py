@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from basketry.functions.exprs import as_of_lit, band, lookback, safe_ratio, seconds_between
 
-_ONE = F.lit(1)
 
 # Processing-lag bands (seconds): the panel with the sensible direction
 # (>= 10 warning, >= 60 critical) is used for freshness too.
@@ -37,13 +36,13 @@ def freshness(orders: DataFrame, as_of=None, empty_value: float | None = 999.0,
 
 def null_timestamp_pct(orders: DataFrame) -> DataFrame:
     """Share of rows without an event time, in percent (null if empty)."""
-    return orders.agg((safe_ratio(F.count_if(F.col("timestamp").isNull()), F.count(_ONE))
+    return orders.agg((safe_ratio(F.count_if(F.col("timestamp").isNull()), F.count(F.lit(1)))
                        * F.lit(100.0)).alias("null_timestamps_pct"))
 
 
 def order_id_uniqueness_pct(orders: DataFrame) -> DataFrame:
     """Distinct ids / rows * 100 (100 = no duplicates; T18 naming)."""
-    return orders.agg((safe_ratio(F.count_distinct("order_id"), F.count(_ONE))
+    return orders.agg((safe_ratio(F.count_distinct("order_id"), F.count(F.lit(1)))
                        * F.lit(100.0)).alias("order_id_uniqueness_pct"))
 
 
@@ -56,7 +55,7 @@ def quality_by_currency(orders: DataFrame, interval: str = "1 hour", as_of=None)
     """Count, mean, min, max, sample stddev per currency."""
     return (orders.where(lookback("timestamp", interval, as_of, inclusive=True))
                   .groupBy("currency").agg(
-                      F.count(_ONE).alias("order_count"),
+                      F.count(F.lit(1)).alias("order_count"),
                       F.avg("price").alias("avg_price"),
                       F.min("price").alias("min_price"),
                       F.max("price").alias("max_price"),

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_ONE = F.lit(1)
 
 # topic of each event type of the driver's events table
 TOPIC_OF = {"purchase": "orders", "view": "product-view",
@@ -58,11 +57,11 @@ def metric_samples(events: DataFrame) -> DataFrame:
                       F.octet_length("event_type").alias("hdr"),
                       F.col("value"))
     per_topic = e.groupBy("ts", "topic").agg(
-        F.count(_ONE).alias("m"), F.sum("bytes").alias("bi"),
+        F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bi"),
         F.sum(F.col("bytes") + F.col("hdr")).alias("bo"))
     fetch = F.col("topic").isin("orders", "product-view")
     per_req = e.groupBy("ts").agg(
-        F.count(_ONE).alias("produce"),
+        F.count(F.lit(1)).alias("produce"),
         F.count_if(fetch).alias("fetch"),
         F.avg("value").alias("t_produce"),
         F.max(F.when(fetch, F.col("value"))).alias("t_fetch"),

@@ -1 +1,104 @@
-"""placeholder"""
+"""Streaming queries replayed from files (``st_*``): Q01-Q05.
+
+Each callable publishes the fixture feeds as JSON-lines files, runs the
+streaming query over them piece by piece (availableNow, restart from the
+checkpoint between pieces) and returns the table its sink built.  In-order
+replay drops nothing, so the update-mode tables equal the batch answers; the
+append-mode tables hold the windows the final watermark has closed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from basketry import config, schemas
+from basketry.plans.q_windows import _funnel_sql, _revenue_sql
+from basketry.plans.registry import register
+from basketry.plans.sqlviews import bucket, sessions_table, with_
+from basketry.streaming import pipelines as pl
+from basketry.streaming import sinks
+from basketry.streaming.replay import replay
+
+NOW_TRIGGER = pl.Trigger(processing_time=None, available_now=True)
+PIECES = 4
+
+
+@register("st_orders_ingest", with_("orders_raw") + "SELECT * FROM orders_raw")
+def st_orders(spark, sf):
+    """Q01: decode, dedupe on order id, idempotent append."""
+    root = replay(spark, sf, lambda st, root: pl.start_orders_ingest(
+        st["orders"], f"{root}/tables/orders_raw", f"{root}/checkpoints", NOW_TRIGGER,
+        quarantine_path=f"{root}/tables/orders_quarantine"), "orders", PIECES, ("orders",))
+    return sinks.read_appended(spark, f"{root}/tables/orders_raw", schemas.ORDERS_RAW)
+
+
+@register("st_revenue_by_currency_5min", _revenue_sql("5 minutes"))
+def st_revenue(spark, sf):
+    """Q02: update mode + keyed upsert."""
+    root = replay(spark, sf, lambda st, root: [pl.start_revenue(
+        st["orders"], f"{root}/tables/revenue", f"{root}/checkpoints", NOW_TRIGGER)],
+        "revenue", PIECES, ("orders",))
+    return sinks.read_latest(spark, f"{root}/tables/revenue",
+                             schemas.TABLES["revenue_by_currency_5min"][1],
+                             schemas.REVENUE_BY_CURRENCY)
+
+
+@register("st_conversion_funnel_5min", _funnel_sql("5 minutes"))
+def st_funnel(spark, sf):
+    """Q03: union of the two feeds, one watermark, update mode + upsert."""
+    root = replay(spark, sf, lambda st, root: [pl.start_funnel(
+        st["views"], st["orders"], f"{root}/tables/funnel", f"{root}/checkpoints", NOW_TRIGGER)],
+        "funnel", PIECES)
+    return sinks.read_latest(spark, f"{root}/tables/funnel",
+                             schemas.TABLES["conversion_funnel_5min"][1],
+                             schemas.CONVERSION_FUNNEL)
+
+
+_CLOSED = ("(SELECT MAX(t) FROM (SELECT \"timestamp\" AS t FROM orders_raw UNION ALL "
+           "SELECT \"timestamp\" FROM product_views) x) - INTERVAL '10 minutes'")
+
+
+@register("st_user_sessions_5min", with_("orders_raw", "product_views", sessions_table("ses")) +
+          f"SELECT * FROM ses WHERE window_end <= {_CLOSED}")
+def st_sessions(spark, sf):
+    """Q05: append mode; windows closed by the final watermark."""
+    root = replay(spark, sf, lambda st, root: [pl.start_sessions(
+        st["views"], st["orders"], f"{root}/tables/sessions", f"{root}/checkpoints", NOW_TRIGGER)],
+        "sessions", PIECES)
+    return sinks.read_appended(spark, f"{root}/tables/sessions", schemas.USER_SESSIONS)
+
+
+def _closed_pairs_sql() -> str:
+    b = bucket('"timestamp"', "30 minutes")
+    mx = "(SELECT MAX(\"timestamp\") FROM orders_raw) - INTERVAL '10 minutes'"
+    return with_("orders_raw") + f""", b AS (
+  SELECT DISTINCT window_start, user_id, product_id FROM (
+    SELECT {b} AS window_start, user_id, product_id FROM orders_raw
+    UNION ALL
+    SELECT {b} - INTERVAL '30 minutes', user_id, product_id FROM orders_raw) x
+  WHERE product_id IS NOT NULL AND window_start + INTERVAL '1 hour' <= {mx})
+SELECT a.product_id, b2.product_id AS recommended_product_id,
+       CAST(COUNT(*) AS DOUBLE) AS score, COUNT(*) AS co_purchase_count
+FROM b a JOIN b b2 ON a.window_start = b2.window_start AND a.user_id = b2.user_id
+                  AND a.product_id < b2.product_id
+GROUP BY 1, 2"""
+
+
+@register("st_product_recommendations", _closed_pairs_sql())
+def st_recommendations(spark, sf):
+    """Q04 / ST9: closed baskets -> per-batch pair deltas -> summed table."""
+    root = replay(spark, sf, lambda st, root: [pl.start_recommendations(
+        st["orders"], f"{root}/tables/pairs", f"{root}/checkpoints", NOW_TRIGGER)],
+        "recommendations", PIECES, ("orders",))
+    t = sinks.read_summed(spark, f"{root}/tables/pairs", ["product_id", "recommended_product_id"],
+                          ["co_purchase_count"])
+    if t is None:
+        return spark.createDataFrame([], "product_id string, recommended_product_id string, "
+                                         "score double, co_purchase_count long")
+    return t.select("product_id", "recommended_product_id",
+                    F.col("co_purchase_count").cast("double").alias("score"),
+                    F.col("co_purchase_count").cast("long").alias("co_purchase_count"))
+
+
+# config is imported for callers that tune replay
+__all__ = ["config"]
