@@ -30,7 +30,12 @@ from basketry import config
 def _salted_pairs(items: DataFrame, keys: list[str], item: str, weight: str | None,
                   heavy_items: int, salt: int, max_heavy: int) -> DataFrame:
     """(item_a, item_b, w) for every item_a < item_b sharing a key."""
-    sizes = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
+    aggs = [F.count(F.lit(1)).alias("_d")]
+    if weight:
+        # keep the weight column alive so this branch shares the item
+        # aggregation (and its shuffle) with the two join sides
+        aggs.append(F.sum(weight).alias("_rows"))
+    sizes = items.groupBy(*keys).agg(*aggs)
     heavy = (sizes.where(F.col("_d") > F.lit(heavy_items))
                   .orderBy(F.desc("_d")).limit(max_heavy)
                   .select(*keys, F.lit(salt).alias("_s")))
