@@ -59,7 +59,7 @@ def parse_event_time(c) -> "F.Column":
     """Epoch seconds (number) or ISO-8601 text -> TIMESTAMP; else null."""
     as_num = F.expr(f"try_cast({c} AS DOUBLE)")
     return F.coalesce(
-        F.when(as_num.isNotNull(), F.timestamp_micros((as_num * F.lit(1_000_000)).cast("long"))),
+        as_num.cast("timestamp"),             # same truncation as the reference's CAST
         F.try_to_timestamp(F.col(c)),
     )
 
