@@ -53,6 +53,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a "
+                               "shared folder (HDFS/object store) that survives executor loss")
         root = tempfile.mkdtemp(prefix="basketry-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry import config, schemas
 from basketry.operators import baskets, windows
 from basketry.sources.events import decode_orders, decode_views, split_valid
-from basketry.streaming.sinks import AppendSink, DeltaSink, UpsertSink
+from basketry.streaming.sinks import AppendSink, DeltaSink, ReplaceSink, UpsertSink
 
 
 @dataclass
@@ -81,10 +81,17 @@ def start_orders_ingest(raw_orders: DataFrame, table_path: str, checkpoint: str,
 
 def start_revenue(raw_orders: DataFrame, table_path: str, checkpoint: str,
                   trigger: Trigger = Trigger(), window: str = config.REVENUE_WINDOW,
-                  watermark: str = config.WATERMARK) -> StreamingQuery:
-    """Q02: update-mode window aggregate, keyed upsert on (window_start, currency)."""
+                  watermark: str = config.WATERMARK, mode: str = "update") -> StreamingQuery:
+    """Q02: update-mode window aggregate, keyed upsert on (window_start, currency).
+
+    ``mode="complete"`` (ST8) re-emits the whole result each trigger into a
+    replace sink; its state is never evicted, so keep it for small key spaces.
+    """
     valid, _ = orders_stream(raw_orders)
     agg = windows.revenue_by_currency(valid.withWatermark("timestamp", watermark), window)
+    if mode == "complete":
+        return _start(agg, ReplaceSink(table_path), f"{checkpoint}/revenue_complete",
+                      "complete", trigger)
     keys = schemas.TABLES["revenue_by_currency_5min"][1]
     return _start(agg, UpsertSink(table_path, keys), f"{checkpoint}/revenue", "update", trigger)
 
@@ -136,3 +143,38 @@ def start_recommendations(raw_orders: DataFrame, table_path: str, checkpoint: st
                    .agg(F.count(F.lit(1)).alias("n")))
     return _start(closed, DeltaSink(table_path, pair_deltas), f"{checkpoint}/recommendations",
                   "append", trigger)
+
+
+def start_all(raw_orders: DataFrame, raw_views: DataFrame, root: str,
+              trigger: Trigger = Trigger(), with_disabled: bool = True) -> list[StreamingQuery]:
+    """ST12: the reference's job set in one session -- ingestion, revenue and
+    funnel, plus (rebuilt) recommendations and sessions -- each with its own
+    checkpoint and table under ``root``."""
+    qs = start_orders_ingest(raw_orders, f"{root}/tables/orders_raw", f"{root}/checkpoints",
+                             trigger, quarantine_path=f"{root}/tables/orders_quarantine")
+    qs.append(start_revenue(raw_orders, f"{root}/tables/revenue_by_currency_5min",
+                            f"{root}/checkpoints", trigger))
+    qs.append(start_funnel(raw_views, raw_orders, f"{root}/tables/conversion_funnel_5min",
+                           f"{root}/checkpoints", trigger))
+    if with_disabled:
+        rec_trigger = trigger if trigger.available_now else Trigger(config.RECOMMENDATION_TRIGGER)
+        qs.append(start_recommendations(raw_orders, f"{root}/tables/product_recommendations",
+                                        f"{root}/checkpoints", rec_trigger))
+        qs.append(start_sessions(raw_views, raw_orders, f"{root}/tables/user_sessions_5min",
+                                 f"{root}/checkpoints", trigger))
+    return qs
+
+
+def await_all(spark, queries: list[StreamingQuery]) -> None:
+    """Wait on *any* query (the reference waits on the first only, so a later
+    query's failure went unseen); on a failure stop the rest and raise."""
+    pending = list(queries)
+    while pending:
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+        for q in [q for q in pending if not q.isActive]:
+            pending.remove(q)
+            if q.exception() is not None:
+                for other in pending:
+                    other.stop()
+                raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")

@@ -149,3 +149,22 @@ def create_tables(spark: SparkSession, location: str, names: Sequence[str] | Non
             continue
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schemas.ddl(schema)}) "
                   f"USING parquet LOCATION '{location.rstrip('/')}/{name}'")
+
+
+class JdbcUpsertSink:
+    """SNK2 against a database table with a primary key: staging + MERGE."""
+
+    def __init__(self, url: str, table: str, keys: Sequence[str], properties: dict | None = None,
+                 column_types: str | None = None):
+        self.url, self.table, self.keys = url, table, list(keys)
+        self.properties, self.column_types = properties or {}, column_types
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        from basketry.sources.jdbc import upsert
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not df.isEmpty():
+                upsert(df, self.url, self.table, self.keys, batch_id,
+                       properties=self.properties, column_types=self.column_types)
+        finally:
+            df.unpersist()
