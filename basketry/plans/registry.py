@@ -59,6 +59,7 @@ def load_all() -> dict[str, Entry]:
         q_kpis,
         q_quality,
         q_series,
+        q_sparksql,
         q_streaming,
         q_windows,
     )
