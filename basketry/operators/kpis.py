@@ -337,3 +337,14 @@ def processing_rate(orders: DataFrame, interval: str = "5 minutes", as_of=None)
                   .agg(safe_ratio(F.count(F.lit(1)),
                                   seconds_between(F.max("timestamp"), F.min("timestamp")))
                        .alias("avg_rate")))
+
+
+def dedupe_orders(orders: DataFrame, key: str = "order_id") -> DataFrame:
+    """ST13 batch form: one row per order id, the earliest event (ties broken
+    by the remaining columns) -- deterministic, unlike ``dropDuplicates``.
+    ``min_by`` aggregates partially, so a hot id is combined map-side."""
+    rest = [c for c in orders.columns if c != key]
+    order = F.struct(*[F.col(c) for c in (["timestamp"] + [c for c in rest if c != "timestamp"])
+                       if c in orders.columns])
+    g = orders.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_r"))
+    return g.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])

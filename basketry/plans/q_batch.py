@@ -214,3 +214,36 @@ SELECT DISTINCT currency FROM orders_raw""")(
 register("q23_orders_of_currency_usd", with_("orders_raw") + """
 SELECT * FROM orders_raw WHERE currency = 'USD'""")(
     lambda s, d: kpis.orders_of(fx.orders_raw(s, d), "currency", "USD"))
+
+
+# ---- Q01 batch form and the decode operators (P1-P6, SNK8, ST13, T23) -------------
+
+def _decoded_orders(s, d):
+    from basketry.sources.events import decode_orders, encode_orders, split_valid
+    return split_valid(decode_orders(encode_orders(fx.orders_raw(s, d))))[0]
+
+
+register("q01_orders_decode_dedupe", with_("orders_raw") + "SELECT * FROM orders_raw")(
+    lambda s, d: kpis.dedupe_orders(_decoded_orders(s, d)))
+
+register("q01_orders_dedupe_line", with_("line_orders") + """
+SELECT order_id, user_id, product_id, price, currency, "timestamp" FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id
+                               ORDER BY "timestamp", user_id, product_id, price, currency) AS rn
+  FROM line_orders) x WHERE rn = 1""")(lambda s, d: kpis.dedupe_orders(fx.line_orders(s, d)))
+
+
+def _decoded_views(s, d):
+    from basketry.sources.events import decode_views, encode_views, split_valid
+    return split_valid(decode_views(encode_views(fx.product_views(s, d))))[0]
+
+
+def _decoded_user_events(s, d):
+    from basketry.sources.events import decode_user_events, encode_user_events, split_valid
+    return split_valid(decode_user_events(encode_user_events(fx.user_events(s, d))))[0]
+
+
+register("p2_product_views_decode", with_("product_views") + "SELECT * FROM product_views")(
+    _decoded_views)
+register("p2_user_events_decode", with_("user_events") + "SELECT * FROM user_events")(
+    _decoded_user_events)
