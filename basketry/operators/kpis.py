@@ -65,11 +65,13 @@ def latest_revenue_windows(revenue: DataFrame, k: int = 20, lookback_interval: s
              .orderBy(F.desc("window_start"), F.desc("total_revenue"), F.asc("currency")).limit(k))
 
 
-def window_series(revenue: DataFrame, value: str, interval: str, as_of=None,
+def window_series(revenue: DataFrame, value: str, interval: str | None, as_of=None,
                   inclusive: bool = False, label: str = "currency") -> DataFrame:
-    """One metric of the windowed table as (time, label, value)."""
-    return (revenue.where(lookback("window_start", interval, as_of, inclusive))
-                   .select(F.col("window_start").alias("time"), F.col("currency").alias(label),
+    """One metric of the windowed table as (time, label, value);
+    ``interval=None`` keeps the whole table."""
+    r = revenue if interval is None else revenue.where(
+        lookback("window_start", interval, as_of, inclusive))
+    return (r.select(F.col("window_start").alias("time"), F.col("currency").alias(label),
                            F.col(value).alias("value"))
                    .orderBy("time", label))
 
@@ -308,15 +310,16 @@ def orders_by_currency(orders: DataFrame) -> DataFrame:
                   .orderBy(F.desc("value"), F.asc("currency")))
 
 
-def per_minute(orders: DataFrame, value, alias: str = "value", interval: str = "1 hour",
+def per_minute(orders: DataFrame, value, alias: str = "value", interval: str | None = "1 hour",
                inclusive: bool = True, as_of=None, by: str | None = None,
                metric: str | None = None, by_alias: str | None = None) -> DataFrame:
     """DATE_TRUNC('minute') series over a lookback."""
     keys = [F.date_trunc("minute", "timestamp").alias("time")]
     if by:
         keys.append(F.col(by).alias(by_alias or by))
-    g = (orders.where(lookback("timestamp", interval, as_of, inclusive))
-               .groupBy(*keys).agg(value.alias(alias)))
+    src = orders if interval is None else orders.where(
+        lookback("timestamp", interval, as_of, inclusive))
+    g = src.groupBy(*keys).agg(value.alias(alias))
     cols = ["time"] + ([by_alias or by] if by else [])
     if metric:
         g = g.select("time", F.lit(metric).alias("metric"), alias)

@@ -1,9 +1,9 @@
 """Data-quality checks (K36-K41) and threshold bands.
 
 Whole-table statistics are single global aggregates (partial per task, one
-tiny final merge).  The outlier filter (K41, F7/J4) joins the rows with a
-one-row bounds table -- a provably one-row broadcast -- instead of running two
-scalar subqueries per row.
+tiny final merge).  The outlier filter (K41, F7/J4) uses the reference's two
+uncorrelated scalar subqueries; Spark runs each once and filters with the
+resulting literal.
 """
 
 from __future__ import annotations
@@ -63,20 +63,20 @@ def quality_by_currency(orders: DataFrame, interval: str = "1 hour", as_of=None)
                   .orderBy(F.desc("order_count"), F.asc("currency")))
 
 
-def outlier_bounds(orders: DataFrame, sigmas: float = 3.0) -> DataFrame:
-    """One row: upper bound over all rows, lower bound over positive prices
-    only (T17)."""
-    pos = F.when(F.col("price") > 0, F.col("price"))
-    return orders.agg(
-        (F.avg("price") + F.lit(sigmas) * F.stddev_samp("price")).alias("_hi"),
-        (F.avg(pos) - F.lit(sigmas) * F.stddev_samp(pos)).alias("_lo"))
+def outlier_bounds(orders: DataFrame, sigmas: float = 3.0):
+    """(upper, lower) bounds as scalar subqueries: the upper bound over all
+    rows, the lower bound over positive prices only (T17).  Each is one
+    global aggregate, evaluated once and used as a literal by the filter."""
+    hi = orders.select(F.avg("price") + F.lit(sigmas) * F.stddev_samp("price")).scalar()
+    pos = orders.where(F.col("price") > 0)
+    lo = pos.select(F.avg("price") - F.lit(sigmas) * F.stddev_samp("price")).scalar()
+    return hi, lo
 
 
 def price_outliers(orders: DataFrame, sigmas: float = 3.0, k: int | None = 20) -> DataFrame:
-    """Rows outside mean +- 3 sample stddev, newest first."""
-    b = F.broadcast(outlier_bounds(orders, sigmas))   # exactly one row
-    out = (orders.crossJoin(b)
-                 .where((F.col("price") > F.col("_hi")) | (F.col("price") < F.col("_lo")))
+    """K41 (F7, J4): rows outside mean +- 3 sample stddev, newest first."""
+    hi, lo = outlier_bounds(orders, sigmas)
+    out = (orders.where((F.col("price") > hi) | (F.col("price") < lo))
                  .select("order_id", "user_id", "product_id", "price", "currency", "timestamp"))
     if k is None:
         return out

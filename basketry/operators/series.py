@@ -25,11 +25,9 @@ PARTITIONS = "kafka_server_replicamanager_partitioncount"
 
 
 def share_of_total(df: DataFrame, value: str, alias: str = "share") -> DataFrame:
-    """Value / total, the total being a one-row aggregate joined back."""
-    total = df.agg(F.sum(value).alias("_total"))
-    return df.crossJoin(F.broadcast(total)).withColumn(
-        alias, F.try_divide(F.col(value).cast("double"), F.col("_total").cast("double"))
-    ).drop("_total")
+    """Value / total, the total being a scalar subquery (one global sum)."""
+    total = df.select(F.sum(value).cast("double")).scalar()
+    return df.withColumn(alias, F.try_divide(F.col(value).cast("double"), total))
 
 
 def _topic():

@@ -51,17 +51,21 @@ def values_at_ranks(df: DataFrame, col: str, fractions: dict[str, tuple[int, int
                   .withColumn("_slice", F.spark_partition_id())
                   .checkpoint(eager=True))
     per_slice = ranged.groupBy("_slice").agg(F.sum("_n").alias("_sn"))           # <= p rows
-    w = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # prefix offsets and the grand total over the (at most p) slice rows
+    upto = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_slice.select("_slice", "_sn",
-                               (F.sum("_sn").over(w) - F.col("_sn")).alias("_start"))
-    total = per_slice.agg(F.sum("_sn").alias("_total"))                            # 1 row
-    wanted = spark.createDataFrame([(k, a, b) for k, (a, b) in fractions.items()],
-                                   "name string, num long, den long")
-    ranks = wanted.crossJoin(total).select(
-        "name", (F.col("_total") * F.col("num") / F.col("den")).cast("long").alias("_rank"))
-    target = (ranks.join(offsets, (F.col("_rank") >= F.col("_start")) &
-                         (F.col("_rank") < F.col("_start") + F.col("_sn")))
-                   .select("name", "_rank", "_slice", "_start"))                   # <= len(fractions) rows
+                               (F.sum("_sn").over(upto) - F.col("_sn")).alias("_start"),
+                               F.sum("_sn").over(every).alias("_total"))
+    wanted = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("name"),
+                 (F.col("_total") * F.lit(a) / F.lit(b)).cast("long").alias("_rank"))
+        for k, (a, b) in fractions.items()])).alias("w")
+    target = (offsets.select("_slice", "_sn", "_start", wanted)
+                     .select("_slice", "_start", "w.name", "w._rank")
+                     .where((F.col("_rank") >= F.col("_start")) &
+                            (F.col("_rank") < F.col("_start") + F.col("_sn"))))
+    # target: <= len(fractions) rows (each rank lies in exactly one slice)
     inside = ranged.join(F.broadcast(target), "_slice")
     wr = Window.partitionBy("name").orderBy(col).rowsBetween(Window.unboundedPreceding,
                                                             Window.currentRow)
@@ -77,8 +81,8 @@ QUARTILES = {"p25": (1, 4), "p50": (1, 2), "p75": (3, 4)}
 def price_distribution(df: DataFrame, col: str = "price") -> DataFrame:
     """Summary plus the reference's quartile indices, one row."""
     q = values_at_ranks(df, col, QUARTILES)
-    wide = q.agg(*[F.max(F.when(F.col("name") == k, F.col("value"))).alias(k) for k in QUARTILES])
-    return summary(df, col).crossJoin(wide)
+    quart = [q.where(F.col("name") == k).select("value").scalar().alias(k) for k in QUARTILES]
+    return summary(df, col).select("*", *quart)
 
 
 def approx_quartiles(df: DataFrame, col: str = "price", accuracy: int = 10_000) -> DataFrame:

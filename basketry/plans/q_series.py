@@ -97,7 +97,7 @@ SELECT metric, ROUND(arg_max(value, time), 6) AS last,
        ROUND(AVG(value), 6) AS mean, ROUND(MAX(value), 6) AS max, ROUND(MIN(value), 6) AS min,
        ROUND(SUM(value), 6) AS total, ROUND(STDDEV_SAMP(value), 6) AS std_dev
 FROM ser GROUP BY metric""")(
-    lambda s, d: series.reducers(kpis.window_series(revenue5(s, d), "total_revenue", "100 years",
+    lambda s, d: series.reducers(kpis.window_series(revenue5(s, d), "total_revenue", None,
                                                     label="metric")))
 
 register("b8_orders_per_minute_reducers", with_("orders_raw") + """
@@ -109,4 +109,4 @@ SELECT metric, arg_max(value, time) AS last,
        CAST(SUM(value) AS BIGINT) AS total, ROUND(STDDEV_SAMP(value), 6) AS std_dev
 FROM ser GROUP BY metric""")(
     lambda s, d: series.reducers(kpis.per_minute(fx.orders_raw(s, d), F.count(F.lit(1)), "value",
-                                                 "100 years", metric="orders_processed")))
+                                                 None, metric="orders_processed")))
