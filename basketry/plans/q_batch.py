@@ -13,7 +13,7 @@ def revenue5(spark, sf):
 
 
 def funnel(spark, sf, width="5 minutes"):
-    return windows.conversion_funnel(fx.product_views(spark, sf), fx.orders_raw(spark, sf), width)
+    return windows.conversion_funnel_from_events(fx.funnel_events(spark, sf), width)
 
 
 REV = with_("orders_raw", revenue_table("revenue"))

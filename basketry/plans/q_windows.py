@@ -39,13 +39,13 @@ for _width, _tag in (("5 minutes", "5min"), ("1 day", "1day")):
         return windows.revenue_by_currency(fx.orders_raw(spark, sf), w)
 
     def _fun(spark, sf, w=_width):
-        return windows.conversion_funnel(fx.product_views(spark, sf), fx.orders_raw(spark, sf), w)
+        return windows.conversion_funnel_from_events(fx.funnel_events(spark, sf), w)
 
     def _fun_join(spark, sf, w=_width):
         return windows.conversion_funnel_join(fx.product_views(spark, sf), fx.orders_raw(spark, sf), w)
 
     def _ses(spark, sf, w=_width):
-        return windows.user_sessions(fx.product_views(spark, sf), fx.orders_raw(spark, sf), w)
+        return windows.user_sessions_from_events(fx.funnel_events(spark, sf), w)
 
     register(f"q02_revenue_by_currency_{_tag}", _revenue_sql(_width))(_rev)
     register(f"q03_conversion_funnel_{_tag}", _funnel_sql(_width))(_fun)

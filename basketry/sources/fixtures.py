@@ -100,6 +100,19 @@ def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def funnel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views and purchases as one (user_id, timestamp, event_type) frame from a
+    single scan of ``events``; the same rows as ``windows.funnel_events(
+    product_views, orders_raw)``, without reading the table twice."""
+    ev = table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_type") == "view", F.lit("view")).otherwise(F.lit("order"))
+    return ev.where(F.col("event_type").isin("view", "purchase")).select(
+        prefixed_id("u", "user_id").alias("user_id"),
+        _event_time().alias("timestamp"),
+        kind.alias("event_type"),
+    )
+
+
 VIEWS = {
     "orders_raw": orders_raw,
     "product_views": product_views,
