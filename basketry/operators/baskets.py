@@ -25,6 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry import config
+from basketry.session import checkpoint_root
+
+
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write the pre-aggregated items once (reliable checkpoint in the shared
+    ``spark.checkpoint.dir``): they feed the heavy-key sizing, both join
+    sides and the same-item term, and recomputing the upstream joins for
+    each would multiply the scan.  Also cuts the lineage for recovery."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def _salted_pairs(items: DataFrame, keys: list[str], item: str, weight: str | None,
@@ -53,7 +63,7 @@ def _salted_pairs(items: DataFrame, keys: list[str], item: str, weight: str | No
 
 def basket_pairs(orders: DataFrame, user: str = "user_id", item: str = "product_id",
                  heavy_items: int = config.HEAVY_GROUP_ITEMS, salt: int = config.SALT_BUCKETS,
-                 max_heavy: int = config.MAX_HEAVY_GROUPS) -> DataFrame:
+                 max_heavy: int = config.MAX_HEAVY_GROUPS, materialize: bool = True) -> DataFrame:
     """B1: whole-history pair counts per user, duplicates kept.
 
     For products p != q: sum over users of n_p * n_q; for (p, p):
@@ -61,6 +71,8 @@ def basket_pairs(orders: DataFrame, user: str = "user_id", item: str = "product_
     """
     counts = (orders.where(F.col(item).isNotNull())
                     .groupBy(user, item).agg(F.count(F.lit(1)).alias("_n")))
+    if materialize:
+        counts = _materialize(counts)
     cross = _salted_pairs(counts, [user], item, "_n", heavy_items, salt, max_heavy)
     same = counts.where(F.col("_n") > 1).select(
         F.col(item).alias("item_a"), F.col(item).alias("item_b"),
@@ -89,9 +101,13 @@ def window_baskets(orders: DataFrame, window: str = config.BASKET_WINDOW,
 
 def basket_pair_counts(baskets: DataFrame, heavy_items: int = config.HEAVY_GROUP_ITEMS,
                        salt: int = config.SALT_BUCKETS,
-                       max_heavy: int = config.MAX_HEAVY_GROUPS) -> DataFrame:
+                       max_heavy: int = config.MAX_HEAVY_GROUPS,
+                       materialize: bool = True) -> DataFrame:
     """(product_id, recommended_product_id, co_purchase_count) over baskets
-    given as distinct (window, user_id, product_id) rows."""
+    given as distinct (window, user_id, product_id) rows.  ``materialize=False``
+    when the caller already holds the baskets persisted (a micro-batch)."""
+    if materialize:
+        baskets = _materialize(baskets)
     p = _salted_pairs(baskets, ["window", "user_id"], "product_id", None,
                       heavy_items, salt, max_heavy)
     return (p.groupBy("item_a", "item_b").agg(F.sum("w").alias("co_purchase_count"))

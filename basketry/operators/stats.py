@@ -38,18 +38,21 @@ def _slices(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
-def values_at_ranks(df: DataFrame, col: str, fractions: dict[str, tuple[int, int]],
-                    slices: int | None = None) -> DataFrame:
-    """Value at 0-based rank ``floor(n * num / den)`` of the ascending sort,
-    one row per name in ``fractions`` (T11; nulls excluded; empty input -> no rows).
-    """
-    spark = df.sparkSession
-    checkpoint_root(spark)  # reliable checkpoints need the shared folder
+def ranked_histogram(df: DataFrame, col: str, slices: int | None = None) -> DataFrame:
+    """(value, _n, _slice): one row per distinct value (nulls included, as one
+    row), range-partitioned into ordered slices and checkpointed so the slice
+    assignment is fixed for every later use."""
+    checkpoint_root(df.sparkSession)  # reliable checkpoints need the shared folder
     p = slices or _slices(df)
-    hist = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = (hist.repartitionByRange(p, col)
-                  .withColumn("_slice", F.spark_partition_id())
-                  .checkpoint(eager=True))
+    hist = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    return (hist.repartitionByRange(p, col)
+                .withColumn("_slice", F.spark_partition_id())
+                .checkpoint(eager=True))
+
+
+def ranks_from_histogram(ranged: DataFrame, col: str,
+                         fractions: dict[str, tuple[int, int]]) -> DataFrame:
+    ranged = ranged.where(F.col(col).isNotNull())
     per_slice = ranged.groupBy("_slice").agg(F.sum("_n").alias("_sn"))           # <= p rows
     # prefix offsets and the grand total over the (at most p) slice rows
     upto = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -75,14 +78,40 @@ def values_at_ranks(df: DataFrame, col: str, fractions: dict[str, tuple[int, int
                .select("name", F.col(col).alias("value")))
 
 
+def values_at_ranks(df: DataFrame, col: str, fractions: dict[str, tuple[int, int]],
+                    slices: int | None = None) -> DataFrame:
+    """Value at 0-based rank ``floor(n * num / den)`` of the ascending sort,
+    one row per name in ``fractions`` (T11; nulls excluded; empty input -> no rows).
+    """
+    return ranks_from_histogram(ranked_histogram(df, col, slices), col, fractions)
+
+
 QUARTILES = {"p25": (1, 4), "p50": (1, 2), "p75": (3, 4)}
 
 
+def summary_from_histogram(ranged: DataFrame, col: str) -> DataFrame:
+    """A19 over the (value, count) histogram instead of the rows: count of
+    all rows, and mean, min, max and population stddev of non-null values
+    (two passes over the distinct values: mean, then squared deviations)."""
+    nn = F.col(col).isNotNull()
+    mean = ranged.select(F.try_divide(F.sum(F.when(nn, F.col(col) * F.col("_n"))),
+                                      F.sum(F.when(nn, F.col("_n"))))).scalar()
+    dev2 = F.when(nn, F.col("_n") * (F.col(col) - mean) * (F.col(col) - mean))
+    return ranged.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("count"),
+        mean.alias("mean"),
+        F.min(col).alias("min"),
+        F.max(col).alias("max"),
+        F.sqrt(F.try_divide(F.sum(dev2), F.sum(F.when(nn, F.col("_n"))))).alias("stddev"))
+
+
 def price_distribution(df: DataFrame, col: str = "price") -> DataFrame:
-    """Summary plus the reference's quartile indices, one row."""
-    q = values_at_ranks(df, col, QUARTILES)
+    """Summary plus the reference's quartile indices, one row; the
+    input is read once (into the checkpointed histogram)."""
+    ranged = ranked_histogram(df, col)
+    q = ranks_from_histogram(ranged, col, QUARTILES)
     quart = [q.where(F.col("name") == k).select("value").scalar().alias(k) for k in QUARTILES]
-    return summary(df, col).select("*", *quart)
+    return summary_from_histogram(ranged, col).select("*", *quart)
 
 
 def approx_quartiles(df: DataFrame, col: str = "price", accuracy: int = 10_000) -> DataFrame:

@@ -118,7 +118,8 @@ def start_sessions(raw_views: DataFrame, raw_orders: DataFrame, table_path: str,
 
 def pair_deltas(closed: DataFrame) -> DataFrame:
     """foreachBatch body of ST9: closed (window, user, product) rows -> pair counts."""
-    pc = baskets.basket_pair_counts(closed.select("window", "user_id", "product_id"))
+    pc = baskets.basket_pair_counts(closed.select("window", "user_id", "product_id"),
+                                    materialize=False)
     return pc.withColumn("last_updated", F.current_timestamp())
 
 

@@ -78,8 +78,13 @@ class DeltaSink:
         self.path, self.transform = path, transform
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        out = self.transform(df) if self.transform else df
-        write_batch(out, self.path, batch_id)
+        # the transform reads its input several times: hold the batch once
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            out = self.transform(df) if self.transform else df
+            write_batch(out, self.path, batch_id)
+        finally:
+            df.unpersist()
 
 
 class ReplaceSink:
