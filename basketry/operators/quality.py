@@ -64,13 +64,14 @@ def quality_by_currency(orders: DataFrame, interval: str = "1 hour", as_of=None)
 
 
 def outlier_bounds(orders: DataFrame, sigmas: float = 3.0):
-    """(upper, lower) bounds as scalar subqueries: the upper bound over all
-    rows, the lower bound over positive prices only (T17).  Each is one
-    global aggregate, evaluated once and used as a literal by the filter."""
-    hi = orders.select(F.avg("price") + F.lit(sigmas) * F.stddev_samp("price")).scalar()
-    pos = orders.where(F.col("price") > 0)
-    lo = pos.select(F.avg("price") - F.lit(sigmas) * F.stddev_samp("price")).scalar()
-    return hi, lo
+    """(upper, lower) bounds: the upper over all rows, the lower over positive
+    prices only (T17).  Both come from one global aggregate (one pass),
+    returned as a single scalar subquery that Spark evaluates once."""
+    pos = F.when(F.col("price") > 0, F.col("price"))
+    b = orders.agg(F.struct(
+        (F.avg("price") + F.lit(sigmas) * F.stddev_samp("price")).alias("hi"),
+        (F.avg(pos) - F.lit(sigmas) * F.stddev_samp(pos)).alias("lo"))).scalar()
+    return b.getField("hi"), b.getField("lo")
 
 
 def price_outliers(orders: DataFrame, sigmas: float = 3.0, k: int | None = 20) -> DataFrame:

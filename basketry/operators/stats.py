@@ -110,8 +110,10 @@ def price_distribution(df: DataFrame, col: str = "price") -> DataFrame:
     input is read once (into the checkpointed histogram)."""
     ranged = ranked_histogram(df, col)
     q = ranks_from_histogram(ranged, col, QUARTILES)
-    quart = [q.where(F.col("name") == k).select("value").scalar().alias(k) for k in QUARTILES]
-    return summary_from_histogram(ranged, col).select("*", *quart)
+    wide = q.agg(F.struct(*[F.max(F.when(F.col("name") == k, F.col("value"))).alias(k)
+                            for k in QUARTILES])).scalar()          # one scalar subquery
+    return summary_from_histogram(ranged, col).select(
+        "*", *[wide.getField(k).alias(k) for k in QUARTILES])
 
 
 def approx_quartiles(df: DataFrame, col: str = "price", accuracy: int = 10_000) -> DataFrame:
