@@ -120,7 +120,8 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str], schema=None
         return df
     vals = [c for c in df.columns if c not in keys and c != "batch_id"]
     latest = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"))
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
+    cols = [c for c in df.columns if c != "batch_id"]          # table column order
+    return latest.select(*[F.col(c) if c in keys else F.col(f"_v.{c}").alias(c) for c in cols])
 
 
 def read_summed(spark: SparkSession, path: str, keys: Sequence[str],
