@@ -120,3 +120,44 @@ def test_sessions_append_only_closed_windows(spark):
     assert [(r.window_start.strftime("%H:%M"), r.events_count, r.views_count, r.orders_count,
              r.session_duration_seconds, r.has_conversion) for r in rows] == \
         [("10:00", 2, 1, 1, 60, True)]
+
+
+def test_complete_mode_replaces_table(spark):
+    batches = [[_order("a", 10, 0), _order("b", 10, 1, cur="EUR")], [_order("c", 10, 2)]]
+    root, _ = _run_batches(spark, batches, lambda st, root: [pl.start_revenue(
+        st, f"{root}/revenue", f"{root}/ckpt", NOW, mode="complete")])
+    got = {(r.currency, r.order_count) for r in spark.read.parquet(f"{root}/revenue").collect()}
+    assert got == {("USD", 2), ("EUR", 1)}
+
+
+def test_start_all_runs_every_job(spark):
+    root = run_dir(spark, "test-all")
+    view = json.dumps({"eventType": "VIEW", "userId": "u1", "productId": "p9", "category": "toys",
+                       "timestamp": _epoch(10, 1)})
+    orders = [_order("a", 10, 0), _order("b", 10, 3), _order("c", 11, 30)]
+    spark.createDataFrame([(x,) for x in orders], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{root}/feed/orders")
+    spark.createDataFrame([(view,)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{root}/feed/views")
+    qs = pl.start_all(read_json_lines_stream(spark, f"{root}/feed/orders").select("value"),
+                      read_json_lines_stream(spark, f"{root}/feed/views").select("value"),
+                      f"{root}/out", NOW)
+    pl.await_all(spark, qs)
+    assert len(qs) == 6 and all(q.exception() is None for q in qs)
+    t = f"{root}/out/tables"
+    assert sinks.read_appended(spark, f"{t}/orders_raw").count() == 3
+    assert sinks.read_latest(spark, f"{t}/revenue_by_currency_5min",
+                             ["window_start", "currency"]).count() == 2
+    assert sinks.read_latest(spark, f"{t}/conversion_funnel_5min",
+                             ["window_start", "user_id"]).count() == 2
+
+
+def test_create_tables_from_schema_registry(spark):
+    from basketry import schemas
+    root = run_dir(spark, "test-ddl")
+    sinks.create_tables(spark, root, ["revenue_by_currency_5min", "user_sessions_5min"])
+    sinks.create_tables(spark, root, ["revenue_by_currency_5min"])       # IF NOT EXISTS
+    assert spark.table("revenue_by_currency_5min").schema == schemas.REVENUE_BY_CURRENCY
+    assert spark.table("user_sessions_5min").schema == schemas.USER_SESSIONS
+    spark.sql("DROP TABLE revenue_by_currency_5min")
+    spark.sql("DROP TABLE user_sessions_5min")
