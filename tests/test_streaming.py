@@ -155,6 +155,8 @@ def test_start_all_runs_every_job(spark):
 def test_create_tables_from_schema_registry(spark):
     from basketry import schemas
     root = run_dir(spark, "test-ddl")
+    for v in ("revenue_by_currency_5min", "user_sessions_5min"):   # temp views shadow tables
+        spark.catalog.dropTempView(v)
     sinks.create_tables(spark, root, ["revenue_by_currency_5min", "user_sessions_5min"])
     sinks.create_tables(spark, root, ["revenue_by_currency_5min"])       # IF NOT EXISTS
     assert spark.table("revenue_by_currency_5min").schema == schemas.REVENUE_BY_CURRENCY
