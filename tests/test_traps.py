@@ -308,3 +308,31 @@ def test_lookback_inclusive_vs_strict(spark):
     strict = kpis.per_minute(o, F.count(F.lit(1)), "n", "1 hour", inclusive=False).count()
     incl = kpis.per_minute(o, F.count(F.lit(1)), "n", "1 hour", inclusive=True).count()
     assert (strict, incl) == (0, 1)
+
+
+def test_gap_sessions_extension(spark):
+    # events 10:00, 10:03 (same session), 10:20 (new session after a 5 min gap)
+    o = orders_df(spark, [("o1", "u", "p", 1.0, "USD", dt.datetime(2024, 1, 1, 10, 3))])
+    v = views_df(spark, [("u", "p", "toys", dt.datetime(2024, 1, 1, 10, 0)),
+                         ("u", "p", "toys", dt.datetime(2024, 1, 1, 10, 20))])
+    got = sorted((r.window_start.strftime("%H:%M"), r.window_end.strftime("%H:%M"), r.events_count,
+                  r.has_conversion) for r in windows.gap_sessions(v, o).collect())
+    assert got == [("10:00", "10:08", 2, True), ("10:20", "10:25", 1, False)]
+
+
+def test_approx_quartiles_close_to_exact(spark):
+    prices = [float(i) for i in range(1, 1001)]
+    df = spark.createDataFrame([(p,) for p in prices], "price double")
+    r = stats.approx_quartiles(df).first()
+    assert abs(r.p25 - 250) <= 2 and abs(r.p50 - 500) <= 2 and abs(r.p75 - 750) <= 2
+
+
+def test_distinct_counts_spread_hot_key_first(spark):
+    # a hot user: the first exchange is on (user, product), before the one on user
+    o = orders_df(spark, [(f"o{i}", "hot" if i % 3 else f"u{i}", f"p{i % 50}", 1.0, "USD", T0)
+                          for i in range(300)])
+    plan = segments.user_stats(o)._jdf.queryExecution().executedPlan().toString()
+    first = plan.rfind("Exchange hashpartitioning(")
+    assert "product_id" in plan[first:first + 80]
+    got = {r.user_id: r.unique_products for r in segments.user_stats(o).collect()}
+    assert got["hot"] == 50
