@@ -2,6 +2,7 @@
 
 from basketry.functions.exprs import (  # noqa: F401
     band,
+    epoch_millis,
     epoch_seconds,
     lookback,
     order_bucket,

@@ -87,6 +87,11 @@ def epoch_seconds(c: str | Column) -> Column:
     return F.unix_micros(_c(c)) / F.lit(1_000_000.0)
 
 
+def epoch_millis(c: str | Column) -> Column:
+    """Timestamp -> epoch milliseconds, the RDD job's ``Long timestamp``."""
+    return F.unix_millis(_c(c))
+
+
 def seconds_between(later: str | Column, earlier: str | Column) -> Column:
     """EXTRACT(EPOCH FROM later - earlier) (X13); Spark has no EPOCH field."""
     return (F.unix_micros(_c(later)) - F.unix_micros(_c(earlier))) / F.lit(1_000_000.0)

@@ -336,3 +336,10 @@ def test_distinct_counts_spread_hot_key_first(spark):
     assert "product_id" in plan[first:first + 80]
     got = {r.user_id: r.unique_products for r in segments.user_stats(o).collect()}
     assert got["hot"] == 50
+
+
+def test_epoch_helpers(spark):
+    from basketry.functions import epoch_millis, epoch_seconds
+    o = orders_df(spark, [("o", "u", "p", 1.0, "USD", dt.datetime(1970, 1, 1, 0, 0, 1, 500000))])
+    r = o.select(epoch_millis("timestamp").alias("ms"), epoch_seconds("timestamp").alias("s")).first()
+    assert (r.ms, r.s) == (1500, 1.5)
