@@ -84,3 +84,47 @@ def test_window_properties(spark, rows):
     got = {(r.product_id, r.recommended_product_id): r.co_purchase_count
            for r in baskets.recommendations(o).collect()}
     assert got == want
+
+
+samples = st.lists(st.tuples(st.integers(0, 3 * 24 * 60 * 4 - 1),      # 15 s slots over 3 days
+                             st.sampled_from(["a", "b"]),
+                             st.integers(0, 50)),
+                   min_size=1, max_size=40, unique_by=lambda t: (t[0], t[1]))
+
+
+@SETTINGS
+@given(samples)
+def test_counter_rate_brute_force(spark, rows):
+    from basketry.operators import series
+    data = [(T0 + dt.timedelta(seconds=15 * k), "c", {"topic": t}, float(v)) for k, t, v in rows]
+    df = spark.createDataFrame(data, "ts timestamp, name string, labels map<string,string>, value double")
+    got = {(r.time, r.topic): r.rate for r in series.counter_rate(df, "c", "topic").collect()}
+    want = {}
+    for topic in ("a", "b"):
+        pts = sorted((ts, v) for ts, _, lab, v in data if lab["topic"] == topic)
+        for (t0, v0), (t1, v1) in zip(pts, pts[1:]):
+            inc = v1 if v1 < v0 else v1 - v0
+            w = t1.replace(second=0, microsecond=0)
+            want[(w, topic)] = want.get((w, topic), 0.0) + inc
+    want = {k: v / 60.0 for k, v in want.items()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert abs(got[k] - want[k]) < 1e-9
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(0, 20).map(float)), min_size=1, max_size=60))
+def test_distribution_with_nulls(spark, xs):
+    import statistics
+    df = spark.createDataFrame([(x,) for x in xs], "price double")
+    r = stats.price_distribution(df).first()
+    vals = sorted(x for x in xs if x is not None)
+    assert r["count"] == len(xs)
+    if not vals:
+        assert r.p50 is None and r.mean is None
+        return
+    n = len(vals)
+    assert (r.p25, r.p50, r.p75) == (vals[n // 4], vals[n // 2], vals[3 * n // 4])
+    assert abs(r.mean - statistics.mean(vals)) < 1e-9
+    assert abs(r.stddev - statistics.pstdev(vals)) < 1e-9
+    assert (r["min"], r["max"]) == (vals[0], vals[-1])
