@@ -40,6 +40,8 @@ BASKET_WINDOW = "1 hour"
 BASKET_SLIDE = "30 minutes"
 TRIGGER = "10 seconds"
 RECOMMENDATION_TRIGGER = "60 seconds"
+# upsert tables fold into a snapshot every this many micro-batches
+COMPACT_EVERY = 100
 
 # Fixed evaluation instant for "NOW()" lookbacks on the fixture tables.
 AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)

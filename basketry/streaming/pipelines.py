@@ -81,7 +81,8 @@ def start_orders_ingest(raw_orders: DataFrame, table_path: str, checkpoint: str,
 
 def start_revenue(raw_orders: DataFrame, table_path: str, checkpoint: str,
                   trigger: Trigger = Trigger(), window: str = config.REVENUE_WINDOW,
-                  watermark: str = config.WATERMARK, mode: str = "update") -> StreamingQuery:
+                  watermark: str = config.WATERMARK, mode: str = "update",
+                  compact_every: int | None = config.COMPACT_EVERY) -> StreamingQuery:
     """Q02: update-mode window aggregate, keyed upsert on (window_start, currency).
 
     ``mode="complete"`` (ST8) re-emits the whole result each trigger into a
@@ -93,17 +94,20 @@ def start_revenue(raw_orders: DataFrame, table_path: str, checkpoint: str,
         return _start(agg, ReplaceSink(table_path), f"{checkpoint}/revenue_complete",
                       "complete", trigger)
     keys = schemas.TABLES["revenue_by_currency_5min"][1]
-    return _start(agg, UpsertSink(table_path, keys), f"{checkpoint}/revenue", "update", trigger)
+    return _start(agg, UpsertSink(table_path, keys, compact_every), f"{checkpoint}/revenue",
+                  "update", trigger)
 
 
 def start_funnel(raw_views: DataFrame, raw_orders: DataFrame, table_path: str, checkpoint: str,
                  trigger: Trigger = Trigger(), window: str = config.FUNNEL_WINDOW,
-                 watermark: str = config.WATERMARK) -> StreamingQuery:
+                 watermark: str = config.WATERMARK,
+                 compact_every: int | None = config.COMPACT_EVERY) -> StreamingQuery:
     """Q03: union of both feeds, one watermark after the union (T7, ST2)."""
     ev = windows.funnel_events(views_stream(raw_views), orders_stream(raw_orders)[0])
     agg = windows.conversion_funnel_from_events(ev.withWatermark("timestamp", watermark), window)
     keys = schemas.TABLES["conversion_funnel_5min"][1]
-    return _start(agg, UpsertSink(table_path, keys), f"{checkpoint}/funnel", "update", trigger)
+    return _start(agg, UpsertSink(table_path, keys, compact_every), f"{checkpoint}/funnel",
+                  "update", trigger)
 
 
 def start_sessions(raw_views: DataFrame, raw_orders: DataFrame, table_path: str, checkpoint: str,

@@ -62,13 +62,19 @@ class AppendSink:
 
 
 class UpsertSink:
-    """SNK2: keyed upsert of update-mode output (T5)."""
+    """SNK2: keyed upsert of update-mode output (T5).
 
-    def __init__(self, path: str, keys: Sequence[str]):
-        self.path, self.keys = path, list(keys)
+    With ``compact_every=n`` every n-th batch also folds the table into a
+    snapshot, so readers prune all older batch directories.
+    """
+
+    def __init__(self, path: str, keys: Sequence[str], compact_every: int | None = None):
+        self.path, self.keys, self.compact_every = path, list(keys), compact_every
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         write_batch(df, self.path, batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            compact(df.sparkSession, self.path, self.keys, batch_id)
 
 
 class DeltaSink:
@@ -113,11 +119,29 @@ def read_appended(spark: SparkSession, path: str, schema=None) -> DataFrame | No
     return df.drop("batch_id")
 
 
+def _snapshot_id(spark: SparkSession, path: str) -> int | None:
+    """Newest compaction snapshot (one row from a tiny hidden table)."""
+    try:
+        r = spark.read.parquet(f"{path.rstrip('/')}/_snapshots").agg(F.max("snapshot_id")).first()
+    except AnalysisException:
+        return None
+    return r[0]
+
+
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str], schema=None) -> DataFrame | None:
-    """Latest row per key across batches (the upserted table)."""
+    """Latest row per key across batches (the upserted table).
+
+    With a compaction snapshot ``s``: the snapshot rows (as batch ``s``) plus
+    the batch directories after ``s`` -- older directories are pruned by
+    partition filter and never read."""
     df = _read(spark, path, schema)
     if df is None or "batch_id" not in df.columns:
         return df
+    snap = _snapshot_id(spark, path)
+    if snap is not None:
+        base = spark.read.parquet(_snapshot_path(path, snap)) \
+            .withColumn("batch_id", F.lit(snap).cast(df.schema["batch_id"].dataType))
+        df = base.unionByName(df.where(F.col("batch_id") > F.lit(snap)))
     vals = [c for c in df.columns if c not in keys and c != "batch_id"]
     latest = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"))
     cols = [c for c in df.columns if c != "batch_id"]          # table column order
@@ -132,19 +156,23 @@ def read_summed(spark: SparkSession, path: str, keys: Sequence[str],
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot_id: int) -> None:
-    """Fold all batches up to now into one ``batch_id=<snapshot_id>`` snapshot.
+def _snapshot_path(path: str, snapshot_id: int) -> str:
+    # hidden from the table reader ("_" prefix) and never a batch directory,
+    # so a retried batch cannot overwrite a snapshot
+    return f"{path.rstrip('/')}/_snapshot_data/snapshot_id={int(snapshot_id)}"
 
-    ``snapshot_id`` must be >= every existing batch id so later batches still
-    win; older directories can then be dropped by the caller's retention job.
-    The snapshot is staged under a sibling folder before it is published.
-    """
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot_id: int) -> None:
+    """Fold the table as of now into a snapshot taken at ``snapshot_id`` (the
+    newest batch already written).  Readers then skip every batch directory
+    up to it; a retention job may delete them.  The snapshot id is published
+    last, so a compaction that dies midway is simply ignored."""
     state = read_latest(spark, path, keys)
     if state is None:
         return
-    staging = f"{path.rstrip('/')}_compact_{snapshot_id}"
-    state.write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(_batch_path(path, snapshot_id))
+    state.write.mode("overwrite").parquet(_snapshot_path(path, snapshot_id))
+    spark.createDataFrame([(int(snapshot_id),)], "snapshot_id long").write.mode("append") \
+        .parquet(f"{path.rstrip('/')}/_snapshots")
 
 
 def create_tables(spark: SparkSession, location: str, names: Sequence[str] | None = None) -> None:

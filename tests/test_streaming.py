@@ -203,3 +203,20 @@ def test_crash_after_write_then_restart_has_no_duplicates(spark):
             assert q.exception() is None
     ids = sorted(r.order_id for r in sinks.read_appended(spark, table).collect())
     assert ids == ["o1", "o2", "o3", "o4"]
+
+
+def test_upsert_compaction_prunes_old_batches(spark):
+    root = run_dir(spark, "test-compact")
+    sink = sinks.UpsertSink(f"{root}/t", ["k"], compact_every=2)
+    for b, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)], [("b", 4)]]):
+        sink(spark.createDataFrame(rows, "k string, v int"), b)
+    # batch 2 wrote a snapshot of the state at that point
+    assert sinks._snapshot_id(spark, f"{root}/t") == 2
+    t = sinks.read_latest(spark, f"{root}/t", ["k"])
+    assert sorted(map(tuple, t.collect())) == [("a", 2), ("b", 4), ("c", 3)]
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "> 2" in plan
+    # a retry of the compacted batch cannot damage the snapshot
+    sink(spark.createDataFrame([("c", 3)], "k string, v int"), 2)
+    t2 = sinks.read_latest(spark, f"{root}/t", ["k"])
+    assert sorted(map(tuple, t2.collect())) == [("a", 2), ("b", 4), ("c", 3)]
