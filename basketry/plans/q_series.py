@@ -68,8 +68,18 @@ register("k46_bytes_in_rate_by_topic", _rate_sql(series.BYTES_IN, "topic"))(
     lambda s, d: series.counter_rate(_samples(s, d), series.BYTES_IN, "topic"))
 register("k46_bytes_out_rate_by_topic", _rate_sql(series.BYTES_OUT, "topic"))(
     lambda s, d: series.counter_rate(_samples(s, d), series.BYTES_OUT, "topic"))
-register("k49_request_rate_by_type", _rate_sql(series.REQUESTS, "request"))(
-    lambda s, d: series.counter_rate(_samples(s, d), series.REQUESTS, "request"))
+def _banded_rate_sql(name: str, label: str) -> str:
+    # X22 request-rate bands (5 / 10 ops/s) on the unrounded rate
+    return "SELECT time, " + label + ", rate, CASE WHEN raw >= 10.0 THEN 'critical' " \
+        "WHEN raw >= 5.0 THEN 'warning' ELSE 'ok' END AS status FROM (" + \
+        _rate_sql(name, label).replace(" AS rate\nFROM d", " AS rate,\n       SUM(CASE WHEN prev IS NULL "
+                                       "THEN NULL WHEN value < prev THEN value ELSE value - prev END)"
+                                       " / 60.0 AS raw\nFROM d") + ") z"
+
+
+register("k49_request_rate_by_type", _banded_rate_sql(series.REQUESTS, "request"))(
+    lambda s, d: quality.banded(series.counter_rate(_samples(s, d), series.REQUESTS, "request"),
+                                "rate", quality.RATE_BANDS))
 
 
 def _latency_sql(kind: str) -> str:
