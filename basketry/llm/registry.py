@@ -6,8 +6,12 @@ A query without SQL is tested against brute force in ``tests/llm``.
 from __future__ import annotations
 
 from basketry.llm.decontaminate import OP10_SQL, op10
+from basketry.llm.langid import op1
+from basketry.llm.quality import op8
 
 QUERIES = {
+    "op1_language_id": op1,
+    "op8_quality_classifier": op8,
     "op10_benchmark_decontamination": op10,
 }
 
