@@ -9,18 +9,22 @@ from basketry.llm.chat import OP5_SQL, op5
 from basketry.llm.decontaminate import OP10_SQL, op10
 from basketry.llm.langid import op1
 from basketry.llm.licenses import OP2_SQL, op2
+from basketry.llm.mixing import op4
 from basketry.llm.quality import op8
+from basketry.llm.suffixes import op7
 
 QUERIES = {
     "op1_language_id": op1,
     "op2_license_scans": op2,
+    "op4_source_mixing": op4,
     "op5_chat_formatting": op5,
+    "op7_suffix_dedup": op7,
     "op8_quality_classifier": op8,
     "op10_benchmark_decontamination": op10,
 }
 
 ORACLE_SQL = {
-    "op5_chat_formatting": OP5_SQL,
     "op2_license_scans": OP2_SQL,
+    "op5_chat_formatting": OP5_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
