@@ -10,6 +10,7 @@ from basketry.llm.decontaminate import OP10_SQL, op10
 from basketry.llm.langid import op1
 from basketry.llm.licenses import OP2_SQL, op2
 from basketry.llm.mixing import op4
+from basketry.llm.neardup import op9
 from basketry.llm.quality import op8
 from basketry.llm.suffixes import op7
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_chat_formatting": op5,
     "op7_suffix_dedup": op7,
     "op8_quality_classifier": op8,
+    "op9_ngram_jaccard_join": op9,
     "op10_benchmark_decontamination": op10,
 }
 
