@@ -13,17 +13,17 @@ have the same minimizer at the same offset, so no match is lost.
    one bit per hash: whether another document has it too.
 3. The suffixes at such positions (50 bytes, and the 34 bytes before them) are
    range-partitioned by their leading bytes through sampled splitters.  Equal
-   contexts of one batch travel as one row.  Every bucket is sorted by a
-   multikey quicksort over 8-byte characters.  Within a bucket each of the 35
-   windows of a suffix gets the smallest doc_id that has it, and its
-   occurrences in larger ones become spans.
+   contexts of one batch travel once; what a batch sends to a bucket is one
+   compressed row.  Every bucket is sorted by a multikey quicksort over 8-byte
+   characters.  Within a bucket each of the 35 windows of a suffix gets the
+   smallest doc_id that has it, and its occurrences in larger ones become spans.
 4. Across boundaries: suffixes whose gram is the first or last of a bucket may
    continue in the next one.  Their windows' smallest occurrences (one per
    window and bucket, as larger ones are settled already) meet by a hash of
    the window, which also spreads a gram that a third of all rows has.
 5. Each batch cuts the spans out of its documents.
 
-Every step is one lazy plan; the shuffle of the texts by batch is reused.
+All steps are one lazy plan; the shuffle of the texts by batch is reused.
 
 Defined results: null text is empty; a null doc_id counts as larger than all
 others; rows of the same doc_id never count against each other; repeated rows
@@ -47,7 +47,9 @@ LEFT = SPAN - 1
 #: Text bytes of a batch, of a hash range, and of a bucket of suffixes, about.
 BATCH_BYTES = 8_000_000
 RANGE_BYTES = 16_000_000
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 4_000_000
+#: Text sampled for the splitters, per bucket.
+SAMPLE_BYTES = 16_000
 _POS = U64(30)
 _CHUNK = 1_000_000
 _POW = np.cumprod(np.concatenate(([U64(1)], np.full(LEFT + LENGTH, U64(0x2545F4914F6CDD1D)))))
@@ -107,14 +109,44 @@ def _rep_text(data, off, mine):
     return rows, d, np.concatenate(([0], np.cumsum(np.diff(off)[rows])))
 
 
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed string: their sizes, then their bytes."""
+    raw = b"".join(np.ascontiguousarray(x).tobytes() for x in arrays)
+    head = np.array([len(arrays), len(raw), *(x.nbytes for x in arrays)], "<i8").tobytes()
+    return head + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(b: bytes, *kinds) -> list[np.ndarray]:
+    n, size = np.frombuffer(b, "<i8", 2)
+    sizes = np.frombuffer(b, "<i8", int(n), 16)
+    raw = pa.decompress(b[16 + 8 * int(n):], decompressed_size=int(size), codec="zstd", asbytes=True)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    return [np.frombuffer(raw, k, int(z) // np.dtype(k).itemsize, int(a)) for k, a, z in zip(kinds, at, sizes, strict=False)]
+
+
+def _ranges(u: np.ndarray, bits: int) -> np.ndarray:
+    """Where each hash range begins in sorted 64-bit hashes."""
+    if not bits:
+        return np.array([0, len(u)])
+    return np.append(np.searchsorted(u, np.arange(1 << bits, dtype=np.uint64) << U64(64 - bits)), len(u))
+
+
+def _known(h: np.ndarray, bits: int) -> np.ndarray:
+    """A hash without the bits below the 32 that follow its range: what travels.
+    With ranges in proportion to the input, the share of accidental equals
+    (which only cost work) stays the same at every size."""
+    cut = U64(max(0, 32 - bits))
+    return h >> cut << cut
+
+
 def _send(bits: int):
-    """Packs the distinct minimizer hashes of a batch by hash range."""
+    """Packs the distinct minimizer hashes of a batch by hash range, 32 bits each."""
     def f(key, left, right):
         _, data, off, rank, mine, _ = _batch(left, right)
         rows, d, o = _rep_text(data, off, mine)
         p, h = anchors(d, o)
-        h >>= U64(16)
-        doc = rank[rows][np.searchsorted(o, p, "right") - 1]
+        h = _known(h, bits)
+        doc = rank[rows][np.searchsorted(o, p, "right") - 1] if len(p) else np.zeros(0, np.int64)
         order = np.lexsort((doc, h))
         h, doc = h[order], doc[order]
         new = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
@@ -122,27 +154,20 @@ def _send(bits: int):
         group = np.cumsum(new) - 1
         several[group[1:][(h[1:] == h[:-1]) & (doc[1:] != doc[:-1])]] = True
         u = h[new]
-        cut = np.searchsorted(u, np.arange((1 << bits) + 1, dtype=np.uint64) << U64(48 - bits))
-        out = {"range": [], "b": [], "data": [], "flags": []}
-        for k in np.flatnonzero(np.diff(cut)):
-            x = u[cut[k]:cut[k + 1]]
-            out["range"].append(int(k))
-            out["b"].append(key[0].as_py())
-            out["data"].append(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes())
-            out["flags"].append(np.packbits(several[cut[k]:cut[k + 1]]).tobytes())
-        return pa.table({"range": pa.array(out["range"], pa.int32()), "b": pa.array(out["b"], pa.int32()),
-                         "data": pa.array(out["data"], pa.binary()), "flags": pa.array(out["flags"], pa.binary())})
+        cut = _ranges(u, bits)
+        full = np.flatnonzero(np.diff(cut))
+        low = ((u << U64(bits)) >> U64(32)).astype("<u4")
+        return pa.table({"range": pa.array(full, pa.int32()), "b": pa.array([key[0].as_py()] * len(full), pa.int32()),
+                         "data": pa.array([low[cut[k]:cut[k + 1]].tobytes() for k in full], pa.binary()),
+                         "flags": pa.array([np.packbits(several[cut[k]:cut[k + 1]]).tobytes() for k in full], pa.binary())})
     return f
 
 
 def _meet(key, t):
     """For one hash range: which hashes of which batch other documents have too."""
-    parts, flags = [], []
-    for x, f in zip(t.column("data").to_pylist(), t.column("flags").to_pylist(), strict=True):
-        b = np.frombuffer(x, np.uint8).reshape(-1, 6)
-        parts.append(np.pad(b, ((0, 0), (0, 2))).view("<u8").ravel())
-        flags.append(np.unpackbits(np.frombuffer(f, np.uint8), count=len(b)).astype(bool))
-    h, again = np.concatenate(parts), np.concatenate(flags)
+    parts = [np.frombuffer(x, "<u4") for x in t.column("data").to_pylist()]
+    again = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=len(x)).astype(bool) for x, f in zip(parts, t.column("flags").to_pylist(), strict=True)])
+    h = np.concatenate(parts)
     order = np.argsort(h)
     s = h[order]
     same = s[1:] == s[:-1]
@@ -158,57 +183,79 @@ def _meet(key, t):
 
 
 MESSAGE = "b int, kind int, rank long, digest string, range int, data binary"
+ROUTED = "route int, data binary"
+WIDTH = LENGTH + LEFT
 OCC = np.dtype([("rank", "<i8"), ("b", "<i4"), ("pos", "<i4")])
-CUT = np.dtype([("rank", "<i8"), ("start", "<i8"), ("end", "<i8")])
+CUT = np.dtype([("rank", "<i8"), ("start", "<i4"), ("end", "<i4")])
+EDGE = np.dtype([("key", "<u8"), ("rank", "<i8"), ("b", "<i4"), ("start", "<i4")])
+
+
+def context(d: np.ndarray, o: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """For each position: its 50 bytes onward, the 34 before it backward (zero
+    outside the text), and how many of both there are."""
+    row = np.searchsorted(o, p, "right") - 1
+    pad = np.concatenate((np.zeros(LEFT, np.uint8), d, np.zeros(LENGTH, np.uint8)))
+    n_left, n_right = np.minimum(p - o[row], LEFT), np.minimum(o[row + 1] - p, LENGTH)
+    out = np.empty((len(p), WIDTH + 2), np.uint8)
+    j = np.concatenate((np.arange(LEFT, LEFT + LENGTH), np.arange(LEFT - 1, -1, -1)))
+    for a in range(0, len(p), 50_000):
+        z = slice(a, a + 50_000)
+        c = pad[p[z, None] + j]
+        c[:, :LENGTH][np.arange(LENGTH) >= n_right[z, None]] = 0
+        c[:, LENGTH:][np.arange(LEFT) >= n_left[z, None]] = 0
+        out[z, :WIDTH] = c
+    out[:, WIDTH], out[:, WIDTH + 1] = n_right, n_left
+    return out
+
+
+def _keys(c: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(c[:, :WIDTH]).view(f"S{WIDTH}").ravel()
 
 
-def _contexts(bits: int):
-    """Suffixes of a batch at minimizers that other documents have too."""
+def _contexts(bits: int, splitters):
+    """Suffixes of a batch at minimizers that other documents have too, packed by bucket."""
     def f(key, left, right):
         b = key[0].as_py()
         _, data, off, rank, mine, more = _batch(left, right)
         rows, d, o = _rep_text(data, off, mine)
         p, h = anchors(d, o)
-        h >>= U64(16)
+        h = _known(h, bits)
         u = np.unique(h)
-        cut = np.searchsorted(u, np.arange((1 << bits) + 1, dtype=np.uint64) << U64(48 - bits))
+        cut = _ranges(u, bits)
         again = np.zeros(len(u), bool)
         for k, x in zip(more.column("range").to_pylist(), more.column("data").to_pylist(), strict=True):
             again[cut[k]:cut[k + 1]] = np.unpackbits(np.frombuffer(x, np.uint8), count=int(cut[k + 1] - cut[k])).astype(bool)
-        p = p[again[np.searchsorted(u, h)]]
+        p = p[again[np.searchsorted(u, h)]] if len(u) else p
+        c = context(d, o, p)
         row = np.searchsorted(o, p, "right") - 1
-        # the 84 bytes around each position, zero outside its text
-        pad = np.concatenate((np.zeros(LEFT, np.uint8), d, np.zeros(LENGTH, np.uint8)))
-        n_left, n_right = np.minimum(p - o[row], LEFT).astype(np.uint8), np.minimum(o[row + 1] - p, LENGTH).astype(np.uint8)
-        out = []
-        for a in range(0, len(p), 100_000):
-            z = slice(a, a + 100_000)
-            c = pad[p[z, None] + np.arange(LEFT + LENGTH)]
-            j = np.arange(LEFT + LENGTH)
-            c[(j < LEFT - n_left[z, None]) | (j >= LEFT + n_right[z, None])] = 0
-            out.append(c)
-        c = np.concatenate(out) if out else np.zeros((0, LEFT + LENGTH), np.uint8)
-        wide = np.concatenate((c, n_left[:, None], n_right[:, None], np.zeros((len(c), 2), np.uint8)), 1).view("<u8")
-        hh = np.zeros(len(c), np.uint64)
-        for q in range(wide.shape[1]):
-            hh = mix(hh * MIX + wide[:, q])
-        doc = rank[rows][row]
-        order = np.lexsort((doc, hh))
-        wide, c, doc, p, n_left, n_right, row = wide[order], c[order], doc[order], p[order], n_left[order], n_right[order], row[order]
-        new = np.concatenate(([True], (wide[1:] != wide[:-1]).any(1))) if len(c) else np.zeros(0, bool)
-        first = np.flatnonzero(new)
-        ends = np.append(first[1:], len(c))[:len(first)]
-        occ = np.empty(len(c), OCC)
-        occ["rank"], occ["b"], occ["pos"] = doc, b, p - o[row]
-        right_b = np.ascontiguousarray(c[first][:, LEFT:])
-        back = np.ascontiguousarray(c[first][:, LEFT - 1::-1])
-        raw = occ.tobytes()
-        return pa.table({"suffix": pa.array([x.tobytes()[:k] for x, k in zip(right_b, n_right[first].tolist(), strict=True)], pa.binary()),
-                         "back": pa.array([x.tobytes()[:k] for x, k in zip(back, n_left[first].tolist(), strict=True)], pa.binary()),
-                         "occ": pa.array([raw[x * OCC.itemsize:y * OCC.itemsize] for x, y in zip(first.tolist(), ends.tolist(), strict=True)], pa.binary())})
+        occ = np.empty(len(p), OCC)
+        occ["rank"], occ["b"], occ["pos"] = rank[rows][row] if len(p) else 0, b, p - o[row]
+        keys = _keys(c)
+        order = np.argsort(keys, kind="stable")
+        c, occ, keys = c[order], occ[order], keys[order]
+        at = np.concatenate(([0], np.searchsorted(keys, splitters.value), [len(keys)]))
+        new = np.concatenate(([True], (c[1:] != c[:-1]).any(1))) if len(c) else np.zeros(0, bool)
+        out = ([], [])
+        for k in np.flatnonzero(np.diff(at)):
+            x, y = at[k], at[k + 1]
+            first = np.flatnonzero(new[x:y])
+            if not len(first) or first[0]:
+                first = np.append(0, first)  # equal bytes, other lengths: a bucket may begin inside a run
+            out[0].append(int(k))
+            out[1].append(pack(c[x:y][first], np.diff(np.append(first, y - x)).astype("<u4"), occ[x:y]))
+        return pa.table({"bucket": pa.array(out[0], pa.int32()), "data": pa.array(out[1], pa.binary())})
     return f
 
 
+def _sampled_contexts(batches):
+    """Every eighth minimizer of the sampled texts."""
+    for b in batches:
+        data, off = text_buffer(b.column(0))
+        p, _ = anchors(data, off)
+        c = context(data, off, p[::8])
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in c[:, :WIDTH]], pa.binary())], ["c"])
+
+
 def multikey_sort(chars: np.ndarray) -> np.ndarray:
     """Order of the rows of a matrix of characters: each pass sorts, by the
     next character, the groups that are equal so far and have several rows."""
@@ -233,127 +280,116 @@ def multikey_sort(chars: np.ndarray) -> np.ndarray:
     return order
 
 
-def _padded(arr, width: int) -> tuple[np.ndarray, np.ndarray]:
-    data, off = text_buffer(arr)
-    n = np.diff(off)
-    out = np.zeros((len(n), width), np.uint8)
-    row = np.repeat(np.arange(len(n)), n)
-    out[row, np.arange(len(data)) - off[row]] = data
-    return out, n
-
-
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and end of every run of equal values."""
     first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
     return first, np.append(first[1:], len(x))[:len(first)]
 
 
-def _spans_by_batch(occ: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+def _by_batch(b: np.ndarray, rank: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Spans packed by batch: (batches, packed spans)."""
     cuts = np.empty(len(start), CUT)
-    cuts["rank"], cuts["start"], cuts["end"] = occ["rank"], start, end
-    order = np.argsort(occ["b"], kind="stable")
-    b, cuts = occ["b"][order], cuts[order]
+    cuts["rank"], cuts["start"], cuts["end"] = rank, start, end
+    order = np.lexsort((cuts["start"], cuts["rank"], b))
+    b, cuts = b[order], cuts[order]
     first, ends = _runs(b)
-    n = len(first)
-    return pa.RecordBatch.from_arrays([pa.array(b[first], pa.int32()), pa.array([2] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()),
-                                       pa.array([cuts[x:y].tobytes() for x, y in zip(first, ends, strict=True)], pa.binary())],
-                                      ["b", "kind", "rank", "digest", "range", "data"])
+    return b[first], [pack(cuts[x:y]) for x, y in zip(first, ends, strict=True)]
 
 
 def _bucket(slots: int):
-    """Sorts one bucket of suffixes, settles its windows; the windows of its
-    first and last gram go on (kind 3, by slot) to meet those of other buckets."""
-    def run(batches):
-        batches = list(batches)
-        if not sum(b.num_rows for b in batches):
-            return
-        t = pa.Table.from_batches(batches)
-        right, n_right = _padded(t.column("suffix"), 56)
-        back, n_left = _padded(t.column("back"), 40)
-        chars = np.concatenate((right, back), 1).view(">u8").astype(np.uint64)
+    """Sorts one bucket of suffixes and settles its windows: spans, routed by
+    batch; the windows of its first and last gram, routed by slot (-1 - slot),
+    meet those of other buckets."""
+    def f(key, t):
+        got = [unpack(x, np.uint8, "<u4", OCC) for x in t.column("data").to_pylist()]
+        c = np.concatenate([x[0].reshape(-1, WIDTH + 2) for x in got])
+        n_occ = np.concatenate([x[1] for x in got]).astype(np.int64)
+        occ = np.concatenate([x[2] for x in got])
+        del got
+        chars = np.concatenate((c[:, :WIDTH], np.zeros((len(c), -WIDTH % 8), np.uint8)), 1).view(">u8").astype(np.uint64)
         order = multikey_sort(chars)
-        right, n_right, back, n_left = right[order], n_right[order], back[order], n_left[order]
-        occ_data, occ_off = text_buffer(t.column("occ"))
-        n_occ = (np.diff(occ_off) // OCC.itemsize)[order]
-        occ_all = np.frombuffer(occ_data.tobytes(), OCC)
-        at = np.concatenate(([0], np.cumsum(np.diff(occ_off) // OCC.itemsize)))[:-1][order]
-        idx = np.repeat(at, n_occ) + np.arange(n_occ.sum()) - np.repeat(np.cumsum(n_occ) - n_occ, n_occ)
-        occ, first_occ = occ_all[idx], np.cumsum(n_occ) - n_occ
+        del chars
+        at = (np.cumsum(n_occ) - n_occ)[order]
+        c, n_occ = c[order], n_occ[order]
+        occ = occ[np.repeat(at - (np.cumsum(n_occ) - n_occ), n_occ) + np.arange(n_occ.sum())]
+        first_occ = np.cumsum(n_occ) - n_occ
+        n, n_right, n_left = len(c), c[:, WIDTH].astype(np.int64), c[:, WIDTH + 1].astype(np.int64)
         low = np.minimum.reduceat(occ["rank"], first_occ)
-        gram = right[:, :GRAM].copy().view("<u8")
-        new = np.concatenate(([True], (gram[1:] != gram[:-1]).any(1)))
-        group = np.cumsum(new) - 1
-        # prefix hashes of the 84 bytes of every suffix's context
-        n = len(right)
-        whole = np.concatenate((back[:, LEFT - 1::-1], right[:, :LENGTH]), 1).astype(np.uint64) + U64(1)
-        pre = np.zeros((n, LEFT + LENGTH + 1), np.uint64)
-        np.cumsum(whole * _POW[:LEFT + LENGTH], axis=1, out=pre[:, 1:])
-        del whole
+        gram = np.ascontiguousarray(c[:, :GRAM]).view("<u8")
+        group = np.cumsum(np.concatenate(([True], (gram[1:] != gram[:-1]).any(1)))) - 1
+        # prefix hashes of the 84 bytes around every suffix
+        pre = np.zeros((n, WIDTH + 1), np.uint64)
+        for a in range(0, n, 50_000):
+            z = slice(a, a + 50_000)
+            whole = np.concatenate((c[z, WIDTH - 1:LENGTH - 1:-1], c[z, :LENGTH]), 1).astype(np.uint64) + U64(1)
+            np.cumsum(whole * _POW[:WIDTH], axis=1, out=pre[z, 1:])
         least = np.full((n, SPAN), np.iinfo(np.int64).max)
         edge = (group == 0) | (group == group[-1])
-        on_edge = []
         salt = mix(group.astype(np.uint64) + U64(1))
+        offset, edge_row = [], []
         for o in range(SPAN):
             ok = np.flatnonzero((n_left >= o) & (n_right >= LENGTH - o))
-            w = (pre[ok, LEFT - o + LENGTH] - pre[ok, LEFT - o]) * _INV[LEFT - o]
-            k = mix(w) ^ salt[ok]  # the gram's number makes the key exact up to one gram's suffixes
-            s = np.argsort(k)
-            ks = k[s]
-            head = np.flatnonzero(np.concatenate(([True], ks[1:] != ks[:-1]))) if len(ks) else np.zeros(0, int)
-            if not len(head):
+            if not len(ok):
                 continue
-            lo = np.minimum.reduceat(low[ok][s], head)
-            least[ok[s], o] = np.repeat(lo, np.diff(np.append(head, len(ks))))
+            # the gram's number makes the key exact but for suffixes of one gram
+            k = mix((pre[ok, LEFT - o + LENGTH] - pre[ok, LEFT - o]) * _INV[LEFT - o]) ^ salt[ok]
+            s = np.argsort(k)
+            first, ends = _runs(k[s])
+            least[ok[s], o] = np.repeat(np.minimum.reduceat(low[ok][s], first), ends - first)
             e = ok[edge[ok]]
             e = e[low[e] == least[e, o]]
-            on_edge.append((np.full(len(e), o), e))
-        for a in range(0, len(occ), 200_000):
-            row = np.repeat(np.arange(n), n_occ)[a:a + 200_000]
-            part = occ[a:a + 200_000]
+            offset.append(np.full(len(e), o))
+            edge_row.append(e)
+        parts = []
+        owner = np.repeat(np.arange(n), n_occ)
+        for a in range(0, len(occ), 100_000):
+            part, row = occ[a:a + 100_000], owner[a:a + 100_000]
             cov = np.zeros((len(part), SPAN + 2), np.int8)
             cov[:, 1:-1] = least[row] < part["rank"][:, None]
             d = np.diff(cov, axis=1)
-            r1, o1 = np.nonzero(d == 1)
-            r2, o2 = np.nonzero(d == -1)  # offsets o1..o2-1 of the same occurrence
-            p = part["pos"][r1].astype(np.int64)
-            if len(p):
-                yield _spans_by_batch(part[r1], p - (o2 - 1), p - o1 + LENGTH)
+            r, o1 = np.nonzero(d == 1)
+            _, o2 = np.nonzero(d == -1)  # the offsets o1..o2-1 of one occurrence
+            p = part["pos"][r].astype(np.int64)
+            parts.append((part["b"][r], part["rank"][r], p - (o2 - 1), p - o1 + LENGTH))
+        route, packed = _by_batch(*(np.concatenate([x[q] for x in parts]) for q in range(4)))
         # smallest occurrences of the windows of the first and last gram
-        o = np.concatenate([x for x, _ in on_edge] or [np.zeros(0, int)])
-        e = np.concatenate([x for _, x in on_edge] or [np.zeros(0, int)])
+        o, e = np.concatenate([*offset, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*edge_row, np.zeros(0, np.int64)]).astype(np.int64)
         m = n_occ[e]
-        pick = np.repeat(first_occ[e], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        pick = np.repeat(first_occ[e] - (np.cumsum(m) - m), m) + np.arange(m.sum())
         o, e = np.repeat(o, m), np.repeat(e, m)
         small = occ["rank"][pick] == low[e]
         pick, o, e = pick[small], o[small], e[small]
-        w = np.stack([(pre[e, LEFT - o + LENGTH] - pre[e, LEFT - o]) * _INV[LEFT - o]], 1)
-        key = mix(w[:, 0]) ^ mix(gram[e, 0] * MIX + gram[e, 1] + o.astype(np.uint64))
+        w = mix((pre[e, LEFT - o + LENGTH] - pre[e, LEFT - o]) * _INV[LEFT - o]) ^ mix(gram[e, 0] * MIX + gram[e, 1] + o.astype(np.uint64))
         entry = np.empty(len(pick), EDGE)
-        entry["key"], entry["rank"], entry["b"], entry["start"] = key, occ["rank"][pick], occ["b"][pick], occ["pos"][pick] - o
-        slot = (key >> U64(33)) % U64(slots)
+        entry["key"], entry["rank"], entry["b"], entry["start"] = w, occ["rank"][pick], occ["b"][pick], occ["pos"][pick] - o
+        slot = ((w >> U64(33)) % U64(slots)).astype(np.int64)
         s = np.argsort(slot, kind="stable")
         slot, entry = slot[s], entry[s]
         first, ends = _runs(slot)
-        q = len(first)
-        if q:
-            yield pa.RecordBatch.from_arrays([pa.nulls(q, pa.int32()), pa.array([3] * q, pa.int32()), pa.nulls(q, pa.int64()), pa.nulls(q, pa.string()),
-                                              pa.array(slot[first].astype(np.int32)), pa.array([entry[x:y].tobytes() for x, y in zip(first, ends, strict=True)], pa.binary())],
-                                             ["b", "kind", "rank", "digest", "range", "data"])
-    return run
-
-
-EDGE = np.dtype([("key", "<u8"), ("rank", "<i8"), ("b", "<i4"), ("start", "<i4")])
+        return pa.table({"route": pa.array(np.concatenate((route, -1 - slot[first])), pa.int32()),
+                         "data": pa.array(packed + [pack(entry[x:y]) for x, y in zip(first, ends, strict=True)], pa.binary())})
+    return f
 
 
-def _edges(key, t):
-    """Windows of first and last grams, from all buckets, by their hash."""
-    e = np.concatenate([np.frombuffer(x, EDGE) for x in t.column("data").to_pylist()])
-    e = e[np.argsort(e["key"], kind="stable")]
-    head = np.flatnonzero(np.concatenate(([True], e["key"][1:] != e["key"][:-1])))
-    lo = np.repeat(np.minimum.reduceat(e["rank"], head), np.diff(np.append(head, len(e))))
-    e = e[e["rank"] > lo]
-    start = e["start"].astype(np.int64)
-    return pa.Table.from_batches([_spans_by_batch(e, start, start + LENGTH)])
+def _route(key, t):
+    """Unites the spans of one batch, or settles the windows of one slot."""
+    at = key[0].as_py()
+    if at < 0:
+        e = np.concatenate([unpack(x, EDGE)[0] for x in t.column("data").to_pylist()])
+        e = e[np.argsort(e["key"], kind="stable")]
+        first, ends = _runs(e["key"])
+        e = e[e["rank"] > np.repeat(np.minimum.reduceat(e["rank"], first), ends - first)]
+        b, data = _by_batch(e["b"], e["rank"], e["start"], e["start"] + LENGTH)
+    else:
+        cuts = np.concatenate([unpack(x, CUT)[0] for x in t.column("data").to_pylist()])
+        cuts = cuts[np.lexsort((cuts["start"], cuts["rank"]))]
+        first, ends = _runs(cuts["rank"])
+        runs = [_union(cuts["start"][x:y], cuts["end"][x:y]) for x, y in zip(first, ends, strict=True)]
+        rank = np.repeat(cuts["rank"][first], [len(s) for s, _ in runs])
+        b, data = _by_batch(np.full(len(rank), at), rank, np.concatenate([s for s, _ in runs]), np.concatenate([e for _, e in runs]))
+    n = len(data)
+    return pa.table({"b": pa.array(b, pa.int32()), "kind": pa.array([2] * n, pa.int32()), "rank": pa.nulls(n, pa.int64()), "digest": pa.nulls(n, pa.string()),
+                     "range": pa.nulls(n, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
 def _union(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -367,7 +403,7 @@ def _union(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _cut(keep: list[str], names: list[str], whole_chars: bool):
     def f(key, left, right):
         t, data, off, rank, mine, more = _batch(left, right)
-        parts = [np.frombuffer(x, CUT) for x in more.column("data").to_pylist()]
+        parts = [unpack(x, CUT)[0] for x in more.column("data").to_pylist()]
         cuts = np.concatenate(parts) if parts else np.zeros(0, CUT)
         cuts = cuts[np.argsort(cuts["rank"], kind="stable")]
         a, z = np.searchsorted(cuts["rank"], rank), np.searchsorted(cuts["rank"], rank, "right")
@@ -406,7 +442,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     keep = list(docs.columns if keep is None else keep)
     top = 2**63 - 1
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    total, n_docs = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+    total = total or 0
     n_batches = max(1, -(-total // BATCH_BYTES))
     bits = max(0, (-(-total // RANGE_BYTES) - 1).bit_length())
     buckets = max(1, -(-total // BUCKET_BYTES))
@@ -420,27 +457,23 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reps = ids.groupBy("digest").agg(F.min("rank").alias("rank")).select(
         place("rank").alias("b"), F.lit(0).alias("kind"), "rank", "digest", F.lit(None).cast("int").alias("range"), F.lit(None).cast("binary").alias("data"))
     by_batch = lambda extra: d.groupBy("_b").cogroup((reps.unionByName(extra) if extra is not None else reps).groupBy("b"))
+    share = min(1.0, max(SAMPLE_BYTES * buckets / max(total, 1), 64 / max(n_docs, 1)))
+    sample = base.where(F.abs(F.xxhash64("_rank", F.lit(3))) <= int(share * (2.0**63 - 1024))).select("_text")
+    found = sample.mapInArrow(_sampled_contexts, "c binary").toArrow().column("c").to_pylist() if buckets > 1 else []
+    found = np.sort(np.array(found, f"S{WIDTH}"))
+    splitters = spark.sparkContext.broadcast(found[np.arange(1, buckets) * len(found) // buckets] if len(found) else found)
     hashes = by_batch(None).applyInArrow(_send(bits), "range int, b int, data binary, flags binary")
     masks = hashes.groupBy("range").applyInArrow(_meet, MESSAGE)
-    suffixes = by_batch(masks).applyInArrow(_contexts(bits), "suffix binary, back binary, occ binary")
-    settled = suffixes.repartitionByRange(buckets, "suffix", "back").mapInArrow(_bucket(max(1, buckets)), MESSAGE)
-    settled = _materialized(settled)
-    crossing = settled.where("kind = 3").groupBy("range").applyInArrow(_edges, MESSAGE)
+    suffixes = by_batch(masks).applyInArrow(_contexts(bits, splitters), "bucket int, data binary")
+    settled = suffixes.groupBy("bucket").applyInArrow(_bucket(buckets), ROUTED)
+    spans = settled.groupBy("route").applyInArrow(_route, MESSAGE)
     names = []
     for x in ("n_bytes", "n_removed", "spans", "kept"):
         names.append(free_name([*keep, *names], x))
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()),
                            T.StructField(names[2], T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
                            T.StructField(names[3], T.BinaryType())])
-    return by_batch(settled.where("kind = 2").unionByName(crossing)).applyInArrow(_cut(keep, names, whole_chars), schema)
-
-
-def _materialized(df: DataFrame) -> DataFrame:
-    """Written once to the shared checkpoint folder: the spans are used twice,
-    and their lineage holds two passes over the texts."""
-    from basketry.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+    return by_batch(spans).applyInArrow(_cut(keep, names, whole_chars), schema)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
