@@ -10,6 +10,7 @@ from basketry.llm.decontaminate import OP10_SQL, op10
 from basketry.llm.langid import op1
 from basketry.llm.licenses import OP2_SQL, op2
 from basketry.llm.mixing import op4
+from basketry.llm.neighbours import op3
 from basketry.llm.neardup import op9
 from basketry.llm.quality import op8
 from basketry.llm.suffixes import op7
@@ -17,6 +18,7 @@ from basketry.llm.suffixes import op7
 QUERIES = {
     "op1_language_id": op1,
     "op2_license_scans": op2,
+    "op3_embedding_near_dedup": op3,
     "op4_source_mixing": op4,
     "op5_chat_formatting": op5,
     "op7_suffix_dedup": op7,
