@@ -39,7 +39,7 @@ from basketry.session import checkpoint_root
 BLOCK = 64
 SHARD_SLOTS = 8192
 #: Documents of one source that one task sums, about.
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 4_000
 SHARE = 1.5
 REPEATS = 2
 WEIGHTS = (3, 1, 2)
