@@ -214,7 +214,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
               .select("s", "first", "doc_id", "size", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block))).alias("block")))
     lo = F.greatest(F.col("first"), F.col("block") * block)
     hi = F.least(F.col("first") + F.col("size"), F.col("block") * block + F.col("take"))
-    spans = (slots.join(pieces, ["s", "block"])
+    # slots come from a few rows by a Python map, so their size is underestimated: never broadcast them
+    spans = (slots.hint("merge").join(pieces, ["s", "block"])
              .select("shard", "slot", "s", "first", "doc_id", (lo - F.col("first")).alias("first_word"), (hi - lo).alias("n_words"))
              .where("n_words > 0"))
     return Mix(plan, rows, spans)
