@@ -13,6 +13,7 @@ from basketry.llm.mixing import op4
 from basketry.llm.neighbours import op3
 from basketry.llm.neardup import op9
 from basketry.llm.quality import op8
+from basketry.llm.suffix_tree import op6
 from basketry.llm.suffixes import op7
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
     "op3_embedding_near_dedup": op3,
     "op4_source_mixing": op4,
     "op5_chat_formatting": op5,
+    "op6_lm_scoring": op6,
     "op7_suffix_dedup": op7,
     "op8_quality_classifier": op8,
     "op9_ngram_jaccard_join": op9,
