@@ -199,11 +199,11 @@ class Batch:
         self.c1, self.c2 = self.c1.astype(np.float64), self.c2.astype(np.float64)
 
     def trigrams(self):
-        """Of two bigrams seen twice in training (a held-out text's last one: once);
-        any other trigram is seen only where it stands."""
+        """After a bigram seen twice in training, ending in one seen there; no
+        other trigram's count matters to a state."""
         n2 = np.where(self.of2 >= 0, self.c2[self.of2], 0) if len(self.c2) else np.zeros(len(self.of2))
         before = np.concatenate(([0], n2[:-1])) if len(n2) else n2
-        self.at3 = np.flatnonzero((self.pos >= 2) & (before >= 2) & (n2 >= np.where(self.train, 2, 1)))
+        self.at3 = np.flatnonzero((self.pos >= 2) & (before >= 2) & (n2 >= 1))
         g = mix(self.k2[self.of2[self.at3]] ^ mix(self.k1[self.n1[self.at3 - 2]] * MIX + U64(3)))
         self.k3, self.some3, self.n3 = distinct(g)
 
@@ -349,7 +349,7 @@ def _scores(total, kinds):
             p = x.parent(every)
             s = np.where(x.pos >= 2, np.concatenate(([-1], x.of2[:-1])), -1)
             on = np.flatnonzero((s >= 0) & x.state2[np.maximum(s, 0)]) if len(x.k2) else np.zeros(0, np.int64)
-            n3 = np.where(x.train, 1.0, 0.0)  # where it isn't counted, a training trigram stands only here
+            n3 = np.zeros(len(x.n1))
             n3[x.at3] = x.c3[x.n3]
             so = s[on]
             p[on] = (np.maximum(n3[on] - DISCOUNT, 0) + DISCOUNT * x.kinds2[so] * p[on]) / x.c2[so]
