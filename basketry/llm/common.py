@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -184,3 +185,16 @@ def map_text(df: DataFrame, text: str, keep: list[str], fields: list[T.StructFie
 
     src = df.select(*(F.col(f"`{c}`") for c in cols), F.col(f"`{text}`").cast("string").alias(t))
     return src.mapInArrow(run, T.StructType(out))
+
+
+@contextmanager
+def shuffles_removed(spark):
+    """Spark removes the shuffle files of an action when it ends, instead of
+    at some later garbage collection of the driver."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old) if old is not None else spark.conf.unset(name)

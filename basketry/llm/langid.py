@@ -37,7 +37,9 @@ TRAIN_CHARS = 1_000_000
 #: Expected rows that calibrate score and rejection.
 CALIBRATION_ROWS = 3_000
 #: Slack in nats added to the rejection bound.
-SLACK = 0.75
+SLACK = 0.5
+#: Standard errors that a text of a given length may lie above the bound.
+SIGMAS = 6.0
 START, BLANK = 1, 32
 CONST = [mix(np.array([i + 1], np.uint64) * MIX)[0] | U64(1) for i in range(ORDER)]
 _letters: list[np.ndarray] = []
@@ -107,7 +109,7 @@ class Model:
 
     def __init__(self, langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]):
         self.langs, L = langs, len(langs)
-        self.temperature, self.mean, self.spread, self.bound = 10.0, np.zeros(L), np.ones(L), np.full(L, np.inf)
+        self.temperature, self.spread, self.bound = 10.0, np.ones(L), np.full(L, np.inf)
         every = np.concatenate([g for g, _ in counts]) if counts else np.zeros((0, ORDER), np.uint32)
         self.uniform = -np.log(len(np.unique(every)) + 1.0)
         self.grams, self.contexts, self.logp, self.logb = [], [], [], []
@@ -192,7 +194,8 @@ class Model:
         return out / np.maximum(n_sym, 1)[:, None], n_sym, has
 
     def calibrate(self, ce: np.ndarray, n: np.ndarray, truth: np.ndarray) -> None:
-        """Temperature by likelihood; per language mean, spread and rejection bound."""
+        """Temperature by likelihood; per language the spread of cross-entropy by
+        length and a rejection bound that no calibration row exceeds."""
         if not len(ce):
             return
         best = -np.inf
@@ -205,10 +208,9 @@ class Model:
             on = truth == k
             if on.any():
                 x, w = ce[on, k], n[on]
-                self.mean[k] = np.average(x, weights=w)
-                r = (x - self.mean[k]) * np.sqrt(w)
-                self.spread[k] = max(np.sqrt(np.mean(r * r)), 1e-6)
-                self.bound[k] = max(6.0, float((r / self.spread[k]).max()) * 1.25)
+                mean = np.average(x, weights=w)
+                self.spread[k] = max(1.4826 * float(np.median(np.abs(x - mean) * np.sqrt(w))), 0.5)
+                self.bound[k] = max(mean, float((x - SIGMAS * self.spread[k] / np.sqrt(w)).max())) + SLACK
 
     def judge(self, texts: list[str]):
         """(language, score, cross-entropy, rejected) lists."""
@@ -219,7 +221,7 @@ class Model:
         k = ce.argmin(1)
         low = ce.min(1)
         score = 1.0 / np.exp(-self.temperature * (ce - low[:, None])).sum(1)
-        far = low > self.mean[k] + self.bound[k] * self.spread[k] / np.sqrt(np.maximum(n, 1)) + SLACK
+        far = low > self.bound[k] + SIGMAS * self.spread[k] / np.sqrt(np.maximum(n, 1))
         names = [self.langs[i] if h else "und" for i, h in zip(k.tolist(), has.tolist(), strict=True)]
         return names, np.where(has, score, 0.0), np.where(has, low, 0.0), far | ~has
 

@@ -7,14 +7,17 @@ its smallest doc_id; only representatives are compared.
 1. Signatures: ``bands * rows`` minima; band and row counts are the cheapest
    that reach ``RECALL`` at the threshold.
 2. Band hashes are shuffled.  In each bucket every member is paired with the
-   bucket's smallest document, never with all; these pairs are verified on the
-   full shingle sets and give components of true links.
-3. Buckets that still hold several components are compared across components,
-   in blocks, by the agreement of whole signatures (a loose bound of
-   ``SIGMAS`` standard errors); what passes is verified on full sets.  So every
-   pair that shares a bucket is linked, compared or already in one component.
-4. Inside each component the links of every member are counted on full sets,
-   block by block.  Pairs are not emitted, however large the group.
+   bucket's smallest document, never with all.  Pairs whose whole signatures
+   agree enough (a loose bound, ``SIGMAS`` standard errors below the
+   threshold) are edges of a candidate graph.
+3. Buckets that then hold several components are compared across components,
+   in blocks, by signatures; a task passes on the edges that join components,
+   not all pairs.  So every pair of a bucket that could be a link ends up in
+   one candidate component.
+4. Inside every candidate component all pairs are verified on the full shingle
+   sets, block by block: links are counted for every member, and each block
+   passes on a spanning forest of its true links.  The components of those are
+   the groups.  Pairs are never emitted, however large a group is.
 
 Defined results: null text is empty; documents without words link with
 nothing and are classes of their own; rows that repeat doc_id and text share
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import MIX, U64, grams, mix, table, text_slices, words
+from basketry.llm.common import MIX, U64, grams, mix, shuffles_removed, table, text_slices, words
 from basketry.llm.graph import block_pairs, components
 from basketry.session import checkpoint_root
 
@@ -126,84 +129,101 @@ def _sets(k: int):
     return run
 
 
-def _verify(threshold: float):
+def _agreeing(least: float, ratio: float):
+    """The pairs (a, b) whose signatures and set sizes allow the threshold."""
     def run(batches):
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                s, t = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = np.concatenate((s, t))
-                both.sort(kind="stable")
-                m = int((both[1:] == both[:-1]).sum())
-                keep.append(m / (len(s) + len(t) - m) >= threshold)
-            ok = pa.array(keep, pa.bool_())
+            x = np.frombuffer(b"".join(b.column(2).to_pylist()), "<u4").reshape(b.num_rows, -1)
+            y = np.frombuffer(b"".join(b.column(3).to_pylist()), "<u4").reshape(b.num_rows, -1)
+            n, m = b.column(4).to_numpy(), b.column(5).to_numpy()
+            ok = pa.array(((x == y).mean(1) >= least) & (np.minimum(n, m) >= ratio * np.maximum(n, m))) if b.num_rows else pa.array([], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], ["a", "b"])
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
-    s = pairs.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y")), "b")
-    return s.select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long")
-
-
 def _cross(least: float, ratio: float, width: int):
-    """Pairs of a block pair that lie in different components and whose signatures agree enough."""
+    """Of the pairs of a block pair that lie in different components and whose
+    signatures agree enough: those that join components."""
     def run(batches):
         for b in batches:
             out = ([], [])
-            for lo, hi, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for lo, hi, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                rows = rows.as_py()
                 doc = np.array([r["doc"] for r in rows], np.int64)
-                comp = np.array([r["component"] for r in rows], np.int64)
                 n = np.array([r["n"] for r in rows], float)
                 mine = np.array([r["mine"] for r in rows])
                 sig = np.frombuffer(b"".join(r["sig"] for r in rows), "<u4").reshape(len(rows), width)
+                comp = np.unique([r["component"] for r in rows], return_inverse=True)[1]
                 left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
                 for i in left:
                     c = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) >= ratio * np.maximum(n[right], n[i]))]
-                    c = c[doc[c] > doc[i]] if lo == hi else c
                     c = c[(sig[c] == sig[i]).mean(1) >= least] if len(c) else c
-                    out[0].extend(np.minimum(doc[c], doc[i]).tolist())
-                    out[1].extend(np.maximum(doc[c], doc[i]).tolist())
+                    for j in c[np.unique(comp[c], return_index=True)[1]]:
+                        out[0].append(int(doc[i]))
+                        out[1].append(int(doc[j]))
+                        comp[comp == comp[j]] = comp[i]
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["a", "b"])
     return run
 
 
-def _counted(threshold: float):
-    """Per member of a block pair: how many documents of the other block it is linked with."""
+def jaccard_blocks(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float, step: int = 8192) -> np.ndarray:
+    """Which pairs (left, right) of sets reach the threshold: products of strips of the incidence matrix."""
+    n = np.array([len(s) for s in sets])
+    _, col = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), n)
+    order = np.argsort(col, kind="stable")
+    col, row = col[order], row[order]
+    shared = np.zeros((len(left), len(right)), np.float64)
+    for a in range(0, int(col[-1]) + 1, step):
+        x, y = np.searchsorted(col, (a, a + step))
+        m = np.zeros((len(sets), step), np.float32)
+        m[row[x:y], col[x:y] - a] = 1
+        shared += m[left] @ m[right].T
+    return shared / (n[left][:, None] + n[right][None, :] - shared) >= threshold
+
+
+def forest(ok: np.ndarray, left: np.ndarray, right: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the pairs that are ok."""
+    adj = np.zeros((size, size), bool)
+    adj[np.ix_(left, right)] = ok
+    adj |= adj.T
+    seen, out = ~adj.any(1), []
+    for start in range(size):
+        if seen[start]:
+            continue
+        seen[start], todo = True, [start]
+        while todo:
+            u = todo.pop()
+            new = np.flatnonzero(adj[u] & ~seen)
+            seen[new] = True
+            out += [(u, int(v)) for v in new]
+            todo += new.tolist()
+    return out
+
+
+def _verified(threshold: float):
+    """For a block pair, on full sets: links of every member with the other
+    block (b is null), and a spanning forest of the links (links is null)."""
     def run(batches):
-        for b in batches:
-            docs, links = [], []
-            for lo, hi, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+        for batch in batches:
+            a, b, links = [], [], []
+            for lo, hi, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 rows = rows.as_py()
                 mine = np.array([r["mine"] for r in rows])
-                sets = [np.frombuffer(r["shingles"], "<u8") for r in rows]
                 size, doc = np.array([r["size"] for r in rows], np.int64), np.array([r["doc"] for r in rows], np.int64)
-                n = np.array([len(s) for s in sets])
                 left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
-                _, col = np.unique(np.concatenate(sets), return_inverse=True)
-                row = np.repeat(np.arange(len(sets)), n)
-                shared = np.zeros((len(left), len(right)), np.float32)
-                order = np.argsort(col, kind="stable")
-                col, row = col[order], row[order]
-                step = 8192
-                for a in range(0, int(col[-1]) + 1, step):  # columns of the incidence matrix in strips
-                    x, y = np.searchsorted(col, (a, a + step))
-                    m = np.zeros((len(sets), step), np.float32)
-                    m[row[x:y], col[x:y] - a] = 1
-                    shared += m[left] @ m[right].T
-                ok = shared / (n[left][:, None] + n[right][None, :] - shared) >= threshold - 1e-9
-                near = np.abs(shared / (n[left][:, None] + n[right][None, :] - shared) - threshold) < 1e-5
-                for i, j in zip(*np.nonzero(near), strict=True):  # decided in double precision
-                    ok[i, j] = float(shared[i, j]) / float(n[left[i]] + n[right[j]] - float(shared[i, j])) >= threshold
+                ok = jaccard_blocks([np.frombuffer(r["shingles"], "<u8") for r in rows], left, right, threshold)
                 if lo == hi:
                     np.fill_diagonal(ok, False)
-                    docs.extend(doc[left].tolist())
-                    links.extend((ok @ size[right]).tolist())
+                    who, n = doc[left], ok @ size[right]
                 else:
-                    docs.extend(doc[left].tolist() + doc[right].tolist())
-                    links.extend((ok @ size[right]).tolist() + (size[left] @ ok).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(links, pa.int64())], ["doc", "links"])
+                    who, n = np.concatenate((doc[left], doc[right])), np.concatenate((ok @ size[right], size[left] @ ok))
+                on = n > 0
+                edges = forest(ok, left, right, len(rows))
+                a += who[on].tolist() + [int(doc[u]) for u, _ in edges]
+                b += [None] * int(on.sum()) + [int(doc[v]) for _, v in edges]
+                links += n[on].tolist() + [None] * len(edges)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], ["a", "b", "links"])
     return run
 
 
@@ -212,8 +232,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per (doc_id, text): doc_id, row (text hash), class_id, n_links
     (other documents at or above the threshold, copies included), group_id
     (smallest doc_id reachable by links) and kept (doc_id = group_id)."""
-    spark = docs.sparkSession
-    checkpoint_root(spark)
+    checkpoint_root(docs.sparkSession)
+    with shuffles_removed(docs.sparkSession):
+        return _near_duplicates(docs, doc_id, text, k, threshold, recall, block)
+
+
+def _near_duplicates(docs, doc_id, text, k, threshold, recall, block):
     bands, rows = banding(threshold, recall)
     src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     src = src.withColumn("row", F.xxhash64("t"))
@@ -230,32 +254,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     heads = slots.groupBy("key").agg(F.min("doc").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     slots = slots.join(heads, "key").checkpoint()
     stars = slots.where("doc != head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
-    wanted = slots.select(F.col("doc").alias("k")).distinct()
-    reps = wanted.join(classes.select("doc", "c1", "c2"), F.col("k") == F.col("doc")).select("k", "c1", "c2")
-    rep_rows = one.join(reps.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (one.c1 == reps.c1) & (one.c2 == reps.c2)).select("k", F.col("row").alias("r")).groupBy("k").agg(F.min("r").alias("r"))
-    texts = src.join(rep_rows.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (F.col("row") == F.col("r")), "left_semi")
-    sets = texts.select("doc", "t").mapInArrow(_sets(k), "doc long, shingles binary").dropDuplicates(["doc"]).checkpoint()
-
-    links = verified(stars, sets, threshold).checkpoint()
-    found = components(links)
+    width = bands * rows
+    least = threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / width)
+    info = classes.select("doc", "sig", "n")
+    side = lambda c, x, m: info.select(F.col("doc").alias(c), F.col("sig").alias(x), F.col("n").alias(m))
+    edges = (stars.join(side("a", "x", "n"), "a").join(side("b", "y", "m"), "b").select("a", "b", "x", "y", "n", "m")
+             .mapInArrow(_agreeing(least, threshold), "a long, b long")).checkpoint()
+    found = components(edges)
     # buckets with members of several components
     member = (slots.select("key", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left")
               .withColumn("component", F.coalesce("component", "doc")))
     mixed = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-    member = member.join(mixed, "key").join(classes.select("doc", "sig", "n"), "doc")
+    member = member.join(mixed, "key").join(info, "doc")
     units = (block_pairs(member, "key", "doc", block).groupBy("key", "lo", "hi")
              .agg(F.collect_list(F.struct("doc", "component", "n", "mine", "sig")).alias("rows")).select("lo", "hi", "rows"))
-    width = bands * rows
-    least = threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / width)
-    cross = units.mapInArrow(_cross(least, threshold, width), "a long, b long").distinct()
-    more = verified(cross, sets, threshold)
-    found = components(links.union(more)).checkpoint()
+    more = units.mapInArrow(_cross(least, threshold, width), "a long, b long")
+    found = components(edges.union(more)).checkpoint()
 
-    # links of every member of a component, counted on full sets
-    member = found.withColumnRenamed("node", "doc").join(sets, "doc").join(classes.select("doc", "size"), "doc")
+    # full sets of the members of candidate components, from one row of each
+    reps = found.select(F.col("node").alias("k")).join(classes.select("doc", "c1", "c2"), F.col("k") == F.col("doc")).select("k", "c1", "c2")
+    rep_rows = (one.join(reps.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (one.c1 == reps.c1) & (one.c2 == reps.c2))
+                .select("k", F.col("row").alias("r")).groupBy("k").agg(F.min("r").alias("r")))
+    texts = src.join(rep_rows.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (F.col("row") == F.col("r")), "left_semi")
+    sets = texts.select("doc", "t").mapInArrow(_sets(k), "doc long, shingles binary").dropDuplicates(["doc"])
+    member = found.withColumnRenamed("node", "doc").join(sets, "doc").join(classes.select("doc", "size"), "doc").checkpoint()
     units = (block_pairs(member, "component", "doc", block).groupBy("component", "lo", "hi")
              .agg(F.collect_list(F.struct("doc", "mine", "size", "shingles")).alias("rows")).select("lo", "hi", "rows"))
-    counts = units.mapInArrow(_counted(threshold), "doc long, links long").groupBy("doc").agg(F.sum("links").alias("links"))
+    checked = units.mapInArrow(_verified(threshold), "a long, b long, links long").checkpoint()
+    counts = checked.where("b IS NULL").groupBy(F.col("a").alias("doc")).agg(F.sum("links").alias("links"))
+    found = components(checked.where("b IS NOT NULL")).checkpoint()
     per_class = (sizes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
                  .join(counts.withColumnRenamed("doc", "class_id"), "class_id", "left")
                  .select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "class_id", "size", F.coalesce("component", "class_id").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links")))

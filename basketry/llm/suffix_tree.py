@@ -28,15 +28,13 @@ no training text every token has probability 1 / (0 + 0 + 1) at the root.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import MIX, TOKEN_BYTES, U64, crc_mod, mix, table, text_slices, words
+from basketry.llm.common import MIX, TOKEN_BYTES, U64, crc_mod, mix, shuffles_removed, table, text_slices, words
 from basketry.session import checkpoint_root
 
 DISCOUNT = 0.7
@@ -361,19 +359,6 @@ def _scores(total, kinds):
     return f
 
 
-@contextmanager
-def _shuffles_removed(spark):
-    """Spark removes the shuffle files of an action when it ends, instead of
-    at some later garbage collection of the driver."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, old) if old is not None else spark.conf.unset(name)
-
-
 def score_texts(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (root only), score of every row."""
     spark = docs.sparkSession
@@ -381,7 +366,7 @@ def score_texts(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", te
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = max(0, (-(-size // RANGE_BYTES) - 1).bit_length())
     src = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t"), (~F.coalesce(is_training, F.lit(True))).alias("h"))
-    with _shuffles_removed(spark):
+    with shuffles_removed(spark):
         numbered = src.mapInArrow(_numbered(bits), MESSAGE).checkpoint()
         state = numbered.where("topic = 0").select("b", "data")
         by_batch = lambda answers, f, schema: state.groupBy("b").cogroup(answers.where("b >= 0").groupBy("b")).applyInArrow(f, schema)

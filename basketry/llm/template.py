@@ -271,11 +271,11 @@ def text_of(v) -> str:
 def fold(node, filters: dict[str, Callable]):
     """The same tree with constant parts computed."""
     if isinstance(node, tuple):
-        out = []
+        out, flat = [], []
         for x in (fold(n, filters) for n in node):
-            if isinstance(x, tuple):
-                out.extend(x)
-            elif isinstance(x, Output) and isinstance(x.expr, Const) and out and isinstance(out[-1], Output) and isinstance(out[-1].expr, Const):
+            flat += x if isinstance(x, tuple) else (x,)
+        for x in flat:
+            if isinstance(x, Output) and isinstance(x.expr, Const) and out and isinstance(out[-1], Output) and isinstance(out[-1].expr, Const):
                 out[-1] = Output(Const(text_of(out[-1].expr.value) + text_of(x.expr.value)))
             else:
                 out.append(x)
