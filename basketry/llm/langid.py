@@ -212,6 +212,10 @@ class Model:
                 self.spread[k] = max(1.4826 * float(np.median(np.abs(x - mean) * np.sqrt(w))), 0.5)
                 self.bound[k] = max(mean, float((x - SIGMAS * self.spread[k] / np.sqrt(w)).max())) + SLACK
 
+        some = np.isfinite(self.bound)  # a language without calibration rows takes the loosest
+        if some.any():
+            self.bound[~some], self.spread[~some] = self.bound[some].max(), self.spread[some].max()
+
     def judge(self, texts: list[str]):
         """(language, score, cross-entropy, rejected) lists."""
         ce, n, has = self.cross_entropy(texts)

@@ -272,8 +272,8 @@ def _near_duplicates(docs, doc_id, text, k, threshold, recall, block):
     found = components(edges.union(more)).checkpoint()
 
     # full sets of the members of candidate components, from one row of each
-    reps = found.select(F.col("node").alias("k")).join(classes.select("doc", "c1", "c2"), F.col("k") == F.col("doc")).select("k", "c1", "c2")
-    rep_rows = (one.join(reps.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (one.c1 == reps.c1) & (one.c2 == reps.c2))
+    reps = found.select(F.col("node").alias("k")).join(classes.select("doc", "c1", "c2"), F.col("k") == F.col("doc")).select("k", F.col("c1").alias("k1"), F.col("c2").alias("k2"))
+    rep_rows = (one.join(reps.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")))
                 .select("k", F.col("row").alias("r")).groupBy("k").agg(F.min("r").alias("r")))
     texts = src.join(rep_rows.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (F.col("row") == F.col("r")), "left_semi")
     sets = texts.select("doc", "t").mapInArrow(_sets(k), "doc long, shingles binary").dropDuplicates(["doc"])

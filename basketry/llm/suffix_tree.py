@@ -11,8 +11,8 @@ A state's next-symbol distribution is smoothed with its parent by absolute
 discounting.  A token is scored by the longest suffix of its history that is
 a state.  All counts are over all training texts.
 
-How it runs: tasks turn their texts into batches of token numbers, written
-once to the shared checkpoint folder.  A batch never sends tokens, only its
+How it runs: tasks turn their texts into batches of token numbers (the most
+frequent first, compressed), written once to the shared checkpoint folder.  A batch never sends tokens, only its
 distinct n-gram keys with partial counts, packed by key range.  A range sums
 them over all batches and answers each sender in the order of its keys
 (:func:`_totals`), with a mark for the first sender, which alone adds an
@@ -175,9 +175,20 @@ def _answers(right: pa.Table, topic: int, n: int, *kinds, marks: bool = False) -
 class Batch:
     """Token grams of a batch and what is known of them so far."""
 
+    @staticmethod
+    def pack(h: np.ndarray, bits: int, lens, ids, null, held) -> bytes:
+        """Token hashes to numbers by frequency; of the hashes only what messages carry stays."""
+        low = U64(24 - min(bits, 24))
+        k, _, inv = distinct(h >> low)
+        n = np.bincount(inv, minlength=len(k))
+        rank = np.empty(len(k), np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(len(k))
+        return pack(np.array([low], "<u8"), np.diff(k, prepend=U64(0)), n.astype("<u4"), rank[inv].astype("<u4"), lens.astype("<u4"), ids.astype("<i8"), null.astype(np.uint8), held.astype(np.uint8))
+
     def __init__(self, data: bytes):
-        keys, number, lens, self.ids, self.null, self.held = unpack(data, "<u8", "<u4", "<u4", "<i8", np.uint8, np.uint8)
-        self.k1, self.n1, self.lens = keys, number.astype(np.int64), lens.astype(np.int64)
+        low, step, n, rank, lens, self.ids, self.null, self.held = unpack(data, "<u8", "<u8", "<u4", "<u4", "<u4", "<i8", np.uint8, np.uint8)
+        self.k1, self.lens = np.cumsum(step) << low[0], lens.astype(np.int64)
+        self.n1 = np.argsort(-n.astype(np.int64), kind="stable")[rank]
         self.row = np.repeat(np.arange(len(self.lens)), self.lens)
         first = np.cumsum(self.lens) - self.lens
         self.pos = np.arange(len(self.n1)) - first[self.row]
@@ -246,27 +257,19 @@ def _gain(n: np.ndarray, of: np.ndarray, parent: np.ndarray) -> np.ndarray:
 
 
 def _numbered(bits: int):
-    """Texts to batches (topic 0) and their unigram and bigram counts."""
+    """Texts to batches."""
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
         hashes, lens, ids, held, size = [], [], [], [], 0
 
         def flush():
             nonlocal hashes, lens, ids, held, size, seq
-            h = np.concatenate(hashes)
-            k, _, inv = distinct(h)
             i = pa.concat_arrays(ids)
-            null = np.asarray(i.is_null())
-            state = pack(k, inv.astype("<u4"), np.concatenate(lens).astype("<u4"), np.asarray(i.fill_null(0)).astype("<i8"), null.astype(np.uint8), np.concatenate(held).astype(np.uint8))
+            state = Batch.pack(np.concatenate(hashes), bits, np.concatenate(lens), np.asarray(i.fill_null(0)), np.asarray(i.is_null()), np.concatenate(held))
             b = (part << 24) + seq
-            x = Batch(state)
-            x.bigrams()
-            rows = [(0, 0, b, state)]
-            rows += _messages(UNI, b, x.k1, bits, np.bincount(x.n1, x.train, len(x.k1)).astype("<u4"))
-            rows += _messages(BI, b, x.k2, bits, np.bincount(x.n2, x.train[x.at2], len(x.k2)).astype("<u4"))
             hashes, lens, ids, held, size = [], [], [], [], 0
             seq += 1
-            return _table(rows).to_batches()
+            return pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([state], pa.binary())], ["b", "data"])
 
         for batch in batches:
             for i, j, data, off in text_slices(batch.column(1)):
@@ -280,9 +283,22 @@ def _numbered(bits: int):
                 held.append(np.asarray(batch.column(2).slice(i, j - i)))
                 size += len(data) + 8 * (j - i)
                 if size >= BATCH_BYTES:
-                    yield from flush()
+                    yield flush()
         if hashes:
-            yield from flush()
+            yield flush()
+    return run
+
+
+def _pass1(bits: int):
+    """Unigram and bigram counts of the batches."""
+    def run(batches):
+        for batch in batches:
+            for b, state in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = Batch(state)
+                x.bigrams()
+                rows = _messages(UNI, b, x.k1, bits, np.bincount(x.n1, x.train, len(x.k1)).astype("<u4"))
+                rows += _messages(BI, b, x.k2, bits, np.bincount(x.n2, x.train[x.at2], len(x.k2)).astype("<u4"))
+                yield from _table(rows).to_batches()
     return run
 
 
@@ -367,11 +383,10 @@ def score_texts(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", te
     bits = max(0, (-(-size // RANGE_BYTES) - 1).bit_length())
     src = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t"), (~F.coalesce(is_training, F.lit(True))).alias("h"))
     with shuffles_removed(spark):
-        numbered = src.mapInArrow(_numbered(bits), MESSAGE).checkpoint()
-        state = numbered.where("topic = 0").select("b", "data")
+        state = src.mapInArrow(_numbered(bits), "b long, data binary").checkpoint()
         by_batch = lambda answers, f, schema: state.groupBy("b").cogroup(answers.where("b >= 0").groupBy("b")).applyInArrow(f, schema)
         settle = lambda messages: messages.groupBy("topic", "part").applyInArrow(_totals, MESSAGE).checkpoint()
-        one = settle(numbered.where("topic > 0"))
+        one = settle(state.mapInArrow(_pass1(bits), MESSAGE))
         sums = [unpack(bytes(r.data), "<i8")[0] for r in one.where("b = -1").select("data").toLocalIterator()]
         kinds, total = (int(sum(s[q] for s in sums)) for q in (0, 1))
         two = settle(by_batch(one, _pass2(bits, total, kinds), MESSAGE))

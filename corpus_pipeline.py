@@ -42,7 +42,10 @@ def near_duplicates(spark, docs, sf_dir):
 def repeated_passages(spark, docs, sf_dir):
     cut = suffixes.remove_repeats(docs, whole_chars=True)
     kept = cut.columns[-1]
-    return cut.withColumn("text", F.col(kept).cast("string")).select(*docs.columns)
+    cut = cut.withColumn("text", F.col(kept).cast("string"))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
 
 
 def contamination(spark, docs, sf_dir):
