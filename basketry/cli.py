@@ -73,8 +73,9 @@ def main(argv=None):
         from basketry.sources.events import read_json_lines_stream, read_kafka
         from basketry.streaming import pipelines as pl
         if a.kafka:
-            orders = read_kafka(spark, a.kafka, "orders", "latest").select("value")
-            views = read_kafka(spark, a.kafka, "product-view", "earliest").select("value")
+            kafka = lambda topic, feed: lambda job: read_kafka(
+                spark, a.kafka, topic, pl.OFFSETS[job, feed]).select("value")
+            orders, views = kafka("orders", "orders"), kafka("product-view", "views")
         else:
             orders = read_json_lines_stream(spark, a.orders).select("value")
             views = read_json_lines_stream(spark, a.views).select("value")

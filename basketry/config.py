@@ -47,8 +47,6 @@ COMPACT_EVERY = 100
 AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
 AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 
-# Skew handling for pair generation: groups with more distinct items than
-# this are split into ``SALT_BUCKETS`` sub-groups (see operators.baskets).
-HEAVY_GROUP_ITEMS = 4096
-SALT_BUCKETS = 16
-MAX_HEAVY_GROUPS = 10_000
+# Pair generation: every basket is dealt into blocks of about this many distinct
+# items, and each pair of blocks is one join key (see operators.baskets).
+PAIR_BLOCK_ITEMS = 512

@@ -8,13 +8,12 @@ Both are an equi self-join on the basket key with the residual
   same-product term ``n (n - 1) / 2`` separately;
 * B2 counts baskets (distinct items per (window, user)).
 
-Skew: a basket key (one user) may hold a large share of all rows.  Keys with
-more than ``heavy_items`` distinct items -- at most ``max_heavy`` of them, a
-bounded broadcast -- are split into ``salt`` sub-baskets on one side (by item
-hash) and replicated ``salt`` times on the other, so their pairs are produced
-by ``salt`` tasks instead of one.  Every other key takes the plain path; the
-result is exact either way.  The pair counts are partially aggregated before
-the shuffle on (item_a, item_b).
+Skew: a basket key (one user) may hold a large share of all rows.  Every basket
+is dealt by an item hash into ``ceil(size / block_items)`` blocks, one for
+ordinary baskets, and each pair of blocks is a join key of its own.  So one join
+key never yields more than about ``block_items ** 2`` pairs, whatever the size
+of the basket; there is no cap and no switch.  The pair counts are partially
+aggregated before the shuffle on (item_a, item_b).
 """
 
 from __future__ import annotations
@@ -30,40 +29,30 @@ from basketry.session import checkpoint_root
 
 def _materialize(df: DataFrame) -> DataFrame:
     """Write the pre-aggregated items once (reliable checkpoint in the shared
-    ``spark.checkpoint.dir``): they feed the heavy-key sizing, both join
+    ``spark.checkpoint.dir``): they feed the sizes, both join
     sides and the same-item term, and recomputing the upstream joins for
     each would multiply the scan.  Also cuts the lineage for recovery."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def _salted_pairs(items: DataFrame, keys: list[str], item: str, weight: str | None,
-                  heavy_items: int, salt: int, max_heavy: int) -> DataFrame:
+def _block_pairs(items: DataFrame, keys: list[str], item: str, weight: str | None,
+                 block_items: int) -> DataFrame:
     """(item_a, item_b, w) for every item_a < item_b sharing a key."""
-    aggs = [F.count(F.lit(1)).alias("_d")]
-    if weight:
-        # keep the weight column alive so this branch shares the item
-        # aggregation (and its shuffle) with the two join sides
-        aggs.append(F.sum(weight).alias("_rows"))
-    sizes = items.groupBy(*keys).agg(*aggs)
-    heavy = (sizes.where(F.col("_d") > F.lit(heavy_items))
-                  .orderBy(F.desc("_d")).limit(max_heavy)
-                  .select(*keys, F.lit(salt).alias("_s")))
-    tagged = (items.join(F.broadcast(heavy), keys, "left")
-                   .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1))))
-    a = tagged.select(*keys, F.col(item).alias("item_a"),
-                      F.pmod(F.xxhash64(item), F.col("_s")).cast("int").alias("_salt"),
-                      (F.col(weight) if weight else F.lit(1)).alias("_wa"))
-    b = tagged.select(*keys, F.col(item).alias("item_b"),
-                      F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"),
-                      (F.col(weight) if weight else F.lit(1)).alias("_wb"))
-    j = a.join(b, keys + ["_salt"]).where(F.col("item_a") < F.col("item_b"))
+    sizes = items.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("_k"))
+    tagged = items.join(sizes, keys).withColumn("_mine", F.pmod(F.xxhash64(item), F.col("_k")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_other")
+    w = (lambda: F.col(weight)) if weight else (lambda: F.lit(1))
+    a = tagged.select(*keys, F.col(item).alias("item_a"), w().alias("_wa"), F.col("_mine").alias("_ba"), other)
+    a = a.withColumnRenamed("_other", "_bb")
+    b = tagged.select(*keys, F.col(item).alias("item_b"), w().alias("_wb"), F.col("_mine").alias("_bb"), other)
+    b = b.withColumnRenamed("_other", "_ba")
+    j = a.join(b, [*keys, "_ba", "_bb"]).where(F.col("item_a") < F.col("item_b"))
     return j.select("item_a", "item_b", (F.col("_wa") * F.col("_wb")).cast("long").alias("w"))
 
 
 def basket_pairs(orders: DataFrame, user: str = "user_id", item: str = "product_id",
-                 heavy_items: int = config.HEAVY_GROUP_ITEMS, salt: int = config.SALT_BUCKETS,
-                 max_heavy: int = config.MAX_HEAVY_GROUPS, materialize: bool = True) -> DataFrame:
+                 block_items: int = config.PAIR_BLOCK_ITEMS, materialize: bool = True) -> DataFrame:
     """B1: whole-history pair counts per user, duplicates kept.
 
     For products p != q: sum over users of n_p * n_q; for (p, p):
@@ -73,7 +62,7 @@ def basket_pairs(orders: DataFrame, user: str = "user_id", item: str = "product_
                     .groupBy(user, item).agg(F.count(F.lit(1)).alias("_n")))
     if materialize:
         counts = _materialize(counts)
-    cross = _salted_pairs(counts, [user], item, "_n", heavy_items, salt, max_heavy)
+    cross = _block_pairs(counts, [user], item, "_n", block_items)
     same = counts.where(F.col("_n") > 1).select(
         F.col(item).alias("item_a"), F.col(item).alias("item_b"),
         (F.col("_n") * (F.col("_n") - 1) / 2).cast("long").alias("w"))
@@ -99,17 +88,14 @@ def window_baskets(orders: DataFrame, window: str = config.BASKET_WINDOW,
                   .distinct())
 
 
-def basket_pair_counts(baskets: DataFrame, heavy_items: int = config.HEAVY_GROUP_ITEMS,
-                       salt: int = config.SALT_BUCKETS,
-                       max_heavy: int = config.MAX_HEAVY_GROUPS,
+def basket_pair_counts(baskets: DataFrame, block_items: int = config.PAIR_BLOCK_ITEMS,
                        materialize: bool = True) -> DataFrame:
     """(product_id, recommended_product_id, co_purchase_count) over baskets
     given as distinct (window, user_id, product_id) rows.  ``materialize=False``
     when the caller already holds the baskets persisted (a micro-batch)."""
     if materialize:
         baskets = _materialize(baskets)
-    p = _salted_pairs(baskets, ["window", "user_id"], "product_id", None,
-                      heavy_items, salt, max_heavy)
+    p = _block_pairs(baskets, ["window", "user_id"], "product_id", None, block_items)
     return (p.groupBy("item_a", "item_b").agg(F.sum("w").alias("co_purchase_count"))
              .select(F.col("item_a").alias("product_id"),
                      F.col("item_b").alias("recommended_product_id"),

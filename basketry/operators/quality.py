@@ -74,14 +74,17 @@ def outlier_bounds(orders: DataFrame, sigmas: float = 3.0) -> tuple:
     return r["hi"], r["lo"]
 
 
-def price_outliers(orders: DataFrame, sigmas: float = 3.0, k: int | None = 20) -> DataFrame:
+def price_outliers(orders: DataFrame, sigmas: float = 3.0, k: int | None = 20,
+                   prices: DataFrame | None = None) -> DataFrame:
     """K41 (F7, J4): rows outside mean +- 3 sample stddev, newest first.
 
-    The bounds are literals in the second pass, so the predicate is pushed
+    ``prices`` may give the same prices from a cheaper view (no joins) for the
+    bounds.  The bounds are literals in the second pass (one action when the
+    DataFrame is built), so the predicate is pushed
     through the joins of a derived view into the parquet scan, where
     row-group min/max statistics skip the (mostly outlier-free) data.
     """
-    hi, lo = outlier_bounds(orders, sigmas)
+    hi, lo = outlier_bounds(orders if prices is None else prices, sigmas)
     conds = [F.col("price") > F.lit(hi)] if hi is not None else []
     if lo is not None:
         conds.append(F.col("price") < F.lit(lo))

@@ -1,6 +1,5 @@
 """Time series and metric samples: share of total (W1), counter rate with
-resets (W2), latest gauge (W3), series reducers (B8), Kafka-style metric
-panels re-aimed at a ``(ts, name, labels, value)`` samples table (K45-K49).
+resets (W2), latest gauge (W3), series reducers (B8), and event rates per topic.
 
 Window functions are always partitioned by series *and* by the rate window
 (or day), so no single series is ever sorted in one task.
@@ -16,14 +15,6 @@ from pyspark.sql import functions as F
 TOPIC_OF = {"purchase": "orders", "view": "product-view",
             "signup": "user-events", "click": "user-events", "error": "user-events"}
 
-MESSAGES_IN = "kafka_server_brokertopicmetrics_messagesinpersec"
-BYTES_IN = "kafka_server_brokertopicmetrics_bytesinpersec"
-BYTES_OUT = "kafka_server_brokertopicmetrics_bytesoutpersec"
-REQUESTS = "kafka_network_requestmetrics_requestspersec"
-REQUEST_TIME = "kafka_network_requestmetrics_totaltimems"
-PARTITIONS = "kafka_server_replicamanager_partitioncount"
-
-
 def share_of_total(df: DataFrame, value: str, alias: str = "share") -> DataFrame:
     """Value / total, the total being a scalar subquery (one global sum)."""
     total = df.select(F.sum(value).cast("double")).scalar()
@@ -38,64 +29,22 @@ def _topic():
     return e
 
 
-def metric_samples(events: DataFrame) -> DataFrame:
-    """Derive broker-style samples from the events table, one per minute:
+def event_rate(events: DataFrame, by: str = "topic", size: str | None = None,
+               window: str = "1 minute") -> DataFrame:
+    """Events (or bytes of column ``size``) per second, per window and topic or
+    event type: sums of the events themselves, partial per task."""
+    key = _topic() if by == "topic" else F.col(by)
+    e = events.select(F.window(F.col("ts").cast("timestamp"), window).alias("w"), key.alias(by),
+                      (F.octet_length(size) if size else F.lit(1)).alias("n"))
+    secs = (F.unix_seconds(F.col("w.end")) - F.unix_seconds(F.col("w.start"))).cast("double")
+    return (e.groupBy("w", by).agg(F.sum("n").alias("n"))
+             .select(F.col("w.start").alias("time"), by, (F.col("n") / secs).alias("rate")))
 
-    * counters (reset at every UTC midnight, like a daily broker restart):
-      messages and bytes in/out per topic, requests per type
-      (Produce = all events, Fetch = consumed topics: orders, product-view);
-    * gauges: request time (Produce = mean event value, Fetch = max event
-      value) and partition count (3 per topic seen in the minute).
 
-    The running counter is a window over (series, day): bounded per task.
-    """
-    e = events.select(F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("ts"),
-                      _topic().alias("topic"),
-                      F.octet_length("props").alias("bytes"),
-                      F.octet_length("event_type").alias("hdr"),
-                      F.col("value"))
-    per_topic = e.groupBy("ts", "topic").agg(
-        F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bi"),
-        F.sum(F.col("bytes") + F.col("hdr")).alias("bo"),
-        F.sum("value").alias("_sv"), F.count("value").alias("_nv"), F.max("value").alias("_mv"))
-    # per-minute request figures roll up from the per-topic rows: one scan
-    fetch = F.col("topic").isin("orders", "product-view")
-    per_req = per_topic.groupBy("ts").agg(
-        F.sum("m").alias("produce"),
-        F.sum(F.when(fetch, F.col("m")).otherwise(0)).alias("fetch"),
-        F.try_divide(F.sum("_sv"), F.sum("_nv")).alias("t_produce"),
-        F.max(F.when(fetch, F.col("_mv"))).alias("t_fetch"),
-        (F.count(F.col("topic")) * 3).alias("parts"))
-
-    def lab(k, v):
-        return F.create_map(F.lit(k), v)
-
-    inc = F.explode(F.array(
-        F.struct(F.lit(MESSAGES_IN).alias("name"), lab("topic", F.col("topic")).alias("labels"),
-                 F.col("m").cast("double").alias("d")),
-        F.struct(F.lit(BYTES_IN).alias("name"), lab("topic", F.col("topic")).alias("labels"),
-                 F.col("bi").cast("double").alias("d")),
-        F.struct(F.lit(BYTES_OUT).alias("name"), lab("topic", F.col("topic")).alias("labels"),
-                 F.col("bo").cast("double").alias("d")))).alias("s")
-    req = F.explode(F.array(
-        F.struct(F.lit(REQUESTS).alias("name"), lab("request", F.lit("Produce")).alias("labels"),
-                 F.col("produce").cast("double").alias("d")),
-        F.struct(F.lit(REQUESTS).alias("name"), lab("request", F.lit("Fetch")).alias("labels"),
-                 F.col("fetch").cast("double").alias("d")))).alias("s")
-    deltas = (per_topic.select("ts", inc).select("ts", "s.*")
-              .unionByName(per_req.select("ts", req).select("ts", "s.*")))
-    day = Window.partitionBy("name", F.col("labels")["topic"], F.col("labels")["request"],
-                             F.to_date("ts")).orderBy("ts") \
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counters = deltas.select("ts", "name", "labels", F.sum("d").over(day).alias("value"))
-    gauges = per_req.select("ts", F.explode(F.array(
-        F.struct(F.lit(REQUEST_TIME).alias("name"), lab("request", F.lit("Produce")).alias("labels"),
-                 F.col("t_produce").alias("value")),
-        F.struct(F.lit(REQUEST_TIME).alias("name"), lab("request", F.lit("Fetch")).alias("labels"),
-                 F.col("t_fetch").alias("value")),
-        F.struct(F.lit(PARTITIONS).alias("name"), F.create_map().cast("map<string,string>").alias("labels"),
-                 F.col("parts").cast("double").alias("value")))).alias("s")).select("ts", "s.*")
-    return counters.unionByName(gauges.where(F.col("value").isNotNull()))
+def latest_value(events: DataFrame, by: str = "event_type") -> DataFrame:
+    """W3 over events: the newest ``value`` of each event type (ties: largest event_id)."""
+    return (events.where(F.col("value").isNotNull()).groupBy(by)
+            .agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"), F.max("ts").cast("timestamp").alias("ts")))
 
 
 def counter_rate(samples: DataFrame, name: str, label: str, window: str = "1 minute") -> DataFrame:

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from basketry.functions.exprs import lookback
 from basketry.operators import baskets, kpis, segments, stats, windows
 from basketry.plans.registry import register
 from basketry.plans.sqlviews import funnel_table, revenue_table, with_
 from basketry.sources import fixtures as fx
 
 
-def revenue5(spark, sf):
-    return windows.revenue_by_currency(fx.orders_raw(spark, sf), "5 minutes")
+def _since(df, interval):
+    """Rows that a window starting within the lookback can hold.  A window holds
+    no row before its start, so this bound on the rows reaches the Parquet scan
+    while the window filter itself stays with the reader of the table."""
+    return df if interval is None else df.where(lookback("timestamp", interval, inclusive=True))
 
 
-def funnel(spark, sf, width="5 minutes"):
-    return windows.conversion_funnel_from_events(fx.funnel_events(spark, sf), width)
+def revenue5(spark, sf, since=None):
+    return windows.revenue_by_currency(_since(fx.orders_raw(spark, sf), since), "5 minutes")
+
+
+def funnel(spark, sf, width="5 minutes", since=None):
+    return windows.conversion_funnel_from_events(_since(fx.funnel_events(spark, sf), since), width)
 
 
 REV = with_("orders_raw", revenue_table("revenue"))
@@ -132,30 +140,32 @@ FROM {src} WHERE "timestamp" IS NOT NULL GROUP BY 1 ORDER BY 1"""
 
 
 _SOURCES = {"": fx.orders_raw, "_line": fx.line_orders}
+_USERS = {"": fx.orders_raw, "_line": fx.line_users}     # no currency asked
+_PRICES = {"": fx.orders_raw, "_line": fx.line_items}    # neither user nor currency asked
 _SRC_SQL = {"": "orders_raw", "_line": "line_orders"}
 
 for _sfx, _load in _SOURCES.items():
     _src = _SRC_SQL[_sfx]
     _m = 2 if _sfx else 6   # line-order totals: compare at cents
     register(f"q10_user_segments_top30{_sfx}", _q10_sql(_src))(
-        lambda s, d, L=_load: segments.user_segments(L(s, d), 30))
+        lambda s, d, L=_USERS[_sfx]: segments.user_segments(L(s, d), 30))
     register(f"q11_segment_summary{_sfx}", _q11_sql(_src, _m),
              cents=("segment_revenue",) if _sfx else ())(
-        lambda s, d, L=_load: segments.segment_summary(L(s, d)))
+        lambda s, d, L=_USERS[_sfx]: segments.segment_summary(L(s, d)))
     register(f"q12_revenue_by_currency{_sfx}", _q12_sql(_src, _m),
              cents=("revenue",) if _sfx else ())(
         lambda s, d, L=_load: kpis.revenue_by_currency_total(L(s, d)))
     register(f"q13_vip_users_top10{_sfx}", _q13_sql(_src))(
-        lambda s, d, L=_load: segments.vip_users(L(s, d)))
+        lambda s, d, L=_USERS[_sfx]: segments.vip_users(L(s, d)))
     register(f"q14_product_cooccurrence_top10{_sfx}", _q14_sql(_src))(
-        lambda s, d, L=_load: baskets.top_pairs(baskets.basket_pairs(L(s, d)), 10))
+        lambda s, d, L=_USERS[_sfx]: baskets.top_pairs(baskets.basket_pairs(L(s, d)), 10))
     register(f"q15_price_distribution{_sfx}", _q15_sql(_src))(
-        lambda s, d, L=_load: stats.price_distribution(L(s, d)))
+        lambda s, d, L=_PRICES[_sfx]: stats.price_distribution(L(s, d)))
     register(f"q16_orders_by_hour{_sfx}", _q16_sql(_src))(
-        lambda s, d, L=_load: stats.orders_by_hour(L(s, d)))
+        lambda s, d, L=_PRICES[_sfx]: stats.orders_by_hour(L(s, d)))
 
 register("q14_product_cooccurrence_top10_salted", _q14_sql("orders_raw"))(
-    lambda s, d: baskets.top_pairs(baskets.basket_pairs(fx.orders_raw(s, d), heavy_items=0, salt=4), 10))
+    lambda s, d: baskets.top_pairs(baskets.basket_pairs(fx.orders_raw(s, d), block_items=4), 10))
 
 
 # ---- Q17-Q23 ---------------------------------------------------------------------

@@ -54,7 +54,7 @@ register("k09_top_product", O + """
 SELECT product_id, COUNT(*) AS value FROM orders_raw GROUP BY product_id
 ORDER BY value DESC, product_id LIMIT 1""")(lambda s, d: kpis.product_counts(_o(s, d), 1))
 
-for _sfx, _L, _src in (("", fx.orders_raw, "orders_raw"), ("_line", fx.line_orders, "line_orders")):
+for _sfx, _L, _src in (("", fx.orders_raw, "orders_raw"), ("_line", fx.line_users, "line_orders")):
     register(f"k10_top_products_top20{_sfx}", with_(_src) + f"""
 SELECT product_id, COUNT(*) AS order_count, ROUND(SUM(price), 6) AS total_revenue,
        ROUND(AVG(price), 6) AS avg_price, COUNT(DISTINCT user_id) AS unique_buyers
@@ -166,13 +166,13 @@ for _iv, _op, _lab, _t in (("2 hours", ">", "currency", "2h"), ("1 hour", ">=",
                            ("30 days", ">", "currency", "30d")):
     inc = _op == ">="
     register(f"k24_revenue_window_series_{_t}", _series_sql("ROUND(total_revenue, 6)", _iv, _op, _lab))(
-        lambda s, d, iv=_iv, i=inc, lb=_lab: kpis.window_series(revenue5(s, d), "total_revenue", iv,
+        lambda s, d, iv=_iv, i=inc, lb=_lab: kpis.window_series(revenue5(s, d, iv), "total_revenue", iv,
                                                                 inclusive=i, label=lb))
     register(f"k25_order_count_window_series_{_t}", _series_sql("order_count", _iv, _op, _lab))(
-        lambda s, d, iv=_iv, i=inc, lb=_lab: kpis.window_series(revenue5(s, d), "order_count", iv,
+        lambda s, d, iv=_iv, i=inc, lb=_lab: kpis.window_series(revenue5(s, d, iv), "order_count", iv,
                                                                 inclusive=i, label=lb))
     register(f"k26_aov_window_series_{_t}", _series_sql("ROUND(avg_order_value, 6)", _iv, _op, _lab))(
-        lambda s, d, iv=_iv, i=inc, lb=_lab: kpis.window_series(revenue5(s, d), "avg_order_value", iv,
+        lambda s, d, iv=_iv, i=inc, lb=_lab: kpis.window_series(revenue5(s, d, iv), "avg_order_value", iv,
                                                                 inclusive=i, label=lb))
 
 register("k27_latest_revenue_windows_top20", REV + """
@@ -187,12 +187,12 @@ SELECT window_start, window_end, currency, ROUND(total_revenue, 6) AS total_reve
        ROUND(avg_order_value, 6) AS avg_order_value
 FROM revenue WHERE window_start >= {NOW} - INTERVAL '{_iv}'
 ORDER BY window_start DESC, total_revenue DESC, currency LIMIT 50""")(
-        lambda s, d, iv=_iv: kpis.latest_revenue_windows(revenue5(s, d), 50, iv))
+        lambda s, d, iv=_iv: kpis.latest_revenue_windows(revenue5(s, d, iv), 50, iv))
 
 for _iv, _t in (("30 minutes", "30m"), ("30 days", "30d")):
     register(f"k43_active_windows_{_t}", REV + f"""
 SELECT COUNT(*) AS active_windows FROM revenue WHERE window_start >= {NOW} - INTERVAL '{_iv}'""")(
-        lambda s, d, iv=_iv: kpis.active_windows(revenue5(s, d), iv))
+        lambda s, d, iv=_iv: kpis.active_windows(revenue5(s, d, iv), iv))
 
 
 # ---- K28-K35 over the funnel table ---------------------------------------------------
@@ -211,39 +211,39 @@ for _w, _iv, _t in (("5 minutes", None, "5min"), ("1 day", "30 days", "1day_30d"
     F_ = _fun(_w)
     register(f"k28_mean_conversion_rate_{_t}", F_ + f"""
 SELECT ROUND(AVG(conversion_rate), 6) AS avg_conversion_rate FROM conversion {_where(iv28)}""")(
-        lambda s, d, w=_w, iv=iv28: kpis.mean_conversion_rate(funnel(s, d, w), iv))
+        lambda s, d, w=_w, iv=iv28: kpis.mean_conversion_rate(funnel(s, d, w, iv), iv))
     register(f"k29_conversion_rate_per_window_{_t}", F_ + f"""
 SELECT window_start AS time, ROUND(AVG(conversion_rate), 6) AS conversion_rate FROM conversion
 {_where(iv24)} GROUP BY window_start""")(
-        lambda s, d, w=_w, iv=iv24: kpis.conversion_rate_per_window(funnel(s, d, w), iv))
+        lambda s, d, w=_w, iv=iv24: kpis.conversion_rate_per_window(funnel(s, d, w, iv), iv))
     register(f"k30_views_orders_per_window_{_t}", F_ + f"""
 SELECT window_start AS time, CAST(SUM(view_count) AS BIGINT) AS views,
        CAST(SUM(order_count) AS BIGINT) AS orders
 FROM conversion {_where(iv24)} GROUP BY window_start""")(
-        lambda s, d, w=_w, iv=iv24: kpis.views_orders_per_window(funnel(s, d, w), iv))
+        lambda s, d, w=_w, iv=iv24: kpis.views_orders_per_window(funnel(s, d, w, iv), iv))
     register(f"k31_top_converting_users_top20_{_t}", F_ + f"""
 SELECT user_id, CAST(SUM(view_count) AS BIGINT) AS total_views, CAST(SUM(order_count) AS BIGINT) AS total_orders,
        ROUND(AVG(conversion_rate), 6) AS conversion_rate
 FROM conversion {_where(iv24)} GROUP BY user_id HAVING SUM(view_count) > 0
 ORDER BY AVG(conversion_rate) DESC, user_id LIMIT 20""")(
-        lambda s, d, w=_w, iv=iv24: kpis.top_converting_users(funnel(s, d, w), iv, 20))
+        lambda s, d, w=_w, iv=iv24: kpis.top_converting_users(funnel(s, d, w, iv), iv, 20))
     register(f"k32_converted_split_{_t}", F_ + f"""
 SELECT 'Converted' AS status, CAST(SUM(order_count) AS BIGINT) AS count FROM conversion {_where(iv24)}
 UNION ALL
 SELECT 'Not Converted' AS status, CAST(SUM(view_count - order_count) AS BIGINT) AS count
 FROM conversion {_where(iv24)}""")(
-        lambda s, d, w=_w, iv=iv24: kpis.converted_split(funnel(s, d, w), iv))
+        lambda s, d, w=_w, iv=iv24: kpis.converted_split(funnel(s, d, w, iv), iv))
     register(f"k33_total_views_{_t}", F_ + f"""
 SELECT CAST(SUM(view_count) AS BIGINT) AS total_views FROM conversion {_where(iv24)}""")(
-        lambda s, d, w=_w, iv=iv24: kpis.funnel_total(funnel(s, d, w), "view_count", "total_views", iv))
+        lambda s, d, w=_w, iv=iv24: kpis.funnel_total(funnel(s, d, w, iv), "view_count", "total_views", iv))
     register(f"k34_total_conversions_{_t}", F_ + f"""
 SELECT CAST(SUM(order_count) AS BIGINT) AS total_conversions FROM conversion {_where(iv24)}""")(
-        lambda s, d, w=_w, iv=iv24: kpis.funnel_total(funnel(s, d, w), "order_count",
+        lambda s, d, w=_w, iv=iv24: kpis.funnel_total(funnel(s, d, w, iv), "order_count",
                                                       "total_conversions", iv))
     register(f"k35_conversion_matrix_{_t}", F_ + f"""
 SELECT window_start AS time, user_id, ROUND(conversion_rate, 6) AS conversion_rate FROM conversion
 {_where(iv24)} AND view_count > 0""")(
-        lambda s, d, w=_w, iv=iv24: kpis.conversion_matrix(funnel(s, d, w), iv))
+        lambda s, d, w=_w, iv=iv24: kpis.conversion_matrix(funnel(s, d, w, iv), iv))
 
 
 # ---- K42, K44 ------------------------------------------------------------------------

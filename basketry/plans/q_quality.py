@@ -39,12 +39,22 @@ for _sfx, _L, _src in (("", fx.orders_raw, "orders_raw"), ("_line", fx.line_orde
     register(f"k38_order_id_uniqueness_pct{_sfx}", with_(_src) + f"""
 SELECT ROUND(CAST(COUNT(DISTINCT order_id) AS DOUBLE) / NULLIF(COUNT(*), 0) * 100, 6)
          AS order_id_uniqueness_pct
-FROM {_src}""")(lambda s, d, L=_L: quality.order_id_uniqueness_pct(L(s, d)))
+FROM {_src}""")(
+        lambda s, d, L=fx.line_items if _sfx else fx.orders_raw: quality.order_id_uniqueness_pct(L(s, d)))
     register(f"k41_price_outliers_top20{_sfx}", with_(_src) + f"""
 SELECT order_id, user_id, product_id, price, currency, "timestamp" FROM {_src}
 WHERE price > (SELECT AVG(price) + 3 * STDDEV(price) FROM {_src})
    OR price < (SELECT AVG(price) - 3 * STDDEV(price) FROM {_src} WHERE price > 0)
-ORDER BY "timestamp" DESC, order_id LIMIT 20""")(lambda s, d, L=_L: quality.price_outliers(L(s, d)))
+ORDER BY "timestamp" DESC, order_id LIMIT 20""")(
+        lambda s, d, L=_L, P=fx.line_items if _sfx else fx.orders_raw: quality.price_outliers(L(s, d), prices=P(s, d)))
+
+# uniform line prices have no 3-sigma outliers: the same question at 1.5 sigma has rows
+register("k41_price_outliers_top20_line_1_5sigma", with_("line_orders") + """
+SELECT order_id, user_id, product_id, price, currency, "timestamp" FROM line_orders
+WHERE price > (SELECT AVG(price) + 1.5 * STDDEV(price) FROM line_orders)
+   OR price < (SELECT AVG(price) - 1.5 * STDDEV(price) FROM line_orders WHERE price > 0)
+ORDER BY "timestamp" DESC, order_id LIMIT 20""")(
+    lambda s, d: quality.price_outliers(fx.line_orders(s, d), 1.5, prices=fx.line_items(s, d)))
 
 register("k41_price_outliers_all", O + """
 SELECT order_id, user_id, product_id, price, currency, "timestamp" FROM orders_raw

@@ -1,5 +1,5 @@
-"""Metric panels re-aimed at samples derived from ``events`` (W2, W3,
-K45-K49), series reducers (B8) and bands (X22)."""
+"""Rates and latest values of ``events`` (W3, K45-K47, K49), series reducers
+(B8) and bands (X22)."""
 
 from __future__ import annotations
 
@@ -14,91 +14,34 @@ from basketry.sources import fixtures as fx
 _TOPIC = ("CASE event_type WHEN 'purchase' THEN 'orders' WHEN 'view' THEN 'product-view' "
           "WHEN 'signup' THEN 'user-events' WHEN 'click' THEN 'user-events' "
           "WHEN 'error' THEN 'user-events' END")
-_FETCH = "topic IN ('orders', 'product-view')"
 
-SAMPLES = f"""WITH e AS (
-  SELECT date_trunc('minute', ts) AS ts, {_TOPIC} AS topic, strlen(props) AS bytes,
-         strlen(event_type) AS hdr, value FROM events),
-per_topic AS (SELECT ts, topic, COUNT(*) AS m, SUM(bytes) AS bi, SUM(bytes + hdr) AS bo
-              FROM e GROUP BY 1, 2),
-per_req AS (SELECT ts, COUNT(*) AS produce, COUNT(*) FILTER (WHERE {_FETCH}) AS fetches,
-                   AVG(value) AS t_produce, MAX(CASE WHEN {_FETCH} THEN value END) AS t_fetch,
-                   COUNT(DISTINCT topic) * 3 AS parts
-            FROM e GROUP BY 1),
-deltas AS (
-  SELECT ts, '{series.MESSAGES_IN}' AS name, topic AS lab, CAST(m AS DOUBLE) AS d FROM per_topic
-  UNION ALL SELECT ts, '{series.BYTES_IN}', topic, CAST(bi AS DOUBLE) FROM per_topic
-  UNION ALL SELECT ts, '{series.BYTES_OUT}', topic, CAST(bo AS DOUBLE) FROM per_topic
-  UNION ALL SELECT ts, '{series.REQUESTS}', 'Produce', CAST(produce AS DOUBLE) FROM per_req
-  UNION ALL SELECT ts, '{series.REQUESTS}', 'Fetch', CAST(fetches AS DOUBLE) FROM per_req),
-samples AS (
-  SELECT ts, name, lab, SUM(d) OVER (PARTITION BY name, lab, CAST(ts AS DATE) ORDER BY ts
-                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
-  FROM deltas
-  UNION ALL SELECT ts, '{series.REQUEST_TIME}', 'Produce', t_produce FROM per_req WHERE t_produce IS NOT NULL
-  UNION ALL SELECT ts, '{series.REQUEST_TIME}', 'Fetch', t_fetch FROM per_req WHERE t_fetch IS NOT NULL
-  UNION ALL SELECT ts, '{series.PARTITIONS}', NULL, CAST(parts AS DOUBLE) FROM per_req)
-"""
 
+def _rate_sql(key: str, label: str, value: str = "COUNT(*)") -> str:
+    return f"""SELECT date_trunc('minute', ts) AS time, {key} AS {label}, {value} / CAST(60.0 AS DOUBLE) AS rate
+FROM events GROUP BY 1, 2"""
 
-def _rate_sql(name: str, label: str) -> str:
-    return SAMPLES + f""",
-s AS (SELECT ts, lab AS {label}, value, CAST(ts AS DATE) AS day,
-             time_bucket(INTERVAL '1 minute', ts, TIMESTAMP '1970-01-01 00:00:00') AS w
-      FROM samples WHERE name = '{name}'),
-days AS (SELECT {label}, day, arg_max(value, ts) AS last_v FROM s GROUP BY 1, 2),
-carry AS (SELECT {label}, day, LAG(last_v) OVER (PARTITION BY {label} ORDER BY day) AS carry_v FROM days),
-d AS (SELECT s.w, s.{label}, s.value,
-             COALESCE(LAG(s.value) OVER (PARTITION BY s.{label}, s.day ORDER BY s.ts), c.carry_v) AS prev
-      FROM s JOIN carry c ON s.{label} = c.{label} AND s.day = c.day)
-SELECT w AS time, {label},
-       ROUND(SUM(CASE WHEN prev IS NULL THEN NULL WHEN value < prev THEN value ELSE value - prev END) / 60.0, 6)
-         AS rate
-FROM d GROUP BY 1, 2
-HAVING SUM(CASE WHEN prev IS NULL THEN NULL WHEN value < prev THEN value ELSE value - prev END) IS NOT NULL"""
 
+def _rounded(sql: str, label: str) -> str:
+    return f"SELECT time, {label}, ROUND(rate, 6) AS rate FROM ({sql}) z"
 
-def _samples(s, d):
-    return series.metric_samples(fx.table(s, d, "events"))
 
+def _events(s, d):
+    return fx.table(s, d, "events")
 
-register("k45_messages_in_rate_by_topic", _rate_sql(series.MESSAGES_IN, "topic"))(
-    lambda s, d: series.counter_rate(_samples(s, d), series.MESSAGES_IN, "topic"))
-register("k46_bytes_in_rate_by_topic", _rate_sql(series.BYTES_IN, "topic"))(
-    lambda s, d: series.counter_rate(_samples(s, d), series.BYTES_IN, "topic"))
-register("k46_bytes_out_rate_by_topic", _rate_sql(series.BYTES_OUT, "topic"))(
-    lambda s, d: series.counter_rate(_samples(s, d), series.BYTES_OUT, "topic"))
-def _banded_rate_sql(name: str, label: str) -> str:
-    # X22 request-rate bands (5 / 10 ops/s) on the unrounded rate
-    return "SELECT time, " + label + ", rate, CASE WHEN raw >= 10.0 THEN 'critical' " \
-        "WHEN raw >= 5.0 THEN 'warning' ELSE 'ok' END AS status FROM (" + \
-        _rate_sql(name, label).replace(" AS rate\nFROM d", " AS rate,\n       SUM(CASE WHEN prev IS NULL "
-                                       "THEN NULL WHEN value < prev THEN value ELSE value - prev END)"
-                                       " / 60.0 AS raw\nFROM d") + ") z"
 
-
-register("k49_request_rate_by_type", _banded_rate_sql(series.REQUESTS, "request"))(
-    lambda s, d: quality.banded(series.counter_rate(_samples(s, d), series.REQUESTS, "request"),
-                                "rate", quality.RATE_BANDS))
-
-
-def _latency_sql(kind: str) -> str:
-    v = "arg_max(value, ts)"
-    return SAMPLES + f"""
-SELECT lab AS request, ROUND({v}, 6) AS value, MAX(ts) AS ts,
-       CASE WHEN {v} >= 500.0 THEN 'critical' WHEN {v} >= 100.0 THEN 'warning' ELSE 'ok' END AS status
-FROM samples WHERE name = '{series.REQUEST_TIME}' AND lab = '{kind}' GROUP BY lab"""
-
-
-for _kind in ("Produce", "Fetch"):
-    register(f"k47_{_kind.lower()}_latency_latest", _latency_sql(_kind))(
-        lambda s, d, k=_kind: quality.banded(
-            series.latest_gauge(_samples(s, d), series.REQUEST_TIME, "request", k),
-            "value", quality.LATENCY_BANDS))
-
-register("k48_partition_count_latest", SAMPLES + f"""
-SELECT arg_max(value, ts) AS value, MAX(ts) AS ts FROM samples WHERE name = '{series.PARTITIONS}'""")(
-    lambda s, d: series.latest_gauge(_samples(s, d), series.PARTITIONS))
+register("k45_messages_in_rate_by_topic", _rounded(_rate_sql(_TOPIC, "topic"), "topic"))(
+    lambda s, d: series.event_rate(_events(s, d)))
+register("k46_bytes_in_rate_by_topic", _rounded(_rate_sql(_TOPIC, "topic", "SUM(strlen(props))"), "topic"))(
+    lambda s, d: series.event_rate(_events(s, d), size="props"))
+register("k49_request_rate_by_type", f"""SELECT time, event_type, ROUND(rate, 6) AS rate,
+       CASE WHEN rate >= 10.0 THEN 'critical' WHEN rate >= 5.0 THEN 'warning' ELSE 'ok' END AS status
+FROM ({_rate_sql('event_type', 'event_type')}) z""")(
+    lambda s, d: quality.banded(series.event_rate(_events(s, d), "event_type"), "rate", quality.RATE_BANDS))
+register("k47_latest_value_by_event_type", """SELECT event_type, ROUND(value, 6) AS value, ts,
+       CASE WHEN value >= 500.0 THEN 'critical' WHEN value >= 100.0 THEN 'warning' ELSE 'ok' END AS status
+FROM (SELECT event_type, arg_max(value, (ts, event_id)) AS value, MAX(ts) AS ts
+      FROM events WHERE value IS NOT NULL GROUP BY event_type) z""")(
+    lambda s, d: quality.banded(series.latest_value(_events(s, d)), "value", quality.LATENCY_BANDS))
 
 register("b8_revenue_series_reducers", with_("orders_raw", revenue_table("revenue")) + """
 , ser AS (SELECT window_start AS time, currency AS metric, total_revenue AS value FROM revenue)

@@ -1,54 +1,40 @@
-"""The batch SQL jobs written in Spark SQL over temp views (SRC6).
+"""A question asked in Spark SQL over the registered views (SRC6).
 
-Same questions as Q06, Q10 and Q11, expressed as ``spark.sql`` text over the
-registered fixture views; Catalyst produces the same plans as the DataFrame
-forms.  Temp views are resolved when the query is analysed, so re-registering
-them for another table set does not change an existing DataFrame.
+The spend ladder of ``config.SEGMENTS`` becomes a SQL expression, so text and
+DataFrame forms share one list of thresholds.
 """
 
 from __future__ import annotations
 
-from basketry.operators import windows
-from basketry.plans.q_batch import _q10_sql, _q11_sql
+from basketry import config
 from basketry.plans.registry import register
-from basketry.plans.sqlviews import revenue_table, with_
+from basketry.plans.sqlviews import with_
 from basketry.sources import fixtures as fx
 
-SEGMENT = """CASE WHEN SUM(price) > 1000 THEN 'VIP' WHEN SUM(price) > 500 THEN 'Premium'
-                  WHEN SUM(price) > 100 THEN 'Regular' ELSE 'New' END"""
-
-
-@register("q10_user_segments_top30_sparksql", _q10_sql("orders_raw"))
-def q10_sql(spark, sf):
-    fx.orders_raw(spark, sf).createOrReplaceTempView("orders_raw")
-    return spark.sql(f"""
-        SELECT user_id, COUNT(*) AS total_orders, SUM(price) AS total_spent,
-               AVG(price) AS avg_order_value, MIN(price) AS min_order, MAX(price) AS max_order,
-               {SEGMENT} AS segment
-        FROM orders_raw GROUP BY user_id ORDER BY total_spent DESC, user_id LIMIT 30""")
-
-
-@register("q11_segment_summary_sparksql", _q11_sql("orders_raw"))
-def q11_sql(spark, sf):
-    fx.orders_raw(spark, sf).createOrReplaceTempView("orders_raw")
-    return spark.sql(f"""
-        WITH user_segments AS (
-          SELECT user_id, SUM(price) AS total_spent, COUNT(*) AS order_count, {SEGMENT} AS segment
-          FROM orders_raw GROUP BY user_id)
-        SELECT segment, COUNT(*) AS user_count, SUM(total_spent) AS segment_revenue,
-               AVG(total_spent) AS avg_user_value, SUM(order_count) AS total_orders
-        FROM user_segments GROUP BY segment ORDER BY segment_revenue DESC""")
-
-
-@register("q06_top_currencies_sparksql", with_("orders_raw", revenue_table("revenue")) + """
-SELECT currency, ROUND(SUM(total_revenue), 6) AS total_revenue,
-       CAST(SUM(order_count) AS BIGINT) AS total_orders,
-       ROUND(AVG(avg_order_value), 6) AS avg_order_value
-FROM revenue GROUP BY currency""")
-def q06_sql(spark, sf):
-    windows.revenue_by_currency(fx.orders_raw(spark, sf)).createOrReplaceTempView(
-        "revenue_by_currency_5min")
-    return spark.sql("""
-        SELECT currency, SUM(total_revenue) AS total_revenue, SUM(order_count) AS total_orders,
-               AVG(avg_order_value) AS avg_order_value
-        FROM revenue_by_currency_5min GROUP BY currency ORDER BY total_revenue DESC""")
+
+def ladder(total: str) -> str:
+    """The spend segment of a total, from the configured thresholds."""
+    steps = " ".join(f"WHEN {total} > {low} THEN '{label}'" for label, low in config.SEGMENTS)
+    return f"CASE {steps} ELSE '{config.SEGMENT_DEFAULT}' END"
+
+
+#: Users per spend segment and the share that viewed before their first purchase.
+_BUYERS = """
+buyers AS (SELECT user_id, SUM(price) AS spent, MIN({ts}) AS first_order, COUNT(DISTINCT currency) AS currencies
+           FROM orders_raw GROUP BY user_id),
+lookers AS (SELECT user_id, MIN({ts}) AS first_view FROM product_views GROUP BY user_id)
+SELECT {ladder} AS segment, COUNT(*) AS users,
+       SUM(CASE WHEN l.first_view < b.first_order THEN 1 ELSE 0 END) AS viewed_first,
+       SUM(CASE WHEN l.user_id IS NULL THEN 1 ELSE 0 END) AS never_viewed,
+       MAX(b.currencies) AS most_currencies
+FROM buyers b LEFT JOIN lookers l ON l.user_id = b.user_id
+GROUP BY {ladder}"""
+
+_ORACLE = with_("orders_raw", "product_views") + "," + _BUYERS.format(ts='"timestamp"', ladder=ladder("b.spent")) \
+    .replace("SUM(CASE", "CAST(SUM(CASE").replace("END) AS viewed", "END) AS BIGINT) AS viewed").replace("END) AS never", "END) AS BIGINT) AS never")
+
+
+@register("sql_segments_viewing_first", _ORACLE)
+def segments_viewing_first(spark, sf):
+    fx.register_views(spark, sf)
+    return spark.sql("WITH" + _BUYERS.format(ts="timestamp", ladder=ladder("b.spent")))

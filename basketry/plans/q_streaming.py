@@ -25,11 +25,11 @@ PIECES = 4
 
 @register("st_orders_ingest", with_("orders_raw") + "SELECT * FROM orders_raw")
 def st_orders(spark, sf):
-    """Q01: decode, dedupe on order id, idempotent append."""
+    """Q01: decode, idempotent append of every row, one row per order id on read."""
     root = replay(spark, sf, lambda st, root: pl.start_orders_ingest(
         st["orders"], f"{root}/tables/orders_raw", f"{root}/checkpoints", NOW_TRIGGER,
         quarantine_path=f"{root}/tables/orders_quarantine"), "orders", PIECES, ("orders",))
-    return sinks.read_appended(spark, f"{root}/tables/orders_raw", schemas.ORDERS_RAW)
+    return sinks.read_orders(spark, f"{root}/tables/orders_raw", schemas.ORDERS_RAW)
 
 
 @register("st_revenue_by_currency_5min", _revenue_sql("5 minutes"))

@@ -86,4 +86,4 @@ def q04(spark, sf):
 def q04_salted(spark, sf):
     """B2 with every basket forced through the skew (salted) path."""
     return baskets.recommendations(fx.orders_raw(spark, sf), updated_at=config.AS_OF,
-                                   heavy_items=0, salt=4)
+                                   block_items=2)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,6 +70,4 @@ def run_dir(spark: SparkSession, *parts: str) -> str:
     root = checkpoint_root(spark)
     name = "-".join(p for p in parts if p) or "run"
     path = f"{root}/basketry/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path

@@ -100,6 +100,27 @@ def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _line_cols(*more):
+    return [F.concat(F.lit("o"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                     F.col("l_linenumber").cast("string")).alias("order_id"), *more,
+            prefixed_id("p", "l_partkey").alias("product_id"),
+            F.col("l_extendedprice").alias("price"),
+            _event_time("l_shipdate").alias("timestamp")]
+
+
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_orders`` without user and currency: lineitem alone.  The view's
+    joins are foreign-key lookups, so the rows are the same."""
+    return table(spark, sf_dir, "lineitem").select(*_line_cols())
+
+
+def line_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_orders`` without currency: lineitem and orders."""
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf_dir, "lineitem")
+    return li.join(od, li.l_orderkey == od.o_orderkey).select(*_line_cols(prefixed_id("u", "o_custkey").alias("user_id")))
+
+
 def funnel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views and purchases as one (user_id, timestamp, event_type) frame from a
     single scan of ``events``; the same rows as ``windows.funnel_events(

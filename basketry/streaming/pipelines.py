@@ -60,18 +60,24 @@ def views_stream(raw: DataFrame) -> DataFrame:
 
 def start_orders_ingest(raw_orders: DataFrame, table_path: str, checkpoint: str,
                         trigger: Trigger = Trigger(), watermark: str = config.WATERMARK,
-                        quarantine_path: str | None = None) -> list[StreamingQuery]:
-    """Q01: decoded orders appended once per order id (ST13, SNK1, T6).
+                        quarantine_path: str | None = None,
+                        drop_late: bool = False) -> list[StreamingQuery]:
+    """Q01: every decoded order is appended, however late (SNK1, T6).
 
-    Duplicates are removed across micro-batches by
-    ``dropDuplicatesWithinWatermark`` (state expires with the watermark) and
-    within a batch by the sink; batch-id directories make retries idempotent.
+    The append is stateless: batch-id directories make retries idempotent, the
+    sink removes duplicates inside a batch, and ``sinks.read_orders`` settles
+    those across batches by order id, the earliest row winning (ST13).
+
+    ``drop_late=True`` removes duplicates across batches while streaming
+    (``dropDuplicatesWithinWatermark``, state bounded by the watermark); it
+    loses rows that are later than the watermark, so it is not the default.
     Rows that fail to decode go to ``quarantine_path`` instead of the table.
     """
     valid, bad = orders_stream(raw_orders)
-    dedup = (valid.withWatermark("timestamp", watermark)
-                  .dropDuplicatesWithinWatermark(["order_id"]))
-    qs = [_start(dedup, AppendSink(table_path, schemas.TABLES["orders_raw"][1]),
+    if drop_late:
+        valid = (valid.withWatermark("timestamp", watermark)
+                      .dropDuplicatesWithinWatermark(["order_id"]))
+    qs = [_start(valid, AppendSink(table_path, schemas.TABLES["orders_raw"][1]),
                  f"{checkpoint}/orders", "append", trigger)]
     if quarantine_path:
         qs.append(_start(bad, AppendSink(quarantine_path), f"{checkpoint}/quarantine",
@@ -79,6 +85,13 @@ def start_orders_ingest(raw_orders: DataFrame, table_path: str, checkpoint: str,
     return qs
 
 
+def start_views_quarantine(raw_views: DataFrame, quarantine_path: str, checkpoint: str,
+                           trigger: Trigger = Trigger()) -> StreamingQuery:
+    """View events that fail to decode, kept with their raw text."""
+    bad = split_valid(decode_views(raw_views, keep_raw=True))[1]
+    return _start(bad, AppendSink(quarantine_path), f"{checkpoint}/views_quarantine", "append", trigger)
+
+
 def start_revenue(raw_orders: DataFrame, table_path: str, checkpoint: str,
                   trigger: Trigger = Trigger(), window: str = config.REVENUE_WINDOW,
                   watermark: str = config.WATERMARK, mode: str = "update",
@@ -150,23 +163,43 @@ def start_recommendations(raw_orders: DataFrame, table_path: str, checkpoint: st
                   "append", trigger)
 
 
-def start_all(raw_orders: DataFrame, raw_views: DataFrame, root: str,
+#: Where each job starts reading a feed on its first run.
+OFFSETS = {
+    ("orders", "orders"): "latest",
+    ("revenue", "orders"): "latest",
+    ("funnel", "orders"): "earliest",
+    ("funnel", "views"): "earliest",
+    ("recommendations", "orders"): "latest",
+    ("sessions", "orders"): "latest",
+    ("sessions", "views"): "latest",
+    ("quarantine", "views"): "earliest",
+}
+
+
+def start_all(raw_orders, raw_views, root: str,
               trigger: Trigger = Trigger(), with_disabled: bool = True) -> list[StreamingQuery]:
     """ST12: the reference's job set in one session -- ingestion, revenue and
     funnel, plus (rebuilt) recommendations and sessions -- each with its own
-    checkpoint and table under ``root``."""
-    qs = start_orders_ingest(raw_orders, f"{root}/tables/orders_raw", f"{root}/checkpoints",
+    checkpoint and table under ``root``.
+
+    ``raw_orders`` and ``raw_views`` are streaming DataFrames, or functions
+    ``job name -> streaming DataFrame`` when the jobs' sources differ (their
+    starting offsets, :data:`OFFSETS`)."""
+    feed = lambda raw, job: raw(job) if callable(raw) else raw
+    qs = start_orders_ingest(feed(raw_orders, "orders"), f"{root}/tables/orders_raw", f"{root}/checkpoints",
                              trigger, quarantine_path=f"{root}/tables/orders_quarantine")
-    qs.append(start_revenue(raw_orders, f"{root}/tables/revenue_by_currency_5min",
+    qs.append(start_views_quarantine(feed(raw_views, "quarantine"), f"{root}/tables/views_quarantine",
+                                     f"{root}/checkpoints", trigger))
+    qs.append(start_revenue(feed(raw_orders, "revenue"), f"{root}/tables/revenue_by_currency_5min",
                             f"{root}/checkpoints", trigger))
-    qs.append(start_funnel(raw_views, raw_orders, f"{root}/tables/conversion_funnel_5min",
-                           f"{root}/checkpoints", trigger))
+    qs.append(start_funnel(feed(raw_views, "funnel"), feed(raw_orders, "funnel"),
+                           f"{root}/tables/conversion_funnel_5min", f"{root}/checkpoints", trigger))
     if with_disabled:
         rec_trigger = trigger if trigger.available_now else Trigger(config.RECOMMENDATION_TRIGGER)
-        qs.append(start_recommendations(raw_orders, f"{root}/tables/product_recommendations",
+        qs.append(start_recommendations(feed(raw_orders, "recommendations"), f"{root}/tables/product_recommendations",
                                         f"{root}/checkpoints", rec_trigger))
-        qs.append(start_sessions(raw_views, raw_orders, f"{root}/tables/user_sessions_5min",
-                                 f"{root}/checkpoints", trigger))
+        qs.append(start_sessions(feed(raw_views, "sessions"), feed(raw_orders, "sessions"),
+                                 f"{root}/tables/user_sessions_5min", f"{root}/checkpoints", trigger))
     return qs
 
 

@@ -42,28 +42,26 @@ def stage_piece(feeds: dict[str, DataFrame], root: str, i: int, lo, hi, last: bo
 ENCODERS = {"orders": encode_orders, "views": encode_views}
 
 
-def replay_session(spark: SparkSession) -> SparkSession:
+def replay_session(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
     """A sibling session for the replay: same SparkContext, own SQL conf.
 
     Stateful operators pin ``spark.sql.shuffle.partitions`` in their
-    checkpoint; the replay caps it at the cluster's default parallelism so
-    small replays do not start hundreds of state-store partitions, without
-    changing the caller's session.
+    checkpoint; it is the caller's, or ``shuffle_partitions`` where given.
     """
     sess = spark.newSession()
-    cur = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cap = max(1, spark.sparkContext.defaultParallelism)
-    sess.conf.set("spark.sql.shuffle.partitions", str(min(cur, cap)))
+    sess.conf.set("spark.sql.shuffle.partitions",
+                  str(shuffle_partitions or spark.conf.get("spark.sql.shuffle.partitions", "200")))
     sess.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return sess
 
 
 def replay(spark: SparkSession, sf_dir: str, start: Callable[..., list], tag: str,
-           pieces: int = 4, feeds: tuple[str, ...] = ("orders", "views")) -> str:
+           pieces: int = 4, feeds: tuple[str, ...] = ("orders", "views"),
+           shuffle_partitions: int | None = None) -> str:
     """Run ``start(streams: dict[name, DataFrame], root: str) -> [StreamingQuery]``
     once per piece; returns the run folder holding checkpoints and tables."""
     root = run_dir(spark, f"replay-{tag}")
-    spark = replay_session(spark)
+    spark = replay_session(spark, shuffle_partitions)
     frames = {"orders": fx.orders_raw(spark, sf_dir), "views": fx.product_views(spark, sf_dir)}
     frames = {k: v for k, v in frames.items() if k in feeds}
     lo, hi = time_bounds(list(frames.values()))

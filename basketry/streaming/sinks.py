@@ -15,12 +15,12 @@ cheap as batches accumulate.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from basketry import schemas
 
@@ -94,22 +94,50 @@ class DeltaSink:
 
 
 class ReplaceSink:
-    """SNK3: every batch replaces the whole table (complete-mode output)."""
+    """SNK3: every batch replaces the whole table (complete-mode output).
+
+    Each batch is a directory of its own and the newest one is the table
+    (:func:`read_replaced`), so a crash in the middle of a write leaves the
+    batch before it in place."""
 
     def __init__(self, path: str):
         self.path = path
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self.path)
+        write_batch(df, self.path, batch_id, skip_empty=False)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a committed Parquet output is there: a folder with data files or
+    batch folders.  Asked of the file system itself, so that a damaged table
+    raises when it is read instead of passing for an empty one."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.exists(p)) and any(not f.getPath().getName().startswith(("_", "."))
+                                      for f in fs.listStatus(p))
 
 
 def _read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        if schema is None:
-            return None
-        return spark.createDataFrame([], schema)
+    if not _exists(spark, path):
+        return None if schema is None else spark.createDataFrame([], schema)
+    return spark.read.parquet(path)
+
+
+def read_replaced(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The newest batch of a replaced table."""
+    df = _read(spark, path, schema)
+    if df is None or "batch_id" not in df.columns:
+        return df
+    last = df.select(F.max("batch_id")).first()[0]
+    return df.where(F.col("batch_id") == F.lit(last)).drop("batch_id")
+
+
+def read_orders(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The raw orders table with one row per order id, the earliest winning:
+    the ingest appends every row, late ones too, and duplicates are settled here."""
+    from basketry.operators.kpis import dedupe_orders
+    df = read_appended(spark, path, schema)
+    return df if df is None else dedupe_orders(df)
 
 
 def read_appended(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
@@ -119,13 +147,17 @@ def read_appended(spark: SparkSession, path: str, schema=None) -> DataFrame | No
     return df.drop("batch_id")
 
 
+def _snapshot(spark: SparkSession, path: str) -> tuple[int | None, str | None]:
+    """(id, folder) of the newest published snapshot (one row of a tiny hidden table)."""
+    published = f"{path.rstrip('/')}/_snapshots"
+    if not _exists(spark, published):
+        return None, None
+    r = spark.read.parquet(published).agg(F.max(F.struct("snapshot_id", "folder")).alias("s")).first()
+    return (r.s.snapshot_id, r.s.folder) if r.s is not None else (None, None)
+
+
 def _snapshot_id(spark: SparkSession, path: str) -> int | None:
-    """Newest compaction snapshot (one row from a tiny hidden table)."""
-    try:
-        r = spark.read.parquet(f"{path.rstrip('/')}/_snapshots").agg(F.max("snapshot_id")).first()
-    except AnalysisException:
-        return None
-    return r[0]
+    return _snapshot(spark, path)[0]
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str], schema=None) -> DataFrame | None:
@@ -137,9 +169,9 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str], schema=None
     df = _read(spark, path, schema)
     if df is None or "batch_id" not in df.columns:
         return df
-    snap = _snapshot_id(spark, path)
+    snap, folder = _snapshot(spark, path)
     if snap is not None:
-        base = spark.read.parquet(_snapshot_path(path, snap)) \
+        base = spark.read.parquet(f"{path.rstrip('/')}/_snapshot_data/{folder}") \
             .withColumn("batch_id", F.lit(snap).cast(df.schema["batch_id"].dataType))
         df = base.unionByName(df.where(F.col("batch_id") > F.lit(snap)))
     vals = [c for c in df.columns if c not in keys and c != "batch_id"]
@@ -156,23 +188,25 @@ def read_summed(spark: SparkSession, path: str, keys: Sequence[str],
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def _snapshot_path(path: str, snapshot_id: int) -> str:
-    # hidden from the table reader ("_" prefix) and never a batch directory,
-    # so a retried batch cannot overwrite a snapshot
-    return f"{path.rstrip('/')}/_snapshot_data/snapshot_id={int(snapshot_id)}"
-
-
 def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot_id: int) -> None:
     """Fold the table as of now into a snapshot taken at ``snapshot_id`` (the
     newest batch already written).  Readers then skip every batch directory
-    up to it; a retention job may delete them.  The snapshot id is published
-    last, so a compaction that dies midway is simply ignored."""
+    up to it.
+
+    A snapshot's folder has a name of its own that is never used again, so a
+    snapshot is never written over, least of all by a fold that reads it; the
+    folder is published last, so a fold that dies midway is ignored, and a
+    retried batch whose snapshot is published already does nothing."""
+    published = _snapshot_id(spark, path)
+    if published is not None and published >= snapshot_id:
+        return
     state = read_latest(spark, path, keys)
     if state is None:
         return
-    state.write.mode("overwrite").parquet(_snapshot_path(path, snapshot_id))
-    spark.createDataFrame([(int(snapshot_id),)], "snapshot_id long").write.mode("append") \
-        .parquet(f"{path.rstrip('/')}/_snapshots")
+    folder = f"snapshot_id={int(snapshot_id)}-{uuid.uuid4().hex[:12]}"
+    state.write.parquet(f"{path.rstrip('/')}/_snapshot_data/{folder}")
+    spark.createDataFrame([(int(snapshot_id), folder)], "snapshot_id long, folder string") \
+        .write.mode("append").parquet(f"{path.rstrip('/')}/_snapshots")
 
 
 def create_tables(spark: SparkSession, location: str, names: Sequence[str] | None = None) -> None:

@@ -55,7 +55,7 @@ def test_basket_pairs_brute_force(spark, rows, heavy):
             k = (min(a, b), max(a, b))
             want[k] = want.get(k, 0) + 1
     got = {(r.product1, r.product2): r.co_occurrence_count
-           for r in baskets.basket_pairs(_orders(spark, rows), heavy_items=heavy, salt=3).collect()}
+           for r in baskets.basket_pairs(_orders(spark, rows), block_items=max(1, heavy)).collect()}
     assert got == want
 
 

@@ -220,3 +220,68 @@ def test_upsert_compaction_prunes_old_batches(spark):
     sink(spark.createDataFrame([("c", 3)], "k string, v int"), 2)
     t2 = sinks.read_latest(spark, f"{root}/t", ["k"])
     assert sorted(map(tuple, t2.collect())) == [("a", 2), ("b", 4), ("c", 3)]
+
+
+def test_crash_after_a_published_snapshot(spark):
+    """A running update stream dies right after the fold of batch 2 is published;
+    the restart retries that batch and ends with the exact table."""
+    class Crash(sinks.UpsertSink):
+        left = 1
+
+        def __call__(self, df, batch_id):
+            super().__call__(df, batch_id)
+            if batch_id == 2 and Crash.left:
+                Crash.left -= 1
+                raise RuntimeError("simulated crash")
+
+    root = run_dir(spark, "test-crash-compact")
+    table = f"{root}/revenue"
+    batches = [[_order("a", 10, 0)], [_order("b", 10, 1)], [_order("c", 10, 2)], [_order("d", 10, 3), _order("e", 10, 31)]]
+    from basketry.operators import windows
+
+    def start():
+        valid, _ = pl.orders_stream(read_json_lines_stream(spark, f"{root}/feed").select("value"))
+        agg = windows.revenue_by_currency(valid.withWatermark("timestamp", "10 minutes"), "5 minutes")
+        return pl._start(agg, Crash(table, ["window_start", "currency"], 2), f"{root}/ckpt", "update", NOW)
+
+    for i, lines in enumerate(batches):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/feed/piece={i:04d}")
+        q = start()
+        try:
+            q.awaitTermination()
+        except Exception:
+            pass
+        if q.exception() is not None:
+            q = start()
+            q.awaitTermination()
+            assert q.exception() is None
+    assert Crash.left == 0
+    got = {r.window_start.strftime("%H:%M"): r.order_count for r in sinks.read_latest(spark, table, ["window_start", "currency"]).collect()}
+    assert got == {"10:00": 4, "10:30": 1}
+
+
+def test_late_orders_stay_in_the_raw_table(spark):
+    batches = [[_order("a", 10, 0)], [_order("b", 13, 0)], [_order("late", 11, 0), _order("a", 10, 0)], [_order("c", 13, 5)]]
+    root, _ = _run_batches(spark, batches, lambda st, root: pl.start_orders_ingest(
+        st, f"{root}/orders", f"{root}/ckpt", NOW))
+    assert sorted(r.order_id for r in sinks.read_orders(spark, f"{root}/orders").collect()) == ["a", "b", "c", "late"]
+
+
+def test_malformed_views_are_kept(spark):
+    root, _ = _run_batches(spark, [["{not json", json.dumps({"eventType": "VIEW"})]], lambda st, root: [
+        pl.start_views_quarantine(st, f"{root}/bad", f"{root}/ckpt", NOW)])
+    assert sinks.read_appended(spark, f"{root}/bad").count() == 2
+
+
+def test_jobs_start_at_their_own_offsets():
+    assert pl.OFFSETS["funnel", "orders"] == pl.OFFSETS["funnel", "views"] == "earliest"
+    assert {v for (job, _), v in pl.OFFSETS.items() if job not in ("funnel", "quarantine")} == {"latest"}
+
+
+def test_a_damaged_table_raises(spark):
+    root = run_dir(spark, "test-damaged")
+    spark.createDataFrame([("x",)], "v string").write.text(f"{root}/t/batch_id=0")
+    import pytest
+    with pytest.raises(Exception):
+        sinks.read_appended(spark, f"{root}/t").collect()
+    assert sinks.read_appended(spark, f"{root}/none") is None
