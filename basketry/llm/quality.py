@@ -1,7 +1,8 @@
 """Quality classifier (operator 8): naive Bayes support vectors.
 
 Features are indicators of byte n-grams (1 to 3, case kept) in hashed
-buckets.  Each is scaled by its class log-count ratio; rows are scaled to unit
+buckets, and of n-grams (1 to 4) of the mark "this word equals the one before".
+Each is scaled by its class log-count ratio; rows are scaled to unit
 length; a linear hinge-loss model is fitted by dual coordinate descent and
 interpolated with its mean weight.  A held-back part of the sample calibrates
 the score (logistic in the margin).
@@ -24,10 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import MIX, U64, crc_mod, map_text, table, text_buffer, slices
+from basketry.llm.common import MIX, TOKEN_BYTES, U64, crc_mod, map_text, slices, table, text_buffer, words
 
 BITS = 17
 ORDERS = (1, 2, 3)
+#: Longest n-gram of repeated-word marks; they take the last buckets.
+REPEATS = 4
 #: Bounds of the fit: expected labelled rows and bytes of their text.
 TRAIN_ROWS = 8_000
 TRAIN_BYTES = 24_000_000
@@ -61,6 +64,15 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         keys.append((row[:len(b)] | b)[same])
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, _, of, h = words(data, off, TOKEN_BYTES)
+    again = np.zeros(len(h), bool)
+    again[1:] = (h[1:] == h[:-1]) & (of[1:] == of[:-1])
+    mark = again
+    for n in range(1, REPEATS + 1):
+        if not mark.any():
+            break
+        keys.append((of[mark].astype(np.uint64) << U64(BITS)) | U64((1 << BITS) - n))
+        mark = again & np.concatenate(([False], mark[:-1]))
     k = np.concatenate(keys)
     k = k.astype(np.uint32) if rows <= 1 << (32 - BITS) else k
     k.sort()
