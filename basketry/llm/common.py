@@ -8,9 +8,12 @@ whatever the batch size is.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,7 @@ MIX2 = U64(0xBF58476D1CE4E5B9)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -187,14 +191,26 @@ def map_text(df: DataFrame, text: str, keep: list[str], fields: list[T.StructFie
     return src.mapInArrow(run, T.StructType(out))
 
 
-@contextmanager
-def shuffles_removed(spark):
-    """Spark removes the shuffle files of an action when it ends, instead of
-    at some later garbage collection of the driver."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, old) if old is not None else spark.conf.unset(name)
+def release(spark: SparkSession) -> None:
+    """Garbage collections in the driver now: what no DataFrame refers to any
+    more (after a checkpoint: the shuffles it was made from) is then removed by
+    Spark's context cleaner, instead of at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors, once for each Spark application, so
+    that their Python finds it wherever it is installed on the driver."""
+    sc = spark.sparkContext
+    if getattr(sc, "_basketry_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = os.path.join(tempfile.mkdtemp(prefix="basketry-ship-"), "basketry.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, names in os.walk(os.path.join(root, "basketry")):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(d, n), os.path.relpath(os.path.join(d, n), root))
+    sc.addPyFile(out)
+    sc._basketry_shipped = True

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.common import release
 from basketry.session import checkpoint_root
 
 
@@ -28,6 +29,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 5
         small = large.join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         e = small.union(low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct().checkpoint()
         now = e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+        release(edges.sparkSession)
         if now == sign:
             break
         sign = now

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import MIX, U64, grams, mix, shuffles_removed, table, text_slices, words
+from basketry.llm.common import MIX, U64, grams, mix, release, table, text_slices, words
 from basketry.llm.graph import block_pairs, components
 from basketry.session import checkpoint_root
 
@@ -232,12 +232,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per (doc_id, text): doc_id, row (text hash), class_id, n_links
     (other documents at or above the threshold, copies included), group_id
     (smallest doc_id reachable by links) and kept (doc_id = group_id)."""
-    checkpoint_root(docs.sparkSession)
-    with shuffles_removed(docs.sparkSession):
-        return _near_duplicates(docs, doc_id, text, k, threshold, recall, block)
-
-
-def _near_duplicates(docs, doc_id, text, k, threshold, recall, block):
+    spark = docs.sparkSession
+    checkpoint_root(spark)
     bands, rows = banding(threshold, recall)
     src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     src = src.withColumn("row", F.xxhash64("t"))
@@ -253,6 +249,7 @@ def _near_duplicates(docs, doc_id, text, k, threshold, recall, block):
     slots = classes.select("doc", band.alias("key"))
     heads = slots.groupBy("key").agg(F.min("doc").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     slots = slots.join(heads, "key").checkpoint()
+    release(spark)
     stars = slots.where("doc != head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
     width = bands * rows
     least = threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / width)
@@ -270,6 +267,7 @@ def _near_duplicates(docs, doc_id, text, k, threshold, recall, block):
              .agg(F.collect_list(F.struct("doc", "component", "n", "mine", "sig")).alias("rows")).select("lo", "hi", "rows"))
     more = units.mapInArrow(_cross(least, threshold, width), "a long, b long")
     found = components(edges.union(more)).checkpoint()
+    release(spark)
 
     # full sets of the members of candidate components, from one row of each
     reps = found.select(F.col("node").alias("k")).join(classes.select("doc", "c1", "c2"), F.col("k") == F.col("doc")).select("k", F.col("c1").alias("k1"), F.col("c2").alias("k2"))
@@ -281,6 +279,7 @@ def _near_duplicates(docs, doc_id, text, k, threshold, recall, block):
     units = (block_pairs(member, "component", "doc", block).groupBy("component", "lo", "hi")
              .agg(F.collect_list(F.struct("doc", "mine", "size", "shingles")).alias("rows")).select("lo", "hi", "rows"))
     checked = units.mapInArrow(_verified(threshold), "a long, b long, links long").checkpoint()
+    release(spark)
     counts = checked.where("b IS NULL").groupBy(F.col("a").alias("doc")).agg(F.sum("links").alias("links"))
     found = components(checked.where("b IS NOT NULL")).checkpoint()
     per_class = (sizes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import shuffle_partitions, shuffles_removed, table
+from basketry.llm.common import release, shuffle_partitions, table
 from basketry.llm.graph import block_pairs, components
 from basketry.session import checkpoint_root
 
@@ -188,6 +188,7 @@ def _descend(vecs: DataFrame, graph: DataFrame, k: int, threshold: float, rounds
         entries = now.select("u", F.explode("near").alias("e")).select("u", F.col("e.b").alias("w"))
         fresh = entries.join(old.select(F.col("a").alias("u"), F.col("b").alias("w")), ["u", "w"], "left_anti").withColumn("fresh", F.lit(True)).checkpoint()
         graph = now
+        release(vecs.sparkSession)
         if fresh.count() < CHANGE * n * k:
             break
     return graph
@@ -256,11 +257,6 @@ def _units(vecs: DataFrame) -> DataFrame:
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD, k: int = K) -> DataFrame:
     """One row per vec_id: n_links, component_id, kept."""
     checkpoint_root(vectors.sparkSession)
-    with shuffles_removed(vectors.sparkSession):
-        return _near_vectors(vectors, vec_id, embedding, threshold, k)
-
-
-def _near_vectors(vectors, vec_id, embedding, threshold, k):
     v, fine = _valid(embedding)
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), v.alias("x"), fine.alias("fine")).where("id IS NOT NULL")
     rows = rows.groupBy("id").agg(F.min("x").alias("x"), F.min(F.when(F.col("fine"), F.col("x"))).alias("y")).select("id", F.when(F.coalesce(F.col("x") == F.col("y"), F.lit(False)), F.col("y")).alias("x")).checkpoint()

@@ -24,22 +24,25 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketry.llm import decontaminate, langid, mixing, neardup, suffixes
-from basketry.llm.common import free_name, table
+from basketry.llm.common import free_name, release, ship, table
 from basketry.session import run_dir
 
 
 def language_id(spark, docs, sf_dir):
     """Trains on the labelled rows of ``docs`` (a bounded sample of them)."""
+    ship(spark)
     model = langid.train(docs, F.lit(True))
     judged = langid.identify(docs, model)
     return judged.where(~F.col(judged.columns[-1])).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
+    ship(spark)
     return neardup.keep_one(docs)
 
 
 def repeated_passages(spark, docs, sf_dir):
+    ship(spark)
     cut = suffixes.remove_repeats(docs, whole_chars=True)
     kept = cut.columns[-1]
     cut = cut.withColumn("text", F.col(kept).cast("string"))
@@ -49,6 +52,7 @@ def repeated_passages(spark, docs, sf_dir):
 
 
 def contamination(spark, docs, sf_dir):
+    ship(spark)
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     n_words, n_hit = found.columns[-4:-2]
     return found.where(~decontaminate.contaminated(F.col(n_hit), F.col(n_words))).select(*docs.columns)
@@ -56,6 +60,7 @@ def contamination(spark, docs, sf_dir):
 
 def mixed(spark, docs, sf_dir):
     """The documents with size, source_size, target and taken (words that the mix takes, repeats counted)."""
+    ship(spark)
     m = mixing.per_document(mixing.mix(docs))
     names = []
     for c in ("size", "source_size", "target", "taken"):
@@ -83,5 +88,6 @@ def run(spark, sf_dir: str):
     for k, (name, stage) in enumerate(STAGES):
         out = f"{root}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(out)
+        release(spark)
         docs = spark.read.parquet(out)
     return docs

@@ -181,7 +181,9 @@ def test_embeddings_by_brute_force(spark, monkeypatch):
     assert ((got.component_id == got.index) == got.kept).all()
 
 
-def test_embeddings_edge_cases(spark):
+def test_embeddings_edge_cases(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TABLES", 1)
+    monkeypatch.setattr(neighbours, "ROUNDS", 1)
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0]), (2, [1.0, 0.1])], "vec_id long, embedding array<float>")
     got = neighbours.near_vectors(df).toPandas().sort_values("vec_id")
     assert got.vec_id.tolist() == [1, 2] and got.n_links.tolist() == [1, 1] and got.component_id.tolist() == [1, 1]
