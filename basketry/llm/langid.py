@@ -37,7 +37,7 @@ TRAIN_CHARS = 1_000_000
 #: Expected rows that calibrate score and rejection.
 CALIBRATION_ROWS = 3_000
 #: Slack in nats added to the rejection bound.
-SLACK = 0.5
+SLACK = 1.5
 #: Standard errors that a text of a given length may lie above the bound.
 SIGMAS = 6.0
 START, BLANK = 1, 32
