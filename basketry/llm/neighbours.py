@@ -128,9 +128,10 @@ def _add_codes(tables: range):
     return run
 
 
-def _from_tables(vecs: DataFrame, tables: range, k: int, threshold: float) -> DataFrame:
+def _from_tables(vecs: DataFrame, total: int, tables: range, k: int, threshold: float) -> DataFrame:
     coded = vecs.mapInArrow(_add_codes(tables), "id long, v binary, " + ", ".join(f"t{t} long" for t in tables))
-    n = shuffle_partitions(vecs.sparkSession)
+    # a partition holds many blocks, so that few neighbours are parted at its ends
+    n = max(1, min(shuffle_partitions(vecs.sparkSession), total // (8 * SORTED_BLOCK)))
     out = None
     for t in tables:
         s = coded.select("id", "v", F.octet_length("v").alias("z"), f"t{t}").repartitionByRange(n, "z", f"t{t}", "id").sortWithinPartitions("z", f"t{t}", "id")
@@ -272,7 +273,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     units = _units(vecs).checkpoint()
     links, graph, found, counts = None, None, None, None
     for audit in range(AUDITS):
-        pairs = _from_tables(vecs.select("id", "v"), range(audit * TABLES, (audit + 1) * TABLES), k, threshold).checkpoint()
+        pairs = _from_tables(vecs.select("id", "v"), total, range(audit * TABLES, (audit + 1) * TABLES), k, threshold).checkpoint()
         old = pairs if graph is None else pairs.union(graph.select(F.col("u").alias("a"), F.explode("near").alias("e")).select("a", "e.b", "e.s"))
         graph = _descend(units, _lists(old, k).checkpoint(), k, threshold, ROUNDS)
         listed = graph.select(F.col("u").alias("a"), F.explode("near").alias("e")).select("a", "e.b", "e.s")
