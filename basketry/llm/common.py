@@ -12,6 +12,7 @@ import gc
 import hashlib
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -195,8 +196,10 @@ def release(spark: SparkSession) -> None:
     """Garbage collections in the driver now: what no DataFrame refers to any
     more (after a checkpoint: the shuffles it was made from) is then removed by
     Spark's context cleaner, instead of at some later collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the second finds what the first has let go of in Python
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
 
 
 def ship(spark: SparkSession) -> None:
