@@ -71,7 +71,7 @@ def test_duplicate_orders_within_and_across_batches(spark):
                ["{broken"]]
     root, _ = _run_batches(spark, batches, lambda st, root: pl.start_orders_ingest(
         st, f"{root}/orders", f"{root}/ckpt", NOW, quarantine_path=f"{root}/quarantine"))
-    ids = sorted(r.order_id for r in sinks.read_appended(spark, f"{root}/orders").collect())
+    ids = sorted(r.order_id for r in sinks.read_orders(spark, f"{root}/orders").collect())
     assert ids == ["o1", "o2", "o3"]
     q = sinks.read_appended(spark, f"{root}/quarantine").collect()
     assert [r.json for r in q] == ["{broken"]
@@ -126,7 +126,7 @@ def test_complete_mode_replaces_table(spark):
     batches = [[_order("a", 10, 0), _order("b", 10, 1, cur="EUR")], [_order("c", 10, 2)]]
     root, _ = _run_batches(spark, batches, lambda st, root: [pl.start_revenue(
         st, f"{root}/revenue", f"{root}/ckpt", NOW, mode="complete")])
-    got = {(r.currency, r.order_count) for r in spark.read.parquet(f"{root}/revenue").collect()}
+    got = {(r.currency, r.order_count) for r in sinks.read_replaced(spark, f"{root}/revenue").collect()}
     assert got == {("USD", 2), ("EUR", 1)}
 
 
@@ -143,7 +143,7 @@ def test_start_all_runs_every_job(spark):
                       read_json_lines_stream(spark, f"{root}/feed/views").select("value"),
                       f"{root}/out", NOW)
     pl.await_all(spark, qs)
-    assert len(qs) == 6 and all(q.exception() is None for q in qs)
+    assert len(qs) == 7 and all(q.exception() is None for q in qs)
     t = f"{root}/out/tables"
     assert sinks.read_appended(spark, f"{t}/orders_raw").count() == 3
     assert sinks.read_latest(spark, f"{t}/revenue_by_currency_5min",
