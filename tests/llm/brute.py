@@ -6,6 +6,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pandas as pd
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
@@ -153,3 +155,17 @@ def suffix_tree(docs, training, discount=0.7):
             score += math.log10(p)
         out.append((i, len(t), sum((x,) in c[0] for x in t), total, sum(math.log10(p0(x)) for x in t), score))
     return out
+
+
+def _plain(v):
+    if pd.isna(v):
+        return None
+    return v if isinstance(v, (str, bool)) else round(float(v), 9)
+
+
+def same(a, b):
+    """Equal rows, in any order; column order is free."""
+    cols = sorted(a.columns)
+    assert cols == sorted(b.columns)
+    rows = lambda d: sorted(repr(tuple(_plain(x) for x in r)) for r in d[cols].itertuples(index=False, name=None))
+    assert rows(a) == rows(b)

@@ -4,7 +4,6 @@ import os
 import sys
 
 import duckdb
-import pandas as pd
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,17 +28,3 @@ def oracle():
             con.register(name, df)
         return con.execute(sql).df()
     return run
-
-
-def _plain(v):
-    if pd.isna(v):
-        return None
-    return v if isinstance(v, (str, bool)) else round(float(v), 9)
-
-
-def same(a, b):
-    """Equal rows, in any order; column order is free."""
-    cols = sorted(a.columns)
-    assert cols == sorted(b.columns)
-    rows = lambda d: sorted(repr(tuple(_plain(x) for x in r)) for r in d[cols].itertuples(index=False, name=None))
-    assert rows(a) == rows(b)

@@ -1,8 +1,7 @@
 """Operators 2, 5 and 10: against DuckDB SQL and brute force."""
 
 import pytest
-from brute import decontaminate as brute_force
-from conftest import same
+from brute import decontaminate as brute_force, same
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
