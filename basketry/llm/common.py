@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 U64 = np.uint64
 MIX = U64(0x9E3779B97F4A7C15)

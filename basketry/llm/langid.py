@@ -236,7 +236,7 @@ def _strings(arr) -> list[str]:
 
 def _chunks(arr):
     _, off = text_buffer(arr)
-    for i, j in slices(off, 1_000_000):
+    for i, j in slices(off, 300_000):
         yield _strings(arr.slice(i, j - i))
 
 

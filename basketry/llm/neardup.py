@@ -91,7 +91,7 @@ def _signatures(bands: int, rows: int, k: int):
     def run(batches):
         for b in batches:
             parts = []
-            for i, j, data, off in text_slices(b.column(1), 1_000_000):
+            for i, j, data, off in text_slices(b.column(1), 500_000):
                 r, g = shingle_sets(data, off, k)
                 n = np.bincount(r, minlength=j - i)
                 full = np.flatnonzero(n)

@@ -81,7 +81,7 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return k >> BITS, k & ((1 << BITS) - 1)
 
 
-def row_slices(arr, limit: int = 2_000_000):
+def row_slices(arr, limit: int = 1_000_000):
     data, off = text_buffer(arr)
     for i, j in slices(off, limit):
         for a in range(i, j, 1 << (32 - BITS)):

@@ -51,7 +51,7 @@ BUCKET_BYTES = 4_000_000
 #: Text sampled for the splitters, per bucket.
 SAMPLE_BYTES = 16_000
 _POS = U64(30)
-_CHUNK = 1_000_000
+_CHUNK = 500_000
 _POW = np.cumprod(np.concatenate(([U64(1)], np.full(LEFT + LENGTH, U64(0x2545F4914F6CDD1D)))))
 _INV = np.cumprod(np.concatenate(([U64(1)], np.full(LEFT + LENGTH, U64(pow(0x2545F4914F6CDD1D, -1, 1 << 64))))))
 
