@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import MIX, U64, grams, mix, release, table, text_slices, words
+from basketry.llm.common import MIX, U64, free_name, grams, mix, release, table, text_slices, words
 from basketry.llm.graph import block_pairs, components
 from basketry.session import checkpoint_root
 
@@ -294,10 +294,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each group, with all columns of ``docs``."""
-    r = near_duplicates(docs, doc_id, text, **options).where("kept").select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("_k"), F.col("row").alias("_r"))
-    d = docs.withColumns({"_doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), "_row": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    d = d.join(r.hint("shuffle_hash"), (F.col("_doc") == F.col("_k")) & (F.col("_row") == F.col("_r")), "left_semi")
-    return d.dropDuplicates(["_doc", "_row"]).select(*docs.columns)
+    own = []
+    for c in ("_doc", "_row", "_k", "_r"):
+        own.append(free_name([*docs.columns, *own], c))
+    doc, row, key, digest = own
+    r = near_duplicates(docs, doc_id, text, **options).where("kept").select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias(key), F.col("row").alias(digest))
+    d = docs.withColumns({doc: F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), row: F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    d = d.join(r.hint("shuffle_hash"), (F.col(doc) == F.col(key)) & (F.col(row) == F.col(digest)), "left_semi")
+    return d.dropDuplicates([doc, row]).select(*docs.columns)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -92,14 +92,14 @@ def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _batch(left: pa.Table, right: pa.Table):
-    """Representatives of a batch: (bytes, offsets, rank per row, is representative, other messages)."""
+    """Of the columns text, rank, digest, ...: (table, bytes, offsets, rank per row, is representative, other messages)."""
     t = left.combine_chunks()
     kind = right.column("kind").to_numpy()
     reps = right.filter(pa.array(kind == 0))
     known = set(zip(reps.column("rank").to_pylist(), reps.column("digest").to_pylist(), strict=True))
-    rank = t.column("_rank").to_numpy()
-    data, off = text_buffer(t.column("_text"))
-    mine = np.array([(r, d) in known for r, d in zip(rank.tolist(), t.column("_digest").to_pylist(), strict=True)], bool)
+    rank = t.column(1).to_numpy()
+    data, off = text_buffer(t.column(0))
+    mine = np.array([(r, d) in known for r, d in zip(rank.tolist(), t.column(2).to_pylist(), strict=True)], bool)
     return t, data, off, rank, mine, right.filter(pa.array(kind != 0))
 
 
@@ -447,18 +447,20 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     n_batches = max(1, -(-total // BATCH_BYTES))
     bits = max(0, (-(-total // RANGE_BYTES) - 1).bit_length())
     buckets = max(1, -(-total // BUCKET_BYTES))
-    base = docs.select(*(F.col(f"`{c}`") for c in keep), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"),
-                       F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(top)).alias("_rank")) if not {"_text", "_rank", "_digest", "_b"} & set(keep) else None
-    if base is None:
-        raise ValueError("columns _text, _rank, _digest and _b are the operator's own; rename them first")
+    own = []
+    for c in ("_text", "_rank", "_digest", "_b"):
+        own.append(free_name([*keep, *own], c))
+    body, order, digest, batch = own
+    base = docs.select(*(F.col(f"`{c}`") for c in keep), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(body),
+                       F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(top)).alias(order))
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(n_batches)).cast("int")
-    d = base.select("_text", "_rank", F.sha2(F.col("_text"), 256).alias("_digest"), *(F.col(f"`{c}`") for c in keep), place("_rank").alias("_b"))
+    d = base.select(body, order, F.sha2(F.col(body), 256).alias(digest), *(F.col(f"`{c}`") for c in keep), place(order).alias(batch))
     ids = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(top)).alias("rank"), F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256).alias("digest"))
     reps = ids.groupBy("digest").agg(F.min("rank").alias("rank")).select(
         place("rank").alias("b"), F.lit(0).alias("kind"), "rank", "digest", F.lit(None).cast("int").alias("range"), F.lit(None).cast("binary").alias("data"))
-    by_batch = lambda extra: d.groupBy("_b").cogroup((reps.unionByName(extra) if extra is not None else reps).groupBy("b"))
+    by_batch = lambda extra: d.groupBy(batch).cogroup((reps.unionByName(extra) if extra is not None else reps).groupBy("b"))
     share = min(1.0, max(SAMPLE_BYTES * buckets / max(total, 1), 64 / max(n_docs, 1)))
-    sample = base.where(F.abs(F.xxhash64("_rank", F.lit(3))) <= int(share * (2.0**63 - 1024))).select("_text")
+    sample = base.where(F.abs(F.xxhash64(order, F.lit(3))) <= int(share * (2.0**63 - 1024))).select(body)
     found = sample.mapInArrow(_sampled_contexts, "c binary").toArrow().column("c").to_pylist() if buckets > 1 else []
     found = np.sort(np.array(found, f"S{WIDTH}"))
     splitters = spark.sparkContext.broadcast(found[np.arange(1, buckets) * len(found) // buckets] if len(found) else found)

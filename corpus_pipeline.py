@@ -65,9 +65,13 @@ def mixed(spark, docs, sf_dir):
     names = []
     for c in ("size", "source_size", "target", "taken"):
         names.append(free_name([*docs.columns, *names], c))
-    m = m.dropDuplicates(["doc_id", "row"]).select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), *(F.col(c).alias(n) for c, n in zip(("size", "source_size", "target", "taken"), names, strict=True)))
-    d = docs.withColumn("_text_row", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return d.join(m, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_row") == F.col("_row"))).select(*docs.columns, *names)
+    own = []
+    for c in ("_id", "_row", "_text_row"):
+        own.append(free_name([*docs.columns, *names, *own], c))
+    key, row, mine = own
+    m = m.dropDuplicates(["doc_id", "row"]).select(F.col("doc_id").alias(key), F.col("row").alias(row), *(F.col(c).alias(n) for c, n in zip(("size", "source_size", "target", "taken"), names, strict=True)))
+    d = docs.withColumn(mine, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return d.join(m, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(mine) == F.col(row))).select(*docs.columns, *names)
 
 
 STAGES = [

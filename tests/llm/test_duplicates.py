@@ -59,6 +59,9 @@ def test_repeats_edge_cases(spark, make_docs):
     assert n[8, "xé" + "é" * 39] == 80
     assert all(bytes(k).decode() is not None for k in got.kept)
     assert suffixes.remove_repeats(docs.limit(0)).count() == 0
+    clash = spark.createDataFrame([(1, t, 7, 8, 9, 10), (2, t, 7, 8, 9, 10)], "doc_id long, text string, _text int, _rank int, _digest int, _b int")
+    assert sorted(r.n_removed for r in suffixes.remove_repeats(clash).collect()) == [0, len(t)]
+    assert neardup.keep_one(clash.withColumnsRenamed({"_text": "_doc", "_rank": "_row", "_digest": "_k", "_b": "_r"})).count() == 1
 
 
 def test_multikey_sort():
