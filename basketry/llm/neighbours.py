@@ -8,11 +8,15 @@
    are compared with each other; every vector keeps its K nearest.  Rounds go
    on until few lists change.  A reverse list is sampled (by a hash) to
    ``2 * K``, as the method has it; step 5 makes up for that.
-4. Edges at or above the threshold give components.  All pairs met in steps 2
-   and 3 at or above the threshold are edges, also beyond a full list.
-5. Saturated lists (K neighbours, all at or above the threshold) are enlarged
-   to their whole component: inside every component all members are compared
-   in blocks, in double precision, and counted; pairs are not emitted.
+4. Edges at or above the threshold give components.  Of all pairs met in steps
+   2 and 3 at or above the threshold, also beyond a full list, a spanning
+   forest of each block or meeting is passed on.
+5. Saturated lists (K neighbours, all at or above the threshold) may end before
+   a link to another component.  Their vectors search on, by tables and a
+   descent of their own, for their K nearest *outside* their component; links
+   found so join components, and the search is repeated until it finds none.
+   Inside every component all members are then compared in blocks, in double
+   precision, and counted; pairs are not emitted.
 6. Audit: for a bounded sample of query vectors the links are counted by brute
    force over all vectors.  While recall is below ``RECALL``, new tables with
    other projections join the graph and the descent goes on.
@@ -32,6 +36,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import release, shuffle_partitions, table
 from basketry.llm.graph import block_pairs, components
+from basketry.llm.neardup import forest
 from basketry.session import checkpoint_root
 
 THRESHOLD = 0.95
@@ -47,6 +52,8 @@ AUDIT = 200
 RECALL = 0.99
 AUDITS = 4
 BLOCK = 256
+#: Similarities this near to the threshold are decided in double precision.
+CLOSE = 1e-9
 EDGES = "a long, b long"
 
 
@@ -74,18 +81,25 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt(np.square(v).sum(1, keepdims=True))
 
 
-def _nearest(ids: np.ndarray, v: np.ndarray, floor: np.ndarray | None, k: int, threshold: float):
-    """(a, b, similarity): for each member its k nearest of the others, above its floor; all pairs at the threshold."""
+def _nearest(ids: np.ndarray, group: np.ndarray, v: np.ndarray, floor: np.ndarray | None, k: int, threshold: float, new: np.ndarray | None = None):
+    """(a, b, similarity): for each member its k nearest of the other groups, above its floor, and a
+    spanning forest of all pairs at the threshold; with ``new``, only pairs of which one is new."""
     s = v @ v.T
-    np.fill_diagonal(s, -2)
+    same = group[:, None] == group[None, :]
+    s[same] = -2
     k = min(k, len(ids) - 1)
     if k < 1:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0)
     cut = np.partition(s, len(ids) - k, axis=1)[:, len(ids) - k]
     cut = np.maximum(cut, floor) if floor is not None else cut
-    near = s >= cut[:, None]
-    near[np.arange(len(ids)), np.arange(len(ids))] = False
+    may = ~same if new is None else ~same & (new[:, None] | new[None, :])
+    near = (s >= cut[:, None]) & may
+    more = (s >= threshold - CLOSE) & may & ~(near | near.T)
+    if more.any():
+        every = np.arange(len(ids))
+        for x, y in forest(more, every, every, len(ids)):
+            near[x, y] = True
     i, j = np.nonzero(near)
     return ids[i], ids[j], s[i, j]
 
@@ -93,20 +107,20 @@ def _nearest(ids: np.ndarray, v: np.ndarray, floor: np.ndarray | None, k: int, t
 def _table_pairs(block: int, k: int, threshold: float):
     """Neighbours within blocks of consecutive rows of one sorted partition."""
     def run(batches):
-        ids, vecs = [], []
+        ids, vecs, groups = [], [], []
 
         def flush():
-            x, v = np.array(ids), unit(_matrix(vecs))
-            a, b, s = _nearest(x, v, None, k, threshold)
+            a, b, s = _nearest(np.array(ids), np.array(groups), unit(_matrix(vecs)), None, k, threshold)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s)], ["a", "b", "s"])
 
         for batch in batches:
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, v, g in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 if len(ids) == block or (vecs and len(v) != len(vecs[0])):
                     yield flush()
-                    ids, vecs = [], []
+                    ids, vecs, groups = [], [], []
                 ids.append(i)
                 vecs.append(v)
+                groups.append(g)
         if ids:
             yield flush()
     return run
@@ -124,18 +138,24 @@ def _add_codes(tables: range):
                 on = np.flatnonzero(size == z)
                 for c, got in zip(codes, _codes(unit(_matrix([raw[i] for i in on])), tables), strict=True):
                     c[on] = got
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c) for c in codes)], ["id", "v", *names])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *(pa.array(c) for c in codes)], ["id", "v", "g", *names])
     return run
 
 
-def _from_tables(vecs: DataFrame, total: int, tables: range, k: int, threshold: float) -> DataFrame:
-    coded = vecs.mapInArrow(_add_codes(tables), "id long, v binary, " + ", ".join(f"t{t} long" for t in tables))
+def _from_tables(vecs: DataFrame, total: int, tables: range, k: int, threshold: float, most: int | None = None) -> DataFrame:
+    """Pairs of different groups from the blocks of the tables; vecs: id, v, g (group).
+
+    With ``most``, a table holds about that many members of each group, others in every table, so
+    that a block holds several groups."""
+    sizes = vecs.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
+    coded = vecs.select("id", "v", "g").mapInArrow(_add_codes(tables), "id long, v binary, g long, " + ", ".join(f"t{t} long" for t in tables))
     # a partition holds many blocks, so that few neighbours are parted at its ends
     n = max(1, min(shuffle_partitions(vecs.sparkSession), total // (8 * SORTED_BLOCK)))
     out = None
     for t in tables:
-        s = coded.select("id", "v", F.octet_length("v").alias("z"), f"t{t}").repartitionByRange(n, "z", f"t{t}", "id").sortWithinPartitions("z", f"t{t}", "id")
-        s = s.select("id", "v").mapInArrow(_table_pairs(SORTED_BLOCK, k, threshold), "a long, b long, s double")
+        s = coded if most is None else coded.join(sizes, "g").where(F.pmod(F.xxhash64("id", F.lit(t)), F.col("m")) < most)
+        s = s.select("id", "v", "g", F.octet_length("v").alias("z"), f"t{t}").repartitionByRange(n, "z", f"t{t}", "id").sortWithinPartitions("z", f"t{t}", "id")
+        s = s.select("id", "v", "g").mapInArrow(_table_pairs(SORTED_BLOCK, k, threshold), "a long, b long, s double")
         out = s if out is None else out.union(s)
     return out
 
@@ -157,33 +177,38 @@ def _meeting(k: int, threshold: float):
                 v = _matrix([r["v"] for r in rows])
                 floor = np.array([r["floor"] for r in rows])
                 new = np.array([r["fresh"] for r in rows])
-                x, y, s = _nearest(ids, v, floor + 1e-12, k, threshold)
-                at = {i: q for q, i in enumerate(ids.tolist())}
-                ok = np.array([new[at[p]] or new[at[q]] for p, q in zip(x.tolist(), y.tolist(), strict=True)], bool) if len(x) else np.zeros(0, bool)
-                for o, c in zip(out, (x, y, s), strict=True):
-                    o.append(c[ok])
+                group = np.array([r["g"] for r in rows])
+                for o, c in zip(out, _nearest(ids, group, v, floor + 1e-12, k, threshold, new), strict=True):
+                    o.append(c)
             cat = [np.concatenate(o) if o else np.zeros(0) for o in out]
             yield pa.RecordBatch.from_arrays([pa.array(cat[0].astype(np.int64)), pa.array(cat[1].astype(np.int64)), pa.array(cat[2].astype(float))], ["a", "b", "s"])
     return run
 
 
-def _descend(vecs: DataFrame, graph: DataFrame, k: int, threshold: float, rounds: int):
-    """NN-descent rounds from a graph (u, near); vectors in ``vecs`` have unit length."""
+def _descend(vecs: DataFrame, graph: DataFrame, k: int, threshold: float, rounds: int, inside: DataFrame | None = None):
+    """NN-descent rounds from a graph (u, near): the last graph, and edges for all pairs met at the threshold.
+
+    Vectors in ``vecs`` (id, v, g) have unit length; pairs of one group g are not listed, but
+    ``inside`` (u, w), if given, are edges of the groups that lead to neighbours as well."""
     n = graph.count()
-    fresh = None
+    fresh, hot = None, None
     for _ in range(rounds):
         edges = graph.select("u", F.explode("near").alias("e")).select("u", F.col("e.b").alias("w"))
         edges = edges.withColumn("fresh", F.lit(True)) if fresh is None else edges.join(fresh, ["u", "w"], "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
+        if inside is not None:
+            edges = edges.union(inside.select("u", "w", F.lit(fresh is None).alias("fresh")))
         back = edges.select(F.col("w").alias("u"), F.col("u").alias("w"), "fresh")
         # reverse neighbours: 2 * k of each vector, by a hash
         back = back.groupBy("u").agg(F.slice(F.sort_array(F.collect_set(F.struct(F.xxhash64("u", "w").alias("h"), "w", "fresh"))), 1, 2 * k).alias("r"))
         back = back.select("u", F.explode("r").alias("r")).select("u", "r.w", "r.fresh")
         floor = graph.select(F.col("u").alias("id"), F.when(F.size("near") >= k, F.element_at("near", -1)["s"]).otherwise(F.lit(-2.0)).alias("floor"))
-        info = vecs.join(floor, "id")
+        info = vecs.join(floor, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))
         both = edges.union(back).groupBy("u", "w").agg(F.max("fresh").alias("fresh"))
         met = (both.join(info, F.col("w") == F.col("id")).groupBy("u")
-               .agg(F.collect_list(F.struct("id", "v", "floor", "fresh")).alias("rows")).select("rows")
-               .mapInArrow(_meeting(k, threshold), "a long, b long, s double"))
+               .agg(F.collect_list(F.struct("id", "v", "g", "floor", "fresh")).alias("rows")).select("rows")
+               .mapInArrow(_meeting(k, threshold), "a long, b long, s double")).checkpoint()
+        beyond = met.where(F.col("s") >= threshold - CLOSE).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s").dropDuplicates(["a", "b"]).checkpoint()
+        hot = beyond if hot is None else hot.union(beyond)
         old = graph.select(F.col("u").alias("a"), F.explode("near").alias("e")).select("a", "e.b", "e.s")
         now = _lists(old.union(met), k).checkpoint()
         entries = now.select("u", F.explode("near").alias("e")).select("u", F.col("e.b").alias("w"))
@@ -192,7 +217,54 @@ def _descend(vecs: DataFrame, graph: DataFrame, k: int, threshold: float, rounds
         release(vecs.sparkSession)
         if fresh.count() < CHANGE * n * k:
             break
-    return graph
+    return graph, hot
+
+
+def _entries(graph: DataFrame) -> DataFrame:
+    return graph.select(F.col("u").alias("a"), F.explode("near").alias("e")).select("a", "e.b", "e.s")
+
+
+def _true_links(pairs: DataFrame, vecs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b, s) at or above the threshold as edges a < b."""
+    edges = pairs.where(F.col("s") >= threshold + CLOSE).select("a", "b")
+    close = pairs.where(F.abs(F.col("s") - threshold) < CLOSE).select("a", "b").distinct()
+    close = close.join(vecs.select(F.col("id").alias("a"), F.col("v").alias("x")), "a").join(vecs.select(F.col("id").alias("b"), F.col("v").alias("y")), "b")
+    edges = edges.union(close.select("a", "b", "x", "y").mapInArrow(_exact(threshold), EDGES))
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _join_components(units: DataFrame, vecs: DataFrame, graph: DataFrame, links: DataFrame, found: DataFrame, k: int, threshold: float):
+    """(links, found) after the search of saturated vectors outside their components.
+
+    A link of a vector whose list ends below the threshold is in that list, so only links between
+    two saturated vectors can be missing.  Every turn joins components; the last one finds nothing."""
+    full = graph.where((F.size("near") >= k) & (F.element_at("near", -1)["s"] >= threshold - CLOSE)).select(F.col("u").alias("id")).checkpoint()
+    total = full.count()
+    if not total:
+        return links, found
+    mine = units.select("id", "v").join(full, "id").checkpoint()
+    inside = (_entries(graph).select(F.col("a").alias("u"), F.col("b").alias("w")).join(full.withColumnRenamed("id", "u"), "u")
+              .join(full.withColumnRenamed("id", "w"), "w").select("u", "w").checkpoint())
+    old, turn = None, 0
+    while True:
+        grouped = mine.join(found.select(F.col("node").alias("id"), F.col("component").alias("g")), "id").select("id", "v", "g").checkpoint()
+        if grouped.select("g").distinct().limit(2).count() < 2:
+            return links, found
+        start = 1_000_000 + turn * TABLES  # other projections than those of the first graph
+        pairs = _from_tables(grouped, total, range(start, start + TABLES), k, threshold, 2 * k)
+        if old is not None:
+            group = grouped.select("id", "g")
+            old = old.join(group.toDF("a", "g"), "a").join(group.toDF("b", "h"), "b").where("g != h").select("a", "b", "s")
+            pairs = pairs.union(old)
+        pairs = pairs.checkpoint()
+        lists, hot = _descend(grouped, _lists(pairs, k).checkpoint(), k, threshold, ROUNDS, inside)
+        old = _entries(lists)
+        new = _true_links(pairs.union(old).union(hot), vecs, threshold).checkpoint()
+        if new.isEmpty():
+            return links, found
+        links = links.union(new)
+        found = components(links).checkpoint()
+        turn += 1
 
 
 def _count_links(threshold: float):
@@ -252,7 +324,7 @@ def _units(vecs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([unit(_matrix([x]))[0].tobytes() for x in b.column(1).to_pylist()], pa.binary())], ["id", "v"])
-    return vecs.select("id", "v").mapInArrow(run, "id long, v binary")
+    return vecs.select("id", "v").mapInArrow(run, "id long, v binary").withColumn("g", F.col("id"))
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD, k: int = K) -> DataFrame:
@@ -273,16 +345,13 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     units = _units(vecs).checkpoint()
     links, graph, found, counts = None, None, None, None
     for audit in range(AUDITS):
-        pairs = _from_tables(vecs.select("id", "v"), total, range(audit * TABLES, (audit + 1) * TABLES), k, threshold).checkpoint()
-        old = pairs if graph is None else pairs.union(graph.select(F.col("u").alias("a"), F.explode("near").alias("e")).select("a", "e.b", "e.s"))
-        graph = _descend(units, _lists(old, k).checkpoint(), k, threshold, ROUNDS)
-        listed = graph.select(F.col("u").alias("a"), F.explode("near").alias("e")).select("a", "e.b", "e.s")
-        edges = listed.union(pairs).where(F.col("s") >= threshold + 1e-9).select("a", "b")
-        close = listed.union(pairs).where(F.abs(F.col("s") - threshold) < 1e-9).select("a", "b").distinct()
-        close = close.join(vecs.select(F.col("id").alias("a"), F.col("v").alias("x")), "a").join(vecs.select(F.col("id").alias("b"), F.col("v").alias("y")), "b")
-        edges = edges.union(close.select("a", "b", "x", "y").mapInArrow(_exact(threshold), EDGES))
-        links = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct() if links is None else links.union(edges)
+        pairs = _from_tables(vecs.select("id", "v", F.col("id").alias("g")), total, range(audit * TABLES, (audit + 1) * TABLES), k, threshold).checkpoint()
+        old = pairs if graph is None else pairs.union(_entries(graph))
+        graph, hot = _descend(units, _lists(old, k).checkpoint(), k, threshold, ROUNDS)
+        edges = _true_links(_entries(graph).union(pairs).union(hot), vecs, threshold)
+        links = edges if links is None else links.union(edges)
         found = components(links).checkpoint()
+        links, found = _join_components(units, vecs, graph, links, found, k, threshold)
         m = found.withColumnRenamed("node", "id").join(vecs, "id")
         work = (block_pairs(m, "component", "id", BLOCK).groupBy("component", "lo", "hi").agg(F.collect_list(F.struct("id", "mine", "size", "v")).alias("rows")).select("lo", "hi", "rows"))
         counts = work.mapInArrow(_count_links(threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("links")).checkpoint()

@@ -184,6 +184,26 @@ def test_embeddings_by_brute_force(spark, monkeypatch):
     assert ((got.component_id == got.index) == got.kept).all()
 
 
+def test_embeddings_of_dense_clumps(spark, monkeypatch):
+    """Lists are filled inside the clumps; the links between clumps (0.96) lie beyond them."""
+    monkeypatch.setattr(neighbours, "TABLES", 2)
+    monkeypatch.setattr(neighbours, "AUDITS", 1)
+    r = np.random.default_rng(6)
+    d = 24
+    rows, at = [], 0
+    for _ in range(3):
+        q = np.linalg.qr(r.standard_normal((d, 2)))[0]
+        for c in (q[:, 0], 0.96 * q[:, 0] + np.sqrt(1 - 0.96**2) * q[:, 1]):
+            for _ in range(150):
+                rows.append((at, (c + r.standard_normal(d) * 0.004).tolist()))
+                at += 1
+    rows = [(i, rows[j][1]) for i, j in enumerate(r.permutation(len(rows)))]
+    got = neighbours.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).toPandas().set_index("vec_id")
+    n, comp = brute_links(rows)
+    assert len(set(comp.values())) == 3
+    assert all(got.component_id[i] == comp[i] and got.n_links[i] == n[i] for i, _ in rows)
+
+
 def test_embeddings_edge_cases(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "TABLES", 1)
     monkeypatch.setattr(neighbours, "ROUNDS", 1)
