@@ -2,7 +2,8 @@
 
 Every text becomes the set of its 5-word shingles (a text of fewer words, but
 not none, is one shingle).  Texts with equal sets form a class, represented by
-its smallest doc_id; only representatives are compared.
+the text of its least (doc_id, text hash); only representatives are compared.
+Classes have numbers of their own, as several classes may share a doc_id.
 
 1. Signatures: ``bands * rows`` minima; band and row counts are the cheapest
    that reach ``RECALL`` at the threshold.
@@ -231,7 +232,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """One row per (doc_id, text): doc_id, row (text hash), class_id, n_links
     (other documents at or above the threshold, copies included), group_id
-    (smallest doc_id reachable by links) and kept (doc_id = group_id)."""
+    (smallest doc_id reachable by links) and kept (the least (doc_id, row) of the group)."""
     spark = docs.sparkSession
     checkpoint_root(spark)
     bands, rows = banding(threshold, recall)
@@ -239,9 +240,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     src = src.withColumn("row", F.xxhash64("t"))
     one = src.select("doc", "t", "row").mapInArrow(_signatures(bands, rows, k), "doc long, row long, n long, c1 long, c2 long, sig binary").checkpoint()
     ids = one.select("doc", "row", "n", "c1", "c2").distinct()
-    worded = one.where("n > 0").groupBy("c1", "c2", "n").agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"))
-    sizes = ids.where("n > 0").groupBy("c1", "c2").agg(F.min("doc").alias("class_id"), F.count(F.lit(1)).alias("size"))
-    classes = worded.join(sizes.select("c1", "c2", "size"), ["c1", "c2"]).checkpoint()
+    worded = one.where("n > 0").groupBy("c1", "c2", "n").agg(F.first("sig").alias("sig"))
+    sizes = ids.where("n > 0").groupBy("c1", "c2").agg(F.min(F.struct("doc", "row")).alias("low"), F.count(F.lit(1)).alias("size"))
+    # from here to the verified groups, "doc" is the number of a class, fixed by the checkpoint
+    classes = worded.join(sizes, ["c1", "c2"]).withColumn("doc", F.monotonically_increasing_id()).checkpoint()
 
     # buckets of band hashes; a member's partner is the bucket's smallest document
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
@@ -270,11 +272,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     release(spark)
 
     # full sets of the members of candidate components, from one row of each
-    reps = found.select(F.col("node").alias("k")).join(classes.select("doc", "c1", "c2"), F.col("k") == F.col("doc")).select("k", F.col("c1").alias("k1"), F.col("c2").alias("k2"))
-    rep_rows = (one.join(reps.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")))
-                .select("k", F.col("row").alias("r")).groupBy("k").agg(F.min("r").alias("r")))
-    texts = src.join(rep_rows.hint("shuffle_hash"), (F.col("doc") == F.col("k")) & (F.col("row") == F.col("r")), "left_semi")
-    sets = texts.select("doc", "t").mapInArrow(_sets(k), "doc long, shingles binary").dropDuplicates(["doc"])
+    reps = classes.join(found.select(F.col("node").alias("doc")), "doc").select(F.col("doc").alias("k"), F.col("low.doc").alias("d"), F.col("low.row").alias("r"))
+    texts = src.join(reps.hint("shuffle_hash"), (F.col("doc") == F.col("d")) & (F.col("row") == F.col("r")))
+    sets = texts.select("k", "t").mapInArrow(_sets(k), "doc long, shingles binary").dropDuplicates(["doc"])
     member = found.withColumnRenamed("node", "doc").join(sets, "doc").join(classes.select("doc", "size"), "doc").checkpoint()
     units = (block_pairs(member, "component", "doc", block).groupBy("component", "lo", "hi")
              .agg(F.collect_list(F.struct("doc", "mine", "size", "shingles")).alias("rows")).select("lo", "hi", "rows"))
@@ -282,14 +282,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     release(spark)
     counts = checked.where("b IS NULL").groupBy(F.col("a").alias("doc")).agg(F.sum("links").alias("links"))
     found = components(checked.where("b IS NOT NULL")).checkpoint()
-    per_class = (sizes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
-                 .join(counts.withColumnRenamed("doc", "class_id"), "class_id", "left")
-                 .select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "class_id", "size", F.coalesce("component", "class_id").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links")))
+    per_class = (classes.select("doc", "c1", "c2", "low", "size").join(found.withColumnRenamed("node", "doc"), "doc", "left")
+                 .join(counts, "doc", "left").withColumn("component", F.coalesce("component", "doc")))
+    lowest = per_class.groupBy("component").agg(F.min("low").alias("least"))
+    per_class = (per_class.join(lowest, "component")
+                 .select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), F.col("low.doc").alias("class_id"), "size", "least", F.coalesce("links", F.lit(0)).alias("links")))
     worded = (ids.where("n > 0").join(per_class, (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")))
-              .select("doc", "row", "class_id", (F.col("links") + F.col("size") - 1).alias("n_links"), "group_id"))
-    empty = ids.where("n = 0").select("doc", "row", F.col("doc").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc").alias("group_id"))
+              .select("doc", "row", "class_id", (F.col("links") + F.col("size") - 1).alias("n_links"), F.col("least.doc").alias("group_id"),
+                      (F.struct("doc", "row") == F.col("least")).alias("kept")))
+    empty = ids.where("n = 0").select("doc", "row", F.col("doc").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc").alias("group_id"), F.lit(True).alias("kept"))
     out = worded.union(empty)
-    return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(doc_id), "row", "class_id", "n_links", "group_id", (F.col("doc") == F.col("group_id")).alias("kept"))
+    return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(doc_id), "row", "class_id", "n_links", "group_id", "kept")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

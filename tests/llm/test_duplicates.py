@@ -125,6 +125,25 @@ def test_near_duplicate_edge_cases(spark, make_docs):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0 and neardup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_rows_without_own_id(spark, make_docs):
+    """Different texts of null or repeated ids are documents of their own."""
+    r = random.Random(9)
+    prose = [[f"w{r.randint(0, 9999)}" for _ in range(60)] for _ in range(6)]
+    near = lambda q, e: " ".join([*prose[q][:-1], e])
+    rows = [(1, " ".join(prose[0])), (None, near(0, "x")), (None, " ".join(prose[1])), (None, " ".join(prose[2])), (None, near(2, "y")),
+            (7, " ".join(prose[3])), (7, " ".join(prose[4])), (7, near(4, "z")), (9, near(3, "u")), (None, " ".join(prose[5]))]
+    full = make_docs(rows)
+    got = {(x.row, x.doc_id): x for x in neardup.near_duplicates(full).collect()}
+    rows_of = {(x.h, x.doc_id): x.text for x in full.selectExpr("xxhash64(text) h", "doc_id", "text").collect()}
+    got = {rows_of[k]: x for k, x in got.items()}
+    none = neardup.NO_ID
+    assert [got[t].group_id for _, t in rows] == [1, 1, none, none, none, 7, 7, 7, 7, none]
+    assert [got[t].n_links for _, t in rows] == [1, 1, 0, 1, 1, 1, 1, 1, 1, 0]
+    kept = [x.text for x in neardup.keep_one(full).collect()]
+    at = [{t for _, t in rows[a:z]} for a, z in ((2, 3), (3, 5), (6, 8), (9, 10))]
+    assert len(kept) == 6 and all(len(x & set(kept)) == 1 for x in at) and rows[0][1] in kept and rows[5][1] in kept
+
+
 def test_banding_reaches_recall():
     for t in (0.5, 0.8, 0.9):
         bands, rows = neardup.banding(t, 0.999)
