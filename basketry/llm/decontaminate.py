@@ -18,13 +18,15 @@ counts as an item whose id is the empty string.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import map_text, sha_hex, text_slices, words
+from basketry.llm.common import free_name, map_text, sha_hex, text_slices, words
 
 #: Words in a window.
 WINDOW = 13
@@ -271,34 +273,33 @@ def _passes(benchmark: DataFrame, item: str, text: str, limit: int):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None,
                   item: str = "item_id", item_text: str = "text", window: int = WINDOW,
-                  pass_bytes: int = PASS_BYTES) -> DataFrame:
+                  pass_bytes: int | None = None) -> DataFrame:
     """The ``keep`` columns (default: all) plus n_words, n_hit, items (sorted
     ids of items with an occurring window) and spans (merged removal spans, in
     bytes of the text's UTF-8).
 
     One narrow pass over the documents, without a shuffle, for a benchmark of
-    up to ``pass_bytes``.  A larger benchmark adds a pass for each further
+    up to ``pass_bytes`` (default: ``PASS_BYTES``).  A larger benchmark adds a pass for each further
     part; a window of 13 words never spans two items, so parts are independent.
     """
     sc = docs.sparkSession.sparkContext
     keep = docs.columns if keep is None else keep
-    out = None
-    for part in _passes(benchmark, item, item_text, pass_bytes):
-        bc = sc.broadcast(Phrases(part, window))
-        if out is None:
-            out = map_text(docs, text, keep, FIELDS, _scanner(bc))
-        else:
-            out = _another_pass(out, docs, text, keep, bc)
-    return out
-
-
-def _another_pass(out, docs, text, keep, bc):
+    parts = _passes(benchmark, item, item_text, PASS_BYTES if pass_bytes is None else pass_bytes)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        return map_text(docs, text, keep, FIELDS, _scanner(sc.broadcast(Phrases(first, window))))
+    own = free_name(docs.columns, "_own_text")  # later passes match by the text, whether it is kept or not
+    docs = docs.withColumn(own, F.col(f"`{text}`").cast("string"))
+    out = map_text(docs, own, [*keep, own], FIELDS, _scanner(sc.broadcast(Phrases(first, window))))
+    for part in chain([second], parts):
+        out = _another_pass(out, docs, own, sc.broadcast(Phrases(part, window)))
+    return out.drop(own)
+
+
+def _another_pass(out, docs, text, bc):
     """Adds the hits of one more part of the benchmark to an earlier result.
 
     Rows are matched by the text itself (its digest): equal texts have equal hits."""
-    raise_if = [c for c in (text,) if c not in keep]
-    if raise_if:
-        raise ValueError("a benchmark of several passes needs the text column in keep")
     names = out.columns[-4:]
     more = map_text(docs.select(F.col(text)).distinct(), text, [text], FIELDS, _scanner(bc))
     more = more.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_d"), *(F.col(f.name).alias(f"_{f.name}") for f in FIELDS)).dropDuplicates(["_d"])

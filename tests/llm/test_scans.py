@@ -5,7 +5,7 @@ from brute import decontaminate as brute_force, same
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from basketry.llm import chat, licenses, template
+from basketry.llm import chat, decontaminate as decontaminate_module, licenses, template
 from basketry.llm.decontaminate import OP10_SQL, Phrases, contaminated, decontaminate, op10, scan_slice
 from basketry.llm.registry import ORACLE_SQL, QUERIES
 
@@ -62,6 +62,14 @@ def test_decontamination_by_brute_force(spark, make_docs):
     assert flag.a and not flag.b
 
 
+def test_registered_decontamination_in_several_passes(spark, sf_small, oracle, monkeypatch):
+    import pandas as pd
+    tables = {t: pd.read_parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark")}
+    total = int(tables["benchmark"].text.str.encode("utf-8").str.len().sum())
+    monkeypatch.setattr(decontaminate_module, "PASS_BYTES", total // 3)
+    same(op10(spark, sf_small).toPandas(), oracle(OP10_SQL, **tables))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab ", max_size=60), min_size=1, max_size=5), st.lists(st.text("ab ", max_size=50), min_size=1, max_size=4))
 def test_fm_index_property(docs, bench):
