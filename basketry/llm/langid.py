@@ -272,8 +272,13 @@ def train(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", text: st
     sample = d.where(F.col("h") <= cut).select("l", "t", (F.col("h") % 5 == 0).alias("c"))
     grams = (sample.where("NOT c").select("l", "t").mapInArrow(_count, "lang string, gram binary, n long")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
-    if not grams.num_rows:  # all of a small sample was held back
-        grams = sample.select("l", "t").mapInArrow(_count, "lang string, gram binary, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    # a language whose rows were all held back trains on them, and does not calibrate
+    lost = sorted({r.l for r in stats} - set(grams.column("lang").unique().to_pylist()))
+    if lost:
+        more = (sample.where(F.col("l").isin(lost)).select("l", "t").mapInArrow(_count, "lang string, gram binary, n long")
+                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
+        grams = pa.concat_tables([grams, more])
+    grams = grams.combine_chunks()
     coded = grams.column("lang").combine_chunks().dictionary_encode()
     names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
     mat = text_buffer(grams.column("gram"))[0].view("<u4").reshape(-1, ORDER)
@@ -282,7 +287,7 @@ def train(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", text: st
     model = Model(langs, [(mat[code == names.index(x)], n[code == names.index(x)]) for x in langs])
     del grams, coded, code, mat, n
     share = min(1.0, calibration_rows / max(sum(r.rows for r in stats), 1))
-    held = d.where((F.col("h") % 5 == 0) & (F.col("h") <= int(max(share * (top - 1024), max(r.low for r in stats)))))
+    held = d.where(~F.col("l").isin(lost) & (F.col("h") % 5 == 0) & (F.col("h") <= int(max(share * (top - 1024), max(r.low for r in stats)))))
     bc = docs.sparkSession.sparkContext.broadcast(model)
 
     def entropies(batches):

@@ -55,6 +55,16 @@ def test_language_edge_cases(spark, make_docs):
     assert langid.identify(empty, m).count() == 0 and langid.identify(docs, m).where("lang_pred != 'und'").count() == 0
 
 
+def test_language_of_one_held_back_row_is_learned(spark, make_docs):
+    ids = spark.range(1000).where(F.abs(F.xxhash64(F.col("id").cast("string"))) % 5 == 0).limit(1).first().id
+    rare = "qwx vyz kjq zzv wqk xyj " * 20
+    rows = [(i, "the house and the garden of the old town " * 5, "en") for i in range(1000, 1030)] + [(ids, rare, "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, F.lit(True))
+    r = langid.identify(docs, model).where("lang = 'xx'").first()
+    assert model.langs == ["en", "xx"] and r.lang_pred == "xx" and not r.rejected
+
+
 def test_foreign_text_is_rejected(spark, sf_small, make_docs):
     model = langid.train(spark.read.parquet(f"{sf_small}/documents.parquet"), F.lit(True))
     r = langid.identify(make_docs([(1, "ξζψωφ πρστυ ασδφγ ηξκλ " * 30)]), model).first()
