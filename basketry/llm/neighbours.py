@@ -17,9 +17,11 @@
    found so join components, and the search is repeated until it finds none.
    Inside every component all members are then compared in blocks, in double
    precision, and counted; pairs are not emitted.
-6. Audit: for a bounded sample of query vectors the links are counted by brute
-   force over all vectors.  While recall is below ``RECALL``, new tables with
-   other projections join the graph and the descent goes on.
+6. Audit: for a bounded sample of query vectors of every class of component
+   sizes the links are counted by brute force over all vectors.  Recall is
+   averaged over query vectors, for each class of true link counts.  While one
+   is below ``RECALL``, K is doubled, new tables with other projections join
+   the graph and the descent goes on; after ``AUDITS`` rounds it is an error.
 
 Defined results: null vectors, zero vectors and vectors with null or
 non-finite components link with nothing; so do vectors of different lengths;
@@ -47,8 +49,8 @@ SORTED_BLOCK = 64
 ROUNDS = 6
 #: A descent ends when fewer than this share of all list entries is new.
 CHANGE = 0.002
-#: Query vectors of the audit, about, and what it must reach.
-AUDIT = 200
+#: Query vectors of the audit, about, for each power of two of component sizes, and what it must reach.
+AUDIT = 100
 RECALL = 0.99
 AUDITS = 4
 BLOCK = 256
@@ -296,28 +298,48 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     return a @ b.T / (na[:, None] * nb[None, :]) >= threshold
 
 
-def _audit(vecs: DataFrame, counts: DataFrame, total: int, threshold: float) -> float:
-    """Share of the links of a sample of query vectors that were found."""
-    share = min(1.0, AUDIT / max(total, 1))
-    picked = vecs.where(F.abs(F.xxhash64("id", F.lit(17))) <= int(share * (2.0**63 - 1024)))
-    rows = picked.join(counts, "id", "left").select("id", "v", F.coalesce("links", F.lit(0)).alias("links")).collect()
-    if not rows:
+def _audit(vecs: DataFrame, found: DataFrame, counts: DataFrame, threshold: float) -> float:
+    """The least recall of a class of query vectors (by the power of two of their true links)."""
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
+    kinds = found.join(sizes, "component").select(F.col("node").alias("id"), F.floor(F.log2("m")).cast("int").alias("kind"))
+    rows = vecs.select("id", "v").join(kinds, "id", "left").withColumn("kind", F.coalesce("kind", F.lit(0)))
+    weight = {r.kind: max(1.0, r.n / AUDIT) for r in rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not weight:
         return 1.0
-    bc = vecs.sparkSession.sparkContext.broadcast([(r.id, bytes(r.v)) for r in rows])
+    top = F.coalesce(*(F.when(F.col("kind") == k, F.lit(int((2.0**63 - 1024) / w))) for k, w in weight.items()))
+    picked = rows.where(F.abs(F.xxhash64("id", F.lit(17))) <= top)
+    rows = picked.join(counts, "id", "left").select("id", "v", "kind", F.coalesce("links", F.lit(0)).alias("links")).collect()
+    queries = {}
+    for r in rows:
+        queries.setdefault(len(r.v), []).append((r.id, bytes(r.v)))
+    bc = vecs.sparkSession.sparkContext.broadcast(queries)
 
     def run(batches):
         for b in batches:
             ids, raw, size = b.column(0).to_numpy(), b.column(1).to_pylist(), b.column(2).to_numpy()
-            out = []
-            for q, v in bc.value:
-                on = np.flatnonzero([len(x) == len(v) for x in raw])
-                ok = linked(_matrix([v]), _matrix([raw[i] for i in on]), threshold)[0] & (ids[on] != q) if len(on) else np.zeros(0, bool)
-                out.append((q, int(size[on][ok].sum())))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out]), pa.array([x[1] for x in out], pa.int64())], ["id", "n"])
+            width, out = np.array([len(x) for x in raw]), []
+            for z, mine in bc.value.items():
+                on = np.flatnonzero(width == z)
+                if not len(on):
+                    continue
+                q = np.array([x[0] for x in mine])
+                ok = linked(_matrix([x[1] for x in mine]), _matrix([raw[i] for i in on]), threshold) & (q[:, None] != ids[on][None, :])
+                out += zip(q.tolist(), (ok @ size[on]).tolist(), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["id", "n"])
 
     true = {r.id: r.n for r in vecs.select("id", "v", "size").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
-    want = sum(true.values())
-    return sum(min(r.links, true.get(r.id, 0)) for r in rows) / want if want else 1.0
+    return recall((r.links, true.get(r.id, 0), weight[r.kind]) for r in rows)
+
+
+def recall(queries) -> float:
+    """The least of the weighted mean recalls of the classes of query vectors (found, true, weight)."""
+    got, want = {}, {}
+    for links, true, w in queries:
+        if true:
+            c = int(true).bit_length()
+            got[c] = got.get(c, 0.0) + w * min(links, true) / true
+            want[c] = want.get(c, 0.0) + w
+    return min((got[c] / want[c] for c in want), default=1.0)
 
 
 def _units(vecs: DataFrame) -> DataFrame:
@@ -345,6 +367,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     units = _units(vecs).checkpoint()
     links, graph, found, counts = None, None, None, None
     for audit in range(AUDITS):
+        k = k if audit == 0 else 2 * k
         pairs = _from_tables(vecs.select("id", "v", F.col("id").alias("g")), total, range(audit * TABLES, (audit + 1) * TABLES), k, threshold).checkpoint()
         old = pairs if graph is None else pairs.union(_entries(graph))
         graph, hot = _descend(units, _lists(old, k).checkpoint(), k, threshold, ROUNDS)
@@ -355,8 +378,11 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         m = found.withColumnRenamed("node", "id").join(vecs, "id")
         work = (block_pairs(m, "component", "id", BLOCK).groupBy("component", "lo", "hi").agg(F.collect_list(F.struct("id", "mine", "size", "v")).alias("rows")).select("lo", "hi", "rows"))
         counts = work.mapInArrow(_count_links(threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("links")).checkpoint()
-        if _audit(vecs, counts, total, threshold) >= RECALL:
+        reached = _audit(vecs, found, counts, threshold)
+        if reached >= RECALL:
             break
+    else:
+        raise RuntimeError(f"recall of the links is {reached:.4f} after {AUDITS} rounds, below {RECALL}")
     per = (vecs.join(found.withColumnRenamed("node", "id"), "id", "left").join(counts, "id", "left")
            .select("v", F.coalesce("component", "id").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links")))
     good = member.join(per, "v").select("id", "n_links", "component_id")

@@ -223,6 +223,17 @@ def test_embeddings_of_dense_clumps(spark, monkeypatch):
     assert all(got.component_id[i] == comp[i] and got.n_links[i] == n[i] for i, _ in rows)
 
 
+def test_audit_is_not_ruled_by_hot_components(spark, monkeypatch):
+    """Missing all pairs beside a large group that is found whole is not a pass."""
+    assert neighbours.recall([(1999, 1999, 1.0)] * 200 + [(0, 1, 1.0)] * 3) == 0.0
+    assert neighbours.recall([(5, 5, 1.0), (0, 0, 9.0)]) == 1.0 and neighbours.recall([]) == 1.0
+    monkeypatch.setattr(neighbours, "AUDITS", 1)
+    monkeypatch.setattr(neighbours, "_true_links", lambda pairs, vecs, threshold: pairs.where("a < 0").select("a", "b"))
+    df = spark.createDataFrame([(i, [1.0, 0.1 * (i % 2) + 3 * (i // 2)]) for i in range(4)], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall"):
+        neighbours.near_vectors(df)
+
+
 def test_embeddings_edge_cases(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "TABLES", 1)
     monkeypatch.setattr(neighbours, "ROUNDS", 1)
