@@ -66,6 +66,8 @@ def test_registered_decontamination_in_several_passes(spark, sf_small, oracle, m
     import pandas as pd
     tables = {t: pd.read_parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark")}
     total = int(tables["benchmark"].text.str.encode("utf-8").str.len().sum())
+    docs, bench = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark"))
+    assert decontaminate(docs, bench, keep=["doc_id"], pass_bytes=total // 3).columns == ["doc_id", "n_words", "n_hit", "items", "spans"]
     monkeypatch.setattr(decontaminate_module, "PASS_BYTES", total // 3)
     same(op10(spark, sf_small).toPandas(), oracle(OP10_SQL, **tables))
 
