@@ -9,6 +9,8 @@ from basketry.llm.chat import OP5_SQL, op5
 from basketry.llm.decontaminate import OP10_SQL, op10
 from basketry.llm.langid import op1
 from basketry.llm.licenses import OP2_SQL, op2
+from basketry.llm.lines import OP11_SQL, op11
+from basketry.llm.manifest import OP12_SQL, op12
 from basketry.llm.mixing import op4
 from basketry.llm.neighbours import op3
 from basketry.llm.neardup import op9
@@ -27,10 +29,14 @@ QUERIES = {
     "op8_quality_classifier": op8,
     "op9_ngram_jaccard_join": op9,
     "op10_benchmark_decontamination": op10,
+    "op11_line_dedup": op11,
+    "op12_merkle_manifest": op12,
 }
 
 ORACLE_SQL = {
     "op2_license_scans": OP2_SQL,
     "op5_chat_formatting": OP5_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_line_dedup": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
