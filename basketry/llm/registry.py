@@ -6,6 +6,7 @@ A query without SQL is tested against brute force in ``tests/llm``.
 from __future__ import annotations
 
 from basketry.llm.chat import OP5_SQL, op5
+from basketry.llm.collocations import OP13_SQL, op13
 from basketry.llm.decontaminate import OP10_SQL, op10
 from basketry.llm.langid import op1
 from basketry.llm.licenses import OP2_SQL, op2
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_benchmark_decontamination": op10,
     "op11_line_dedup": op11,
     "op12_merkle_manifest": op12,
+    "op13_phrase_collocations": op13,
 }
 
 ORACLE_SQL = {
@@ -39,4 +41,5 @@ ORACLE_SQL = {
     "op10_benchmark_decontamination": OP10_SQL,
     "op11_line_dedup": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
+    "op13_phrase_collocations": OP13_SQL,
 }
