@@ -30,6 +30,17 @@ def test_ranks_match_sorted_list(spark, xs, slices):
     assert got == {k: s[len(s) * a // b] for k, (a, b) in fr.items()}
 
 
+@SETTINGS
+@given(prices, st.integers(1, 3), st.integers(1, 6), st.integers(2, 5))
+def test_refined_ranks_match_sorted_list(spark, xs, slices, bound, cuts):
+    """Ranges are cut until no more than ``bound`` distinct values are sorted."""
+    df = spark.createDataFrame([(x,) for x in xs], "price double")
+    fr = {"a": (1, 4), "b": (1, 2), "c": (3, 4), "d": (0, 1), "e": (9, 10)}
+    got = {r.name: r.value for r in stats.values_at_ranks(df, "price", fr, slices, bound, cuts).collect()}
+    s = sorted(xs)
+    assert got == {k: s[len(s) * a // b] for k, (a, b) in fr.items()}
+
+
 lines = st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3", "u4"]),
                            st.sampled_from([f"p{i}" for i in range(6)]),
                            st.integers(0, 300)),

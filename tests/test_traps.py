@@ -128,6 +128,25 @@ def test_percentile_indices(spark, n):
     assert got == {"p25": s[m // 4], "p50": s[m // 2], "p75": s[3 * m // 4]}
 
 
+def test_no_sorted_range_above_the_bound(spark, monkeypatch):
+    """A column of distinct values, three slices: every rank's range is refined
+    below the bound, in the number of rounds that the cuts give."""
+    n, bound, cuts = 20_000, 50, 8
+    df = spark.range(n).select((F.col("id") * 7919 % n + 0.25).alias("price"))
+    fr = {f"q{k}": (k, 10) for k in range(10)} | {"last": (n - 1, n)}
+    ranges, rounds = [], []
+    tagged, refined = stats._tagged, stats._refined
+    monkeypatch.setattr(stats, "_tagged", lambda d, c, r: ranges.append(r) or tagged(d, c, r))
+    monkeypatch.setattr(stats, "_refined", lambda *a: rounds.append(1) or refined(*a))
+    got = {r.name: r.value for r in stats.values_at_ranks(df, "price", fr, 3, bound, cuts).collect()}
+    assert got == {k: n * a // b + 0.25 for k, (a, b) in fr.items()}
+    assert max(r.distinct for r in ranges[-1]) <= bound and 3 <= len(rounds) <= 5
+    days = spark.createDataFrame([(dt.datetime(2024, 1, 1) + dt.timedelta(hours=i),) for i in range(300)], "t timestamp")
+    assert stats.values_at_ranks(days, "t", {"m": (1, 2)}, 2, 10, 4).first().value == dt.datetime(2024, 1, 1) + dt.timedelta(hours=150)
+    none = spark.createDataFrame([(None,)] * 3, "price double")
+    assert stats.values_at_ranks(none, "price", fr, 3, 1, 2).count() == 0
+
+
 def test_price_distribution_hot_value(spark):
     # one price holds a third of all rows
     prices = [5.0] * 40 + [float(i) for i in range(80)]
