@@ -40,8 +40,10 @@ BASKET_WINDOW = "1 hour"
 BASKET_SLIDE = "30 minutes"
 TRIGGER = "10 seconds"
 RECOMMENDATION_TRIGGER = "60 seconds"
-# upsert tables fold into a snapshot every this many micro-batches
-COMPACT_EVERY = 100
+# sink tables: folders of one level that are folded into one of the next, and
+# how long a folder stays after it has left the table's newest version
+FOLD_FAN = 8
+RETAIN_SECONDS = 86_400.0
 
 # Fixed evaluation instant for "NOW()" lookbacks on the fixture tables.
 AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
@@ -50,3 +52,6 @@ AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 # Pair generation: every basket is dealt into blocks of about this many distinct
 # items, and each pair of blocks is one join key (see operators.baskets).
 PAIR_BLOCK_ITEMS = 512
+
+# Top pairs: items of one block; pairs are summed inside a pair of blocks.
+TOP_BLOCK_ITEMS = 4096

@@ -14,6 +14,10 @@ ordinary baskets, and each pair of blocks is a join key of its own.  So one join
 key never yields more than about ``block_items ** 2`` pairs, whatever the size
 of the basket; there is no cap and no switch.  The pair counts are partially
 aggregated before the shuffle on (item_a, item_b).
+
+The top pairs alone (:func:`top_basket_pairs`) need no table of all pairs: items
+are dealt into blocks and pairs are summed inside a pair of blocks, where they
+stay; what leaves a task is its best k.
 """
 
 from __future__ import annotations
@@ -78,6 +82,93 @@ def top_pairs(pairs: DataFrame, k: int = 10, count_col: str = "co_occurrence_cou
     return pairs.orderBy(F.desc(count_col), F.asc(a), F.asc(b)).limit(k)
 
 
+def _dealt_items(counts: DataFrame, item: str, block_items: int, max_blocks: int) -> tuple[DataFrame, int, int]:
+    """(items, id bits, blocks).  One row per item, checkpointed: ``_id`` ascends
+    with the item's name, ``_norm`` is the Euclidean norm of its counts over users,
+    ``_self`` its pairs with itself; items of like norm share a block ``_blk``, the
+    largest norms in block 0."""
+    n = F.col("_n").cast("double")
+    stats = counts.groupBy(item).agg(F.sqrt(F.sum(n * n)).alias("_norm"),
+                                     (F.sum(F.col("_n") * (F.col("_n") - 1)) / 2).cast("long").alias("_self"))
+    named = (stats.repartitionByRange(item).sortWithinPartitions(item)
+                  .withColumn("_at", F.monotonically_increasing_id()).checkpoint())
+    part, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    size = named.agg(F.count(F.lit(1)).alias("n"), F.max(part).alias("parts"), F.max(place).alias("most")).first()
+    width = (size.most or 0).bit_length()
+    blocks = max(1, min(max_blocks, -(-size.n // block_items)))
+    named = named.withColumn("_id", F.shiftleft(part, width).bitwiseOR(place)).drop("_at")
+    items = (named.repartitionByRange(blocks, F.desc("_norm"), F.col("_id"))
+                  .withColumn("_blk", F.spark_partition_id()).checkpoint())
+    return items, width + (size.parts or 0).bit_length(), blocks
+
+
+def _best_in_blocks(rows: DataFrame, user: str, blocks: int, bits: int, chosen: list[tuple[int, int]],
+                    least: float, k: int) -> list:
+    """The best k pairs (count, a, b) of the chosen pairs of blocks; with ``least``
+    only of items whose norms' product reaches it.
+
+    One shuffle brings each (user, item) row to the block pairs it belongs to; a
+    pair's users all meet there, so its count is final without another shuffle."""
+    cells = [i * blocks + j for i, j in chosen]
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_o")
+    cell = F.least("_blk", "_o") * blocks + F.greatest("_blk", "_o")
+    what = ["_id", "_n", "_norm"] if least else ["_id", "_n"]
+    dealt = (rows.select(user, *what, "_blk", other)
+                 .withColumn("_cell", cell).where(F.col("_cell").isin(cells)).drop("_o")
+                 .repartition(2 * len(cells), "_cell"))
+    first, second = F.expr(f"_cell div {blocks}"), F.col("_cell") % blocks
+    sides = dealt.groupBy("_cell", user).agg(
+        F.collect_list(F.when(F.col("_blk") == first, F.struct(*what))).alias("_a"),
+        F.collect_list(F.when((F.col("_blk") == second) & (first != second), F.struct(*what))).alias("_b"))
+    sides = sides.withColumn("_b", F.when(first == second, F.col("_a")).otherwise(F.col("_b")))
+    p = sides.select("_cell", F.explode("_a").alias("x"), "_b").select("_cell", "x", F.explode("_b").alias("y"))
+    # inside one block every pair comes twice, and an item meets itself
+    p = p.where((first != second) | (F.col("x._id") < F.col("y._id")))
+    if least:   # Cauchy-Schwarz: the count is at most the product of the norms
+        p = p.where(F.col("x._norm") * F.col("y._norm") * (1 + 1e-9) >= F.lit(float(least)))
+    a, b = F.least("x._id", "y._id"), F.greatest("x._id", "y._id")
+    pair = [F.shiftleft(a, bits).bitwiseOR(b).alias("a")] if 2 * bits < 63 else [a.alias("a"), b.alias("b")]
+    keys = ["a", "b"][:len(pair)]
+    p = p.select("_cell", *pair, (F.col("x._n") * F.col("y._n")).alias("w"))
+    c = p.groupBy("_cell", *keys).agg(F.sum("w").alias("c")).select(*keys, "c").orderBy(F.desc("c"), *keys).limit(k)
+    return [(r.c, r.a >> bits, r.a & (1 << bits) - 1) if len(keys) == 1 else (r.c, r.a, r.b) for r in c.collect()]
+
+
+def top_basket_pairs(orders: DataFrame, k: int = 10, user: str = "user_id", item: str = "product_id",
+                     block_items: int = config.TOP_BLOCK_ITEMS, max_blocks: int = 32) -> DataFrame:
+    """The first k rows of B1 by count, then by names, without all its pairs.
+
+    Threshold algorithm over pairs of blocks: no count exceeds the product of the
+    two items' norms, so pairs of blocks go by the product of their largest norms.
+    The first quarter gives k exact counts; of the rest only pairs of blocks, and in
+    them only pairs of items, whose bound reaches the k-th count are summed at all.
+    The driver holds k rows and ``max_blocks`` norms.  A (user, item) row travels to
+    at most ``max_blocks`` tasks; no pair is shuffled."""
+    counts = (orders.where(F.col(item).isNotNull() & F.col(user).isNotNull())
+                    .groupBy(user, item).agg(F.count(F.lit(1)).alias("_n")))
+    counts = _materialize(counts)
+    items, bits, blocks = _dealt_items(counts, item, block_items, max_blocks)
+    rows = counts.join(items.select(item, "_id", "_norm", "_blk"), item).select(user, "_id", "_n", "_norm", "_blk")
+    norms = {r["_blk"]: (r.top, r.low) for r in
+             items.groupBy("_blk").agg(F.max("_norm").alias("top"), F.min("_norm").alias("low")).collect()}
+    best = [(r["_self"], r["_id"], r["_id"]) for r in
+            items.where("_self > 0").orderBy(F.desc("_self"), "_id").limit(k).collect()]
+    cells = sorted(((norms[i][0] * norms[j][0], i, j) for i in norms for j in norms if i <= j), reverse=True)
+    cut = -(-len(cells) // 4)
+    for part in (cells[:cut], cells[cut:]):
+        least = best[-1][0] if len(best) == k else 0
+        part = [(i, j) for bound, i, j in part if bound * (1 + 1e-9) >= least]
+        if part:
+            some = least if any(norms[i][1] * norms[j][1] < least for i, j in part) else 0
+            found = _best_in_blocks(rows, user, blocks, bits, part, some, k)
+            best = sorted(best + found, key=lambda x: (-x[0], x[1], x[2]))[:k]
+    ids = sorted({x for _, a, b in best for x in (a, b)})
+    names = {r["_id"]: r[item] for r in items.where(F.col("_id").isin(ids)).select("_id", item).collect()} if ids else {}
+    kind = orders.schema[item].dataType.simpleString()
+    return orders.sparkSession.createDataFrame([(names[a], names[b], int(c)) for c, a, b in best],
+                                               f"product1 {kind}, product2 {kind}, co_occurrence_count long")
+
+
 def window_baskets(orders: DataFrame, window: str = config.BASKET_WINDOW,
                    slide: str = config.BASKET_SLIDE) -> DataFrame:
     """Distinct (window, user, product) rows: the collect_set baskets of Q04

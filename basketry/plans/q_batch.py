@@ -158,7 +158,7 @@ for _sfx, _load in _SOURCES.items():
     register(f"q13_vip_users_top10{_sfx}", _q13_sql(_src))(
         lambda s, d, L=_USERS[_sfx]: segments.vip_users(L(s, d)))
     register(f"q14_product_cooccurrence_top10{_sfx}", _q14_sql(_src))(
-        lambda s, d, L=_USERS[_sfx]: baskets.top_pairs(baskets.basket_pairs(L(s, d)), 10))
+        lambda s, d, L=_USERS[_sfx]: baskets.top_basket_pairs(L(s, d), 10))
     register(f"q15_price_distribution{_sfx}", _q15_sql(_src))(
         lambda s, d, L=_PRICES[_sfx]: stats.price_distribution(L(s, d)))
     register(f"q16_orders_by_hour{_sfx}", _q16_sql(_src))(

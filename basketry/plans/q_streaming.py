@@ -17,7 +17,7 @@ from basketry.plans.registry import register
 from basketry.plans.sqlviews import bucket, sessions_table, with_
 from basketry.streaming import pipelines as pl
 from basketry.streaming import sinks
-from basketry.streaming.replay import replay
+from basketry.streaming.replay import replay, replayed_orders
 
 NOW_TRIGGER = pl.Trigger(processing_time=None, available_now=True)
 PIECES = 4
@@ -68,15 +68,14 @@ def st_sessions(spark, sf):
     return sinks.read_appended(spark, f"{root}/tables/sessions", schemas.USER_SESSIONS)
 
 
-def _closed_pairs_sql() -> str:
+def _pairs_sql() -> str:
     b = bucket('"timestamp"', "30 minutes")
-    mx = "(SELECT MAX(\"timestamp\") FROM orders_raw) - INTERVAL '10 minutes'"
     return with_("orders_raw") + f""", b AS (
   SELECT DISTINCT window_start, user_id, product_id FROM (
     SELECT {b} AS window_start, user_id, product_id FROM orders_raw
     UNION ALL
     SELECT {b} - INTERVAL '30 minutes', user_id, product_id FROM orders_raw) x
-  WHERE product_id IS NOT NULL AND window_start + INTERVAL '1 hour' <= {mx})
+  WHERE product_id IS NOT NULL)
 SELECT a.product_id, b2.product_id AS recommended_product_id,
        CAST(COUNT(*) AS DOUBLE) AS score, COUNT(*) AS co_purchase_count
 FROM b a JOIN b b2 ON a.window_start = b2.window_start AND a.user_id = b2.user_id
@@ -84,18 +83,15 @@ FROM b a JOIN b b2 ON a.window_start = b2.window_start AND a.user_id = b2.user_i
 GROUP BY 1, 2"""
 
 
-@register("st_product_recommendations", _closed_pairs_sql())
+@register("st_product_recommendations", _pairs_sql())
 def st_recommendations(spark, sf):
-    """Q04 / ST9: closed baskets -> per-batch pair deltas -> summed table."""
+    """Q04 / ST9: closed baskets -> per-batch pair deltas -> summed table, and the
+    baskets that are still open at the end of the run."""
     root = replay(spark, sf, lambda st, root: [pl.start_recommendations(
         st["orders"], f"{root}/tables/pairs", f"{root}/checkpoints", NOW_TRIGGER)],
         "recommendations", PIECES, ("orders",))
+    pl.flush_recommendations(replayed_orders(spark, root), f"{root}/tables/pairs")
     t = sinks.read_summed(spark, f"{root}/tables/pairs", ["product_id", "recommended_product_id"],
                           ["co_purchase_count"])
-    if t is None:
-        return spark.createDataFrame([], "product_id string, recommended_product_id string, "
-                                         "score double, co_purchase_count long")
     return t.select("product_id", "recommended_product_id",
-                    F.col("co_purchase_count").cast("double").alias("score"),
-                    F.col("co_purchase_count").cast("long").alias("co_purchase_count"))
-
+                    F.col("co_purchase_count").cast("double").alias("score"), "co_purchase_count")

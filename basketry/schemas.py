@@ -99,3 +99,6 @@ TABLES = {
 def ddl(schema: T.StructType) -> str:
     """Column list in Spark DDL form, for CREATE TABLE statements."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+#: Output tables whose rows are written once (append mode).
+APPENDED = {"user_sessions_5min", "metric_samples"}

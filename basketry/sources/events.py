@@ -134,8 +134,9 @@ def _epoch(c: str):
     return F.unix_micros(F.col(c)) / F.lit(1_000_000.0)
 
 
-def encode_orders(orders: DataFrame) -> DataFrame:
-    """orders_raw rows -> (key = user id, value = JSON order event)."""
+def encode_orders(orders: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """orders_raw rows -> (key = user id, value = JSON order event), and the
+    columns in ``keep`` beside the event."""
     body = F.struct(
         F.lit("ORDER").alias("eventType"),
         F.col("order_id").alias("orderId"),
@@ -145,10 +146,10 @@ def encode_orders(orders: DataFrame) -> DataFrame:
         F.col("currency"),
         _epoch("timestamp").alias("timestamp"),
     )
-    return orders.select(F.col("user_id").alias("key"), F.to_json(body).alias("value"))
+    return orders.select(F.col("user_id").alias("key"), F.to_json(body).alias("value"), *keep)
 
 
-def encode_views(views: DataFrame) -> DataFrame:
+def encode_views(views: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     body = F.struct(
         F.lit("VIEW").alias("eventType"),
         F.col("user_id").alias("userId"),
@@ -156,10 +157,10 @@ def encode_views(views: DataFrame) -> DataFrame:
         F.col("category"),
         _epoch("timestamp").alias("timestamp"),
     )
-    return views.select(F.col("user_id").alias("key"), F.to_json(body).alias("value"))
+    return views.select(F.col("user_id").alias("key"), F.to_json(body).alias("value"), *keep)
 
 
-def encode_user_events(events: DataFrame) -> DataFrame:
+def encode_user_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     body = F.struct(
         F.col("event_type").alias("eventType"),
         F.col("user_id").alias("userId"),
@@ -167,7 +168,7 @@ def encode_user_events(events: DataFrame) -> DataFrame:
         F.col("device"),
         _epoch("timestamp").alias("timestamp"),
     )
-    return events.select(F.col("user_id").alias("key"), F.to_json(body).alias("value"))
+    return events.select(F.col("user_id").alias("key"), F.to_json(body).alias("value"), *keep)
 
 
 def publish_kafka(encoded: DataFrame, servers: str, topic: str, partitions: int | None = None):

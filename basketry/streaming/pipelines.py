@@ -23,7 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry import config, schemas
 from basketry.operators import baskets, windows
 from basketry.sources.events import decode_orders, decode_views, split_valid
-from basketry.streaming.sinks import AppendSink, DeltaSink, ReplaceSink, UpsertSink
+from basketry.streaming.sinks import AppendSink, DeltaSink, OrdersSink, ReplaceSink, UpsertSink
+from basketry.streaming.versions import DeltaTable, Version
 
 
 @dataclass
@@ -64,9 +65,9 @@ def start_orders_ingest(raw_orders: DataFrame, table_path: str, checkpoint: str,
                         drop_late: bool = False) -> list[StreamingQuery]:
     """Q01: every decoded order is appended, however late (SNK1, T6).
 
-    The append is stateless: batch-id directories make retries idempotent, the
-    sink removes duplicates inside a batch, and ``sinks.read_orders`` settles
-    those across batches by order id, the earliest row winning (ST13).
+    The query is stateless: retries are idempotent, and the sink settles
+    duplicates inside a batch and across batches by order id, the earliest row
+    winning (ST13; ``ingest.OrdersTable``).
 
     ``drop_late=True`` removes duplicates across batches while streaming
     (``dropDuplicatesWithinWatermark``, state bounded by the watermark); it
@@ -77,7 +78,7 @@ def start_orders_ingest(raw_orders: DataFrame, table_path: str, checkpoint: str,
     if drop_late:
         valid = (valid.withWatermark("timestamp", watermark)
                       .dropDuplicatesWithinWatermark(["order_id"]))
-    qs = [_start(valid, AppendSink(table_path, schemas.TABLES["orders_raw"][1]),
+    qs = [_start(valid, OrdersSink(table_path, schemas.TABLES["orders_raw"][1][0]),
                  f"{checkpoint}/orders", "append", trigger)]
     if quarantine_path:
         qs.append(_start(bad, AppendSink(quarantine_path), f"{checkpoint}/quarantine",
@@ -94,8 +95,7 @@ def start_views_quarantine(raw_views: DataFrame, quarantine_path: str, checkpoin
 
 def start_revenue(raw_orders: DataFrame, table_path: str, checkpoint: str,
                   trigger: Trigger = Trigger(), window: str = config.REVENUE_WINDOW,
-                  watermark: str = config.WATERMARK, mode: str = "update",
-                  compact_every: int | None = config.COMPACT_EVERY) -> StreamingQuery:
+                  watermark: str = config.WATERMARK, mode: str = "update") -> StreamingQuery:
     """Q02: update-mode window aggregate, keyed upsert on (window_start, currency).
 
     ``mode="complete"`` (ST8) re-emits the whole result each trigger into a
@@ -107,19 +107,18 @@ def start_revenue(raw_orders: DataFrame, table_path: str, checkpoint: str,
         return _start(agg, ReplaceSink(table_path), f"{checkpoint}/revenue_complete",
                       "complete", trigger)
     keys = schemas.TABLES["revenue_by_currency_5min"][1]
-    return _start(agg, UpsertSink(table_path, keys, compact_every), f"{checkpoint}/revenue",
+    return _start(agg, UpsertSink(table_path, keys), f"{checkpoint}/revenue",
                   "update", trigger)
 
 
 def start_funnel(raw_views: DataFrame, raw_orders: DataFrame, table_path: str, checkpoint: str,
                  trigger: Trigger = Trigger(), window: str = config.FUNNEL_WINDOW,
-                 watermark: str = config.WATERMARK,
-                 compact_every: int | None = config.COMPACT_EVERY) -> StreamingQuery:
+                 watermark: str = config.WATERMARK) -> StreamingQuery:
     """Q03: union of both feeds, one watermark after the union (T7, ST2)."""
     ev = windows.funnel_events(views_stream(raw_views), orders_stream(raw_orders)[0])
     agg = windows.conversion_funnel_from_events(ev.withWatermark("timestamp", watermark), window)
     keys = schemas.TABLES["conversion_funnel_5min"][1]
-    return _start(agg, UpsertSink(table_path, keys, compact_every), f"{checkpoint}/funnel",
+    return _start(agg, UpsertSink(table_path, keys), f"{checkpoint}/funnel",
                   "update", trigger)
 
 
@@ -129,15 +128,14 @@ def start_sessions(raw_views: DataFrame, raw_orders: DataFrame, table_path: str,
     """Q05: append mode -- each window is written once, after it closes (ST6)."""
     ev = windows.funnel_events(views_stream(raw_views), orders_stream(raw_orders)[0])
     agg = windows.user_sessions_from_events(ev.withWatermark("timestamp", watermark), window)
-    return _start(agg, AppendSink(table_path, schemas.TABLES["user_sessions_5min"][1]),
+    return _start(agg, AppendSink(table_path, schemas.TABLES["user_sessions_5min"][1], "window_end"),
                   f"{checkpoint}/sessions", "append", trigger)
 
 
 def pair_deltas(closed: DataFrame) -> DataFrame:
     """foreachBatch body of ST9: closed (window, user, product) rows -> pair counts."""
-    pc = baskets.basket_pair_counts(closed.select("window", "user_id", "product_id"),
-                                    materialize=False)
-    return pc.withColumn("last_updated", F.current_timestamp())
+    return baskets.basket_pair_counts(closed.select("window", "user_id", "product_id"),
+                                      materialize=False)
 
 
 def start_recommendations(raw_orders: DataFrame, table_path: str, checkpoint: str,
@@ -150,7 +148,9 @@ def start_recommendations(raw_orders: DataFrame, table_path: str, checkpoint: st
     window's rows are all emitted in the micro-batch where the watermark
     passes its end, so each basket arrives complete and exactly once.
     Stage 2 (foreachBatch): pairs of that batch's baskets, written as a
-    per-batch delta; the table is the sum of deltas (``read_summed``).
+    per-batch delta; the table is the sum of deltas (``read_summed``), folded
+    level by level.  Windows that the watermark has not closed are counted by
+    :func:`flush_recommendations`.
     Baskets later than the watermark are dropped, as in every windowed query.
     """
     valid, _ = orders_stream(raw_orders)
@@ -159,8 +159,26 @@ def start_recommendations(raw_orders: DataFrame, table_path: str, checkpoint: st
                    .groupBy(F.window("timestamp", window, slide).alias("window"),
                             "user_id", "product_id")
                    .agg(F.count(F.lit(1)).alias("n")))
-    return _start(closed, DeltaSink(table_path, pair_deltas), f"{checkpoint}/recommendations",
-                  "append", trigger)
+    sink = DeltaSink(table_path, schemas.TABLES["product_recommendations"][1], ["co_purchase_count"], pair_deltas)
+    return _start(closed, sink, f"{checkpoint}/recommendations", "append", trigger)
+
+
+def flush_recommendations(orders: DataFrame, table_path: str, window: str = config.BASKET_WINDOW,
+                          slide: str = config.BASKET_SLIDE) -> Version:
+    """The open windows at the end of a run, from the raw ``orders`` (batch): every
+    window that ends after the last closed one.  Closed windows are not read again
+    (the bound on the rows reaches the scan); a later batch replaces the flush."""
+    table = DeltaTable(table_path, schemas.TABLES["product_recommendations"][1], ["co_purchase_count"])
+
+    def count(end: int | None) -> DataFrame:
+        rows = orders
+        if end is not None:
+            cut = F.timestamp_micros(F.lit(end))
+            rows = rows.where(F.col("timestamp") >= cut - F.expr(f"INTERVAL {window}"))
+        open_ = baskets.window_baskets(rows, window, slide)
+        return baskets.basket_pair_counts(open_ if end is None else open_.where(F.col("window.end") > cut))
+
+    return table.flush(orders.sparkSession, count)
 
 
 #: Where each job starts reading a feed on its first run.

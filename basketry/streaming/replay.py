@@ -1,11 +1,11 @@
 """File replay of the fixture feeds through the streaming queries.
 
-The fixture tables are encoded as JSON events (SNK8) and published as
-JSON-lines files in ``pieces`` consecutive event-time ranges.  After each
-piece lands, the query runs with ``availableNow`` and stops; the next run
-restarts from the same checkpoint (state, offsets and watermark restored),
-so every replay also exercises recovery (ST11).  Each piece is written by a
-distributed job; the driver only computes the time bounds (one row).
+The fixture tables are encoded as JSON events (SNK8) and staged as JSON-lines
+files in ``pieces`` consecutive event-time ranges, by one distributed job a feed.
+A piece is published by renaming its folder into the feed; then the query runs
+with ``availableNow`` and stops; the next run restarts from the same checkpoint
+(state, offsets and watermark restored), so every replay also exercises recovery
+(ST11).  The driver only computes the time bounds (one row).
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.session import run_dir
-from basketry.sources.events import encode_orders, encode_views, read_json_lines_stream
 from basketry.sources import fixtures as fx
+from basketry.sources.events import decode_orders, encode_orders, encode_views, read_json_lines, read_json_lines_stream, split_valid
+from basketry.streaming.versions import _fs
 
 
 def time_bounds(frames: list[DataFrame], ts: str = "timestamp") -> tuple[dt.datetime, dt.datetime]:
@@ -30,13 +31,23 @@ def time_bounds(frames: list[DataFrame], ts: str = "timestamp") -> tuple[dt.date
     return r["lo"], r["hi"]
 
 
-def stage_piece(feeds: dict[str, DataFrame], root: str, i: int, lo, hi, last: bool,
-                encoders: dict[str, Callable[[DataFrame], DataFrame]]) -> None:
-    for name, df in feeds.items():
-        cond = (F.col("timestamp") >= F.lit(lo)) & (
-            (F.col("timestamp") <= F.lit(hi)) if last else (F.col("timestamp") < F.lit(hi)))
-        encoders[name](df.where(cond)).select("value").write.mode("overwrite") \
-            .format("text").save(f"{root}/feeds/{name}/piece={i:04d}")
+def stage(df: DataFrame, encode: Callable[..., DataFrame], path: str, pieces: int, lo, hi) -> None:
+    """One pass over a feed: JSON lines in a folder per piece of its time range."""
+    width = F.unix_micros(F.lit(hi)) - F.unix_micros(F.lit(lo))
+    at = (F.unix_micros("timestamp") - F.unix_micros(F.lit(lo))) * pieces / F.greatest(width, F.lit(1))
+    piece = F.least(F.floor(at), F.lit(pieces - 1)).cast("int")
+    encode(df.withColumn("piece", piece), keep=("piece",)).select("value", "piece") \
+        .write.partitionBy("piece").format("text").save(path)
+
+
+def publish(spark: SparkSession, staged: str, feed: str) -> None:
+    """Move a staged piece into the feed (nothing, if the piece has no rows)."""
+    a, fs = _fs(spark, staged)
+    b, _ = _fs(spark, feed)
+    if fs.exists(a):
+        fs.mkdirs(b.getParent())
+        if not fs.rename(a, b):
+            raise RuntimeError(f"cannot publish {staged}")
 
 
 ENCODERS = {"orders": encode_orders, "views": encode_views}
@@ -57,20 +68,24 @@ def replay_session(spark: SparkSession, shuffle_partitions: int | None = None) -
 
 def replay(spark: SparkSession, sf_dir: str, start: Callable[..., list], tag: str,
            pieces: int = 4, feeds: tuple[str, ...] = ("orders", "views"),
-           shuffle_partitions: int | None = None) -> str:
+           shuffle_partitions: int | None = None, order: list[int] | None = None) -> str:
     """Run ``start(streams: dict[name, DataFrame], root: str) -> [StreamingQuery]``
-    once per piece; returns the run folder holding checkpoints and tables."""
+    once per piece, in event-time order or in ``order`` (which may leave pieces
+    out); returns the run folder holding feeds, checkpoints and tables."""
     root = run_dir(spark, f"replay-{tag}")
     spark = replay_session(spark, shuffle_partitions)
     frames = {"orders": fx.orders_raw(spark, sf_dir), "views": fx.product_views(spark, sf_dir)}
     frames = {k: v for k, v in frames.items() if k in feeds}
     lo, hi = time_bounds(list(frames.values()))
-    step = (hi - lo) / pieces if lo is not None else None
-    for i in range(pieces):
-        if lo is not None:
-            a = lo + step * i
-            b = hi if i == pieces - 1 else lo + step * (i + 1)
-            stage_piece(frames, root, i, a, b, i == pieces - 1, ENCODERS)
+    if lo is not None:
+        for k, v in frames.items():
+            stage(v, ENCODERS[k], f"{root}/staged/{k}", pieces, lo, hi)
+    for k in frames:
+        _, fs = _fs(spark, root)
+        fs.mkdirs(_fs(spark, f"{root}/feeds/{k}")[0])
+    for i in order if order is not None else range(pieces):
+        for k in frames:
+            publish(spark, f"{root}/staged/{k}/piece={i}", f"{root}/feeds/{k}/piece={i}")
         streams = {k: read_json_lines_stream(spark, f"{root}/feeds/{k}")
                    .select("value") for k in frames}
         for q in start(streams, root):
@@ -78,3 +93,8 @@ def replay(spark: SparkSession, sf_dir: str, start: Callable[..., list], tag: st
             if q.exception():
                 raise RuntimeError(str(q.exception()))
     return root
+
+
+def replayed_orders(spark: SparkSession, root: str) -> DataFrame:
+    """The valid orders of a replay's feed, as a batch."""
+    return split_valid(decode_orders(read_json_lines(spark, f"{root}/feeds/orders")))[0]

@@ -1,21 +1,23 @@
 """Streaming sinks built on ``foreachBatch`` (SNK1-SNK5, SNK7).
 
-No table format with MERGE is assumed.  Every micro-batch is written as its
-own Parquet directory ``<table>/batch_id=<n>`` with overwrite, so a retried
-batch (after a failure, or a restart that replays the last batch) replaces
-its own output instead of duplicating it.  Readers derive the table:
-
-* append tables  -> all batch directories (rows unique by construction);
-* upsert tables  -> latest batch per key (``max_by`` over ``batch_id``);
-* delta tables   -> sum of per-batch deltas per key.
-
-``compact`` rewrites the current state as one snapshot batch so readers stay
-cheap as batches accumulate.
+Every sink writes a versioned table (``versions.Table``): a batch is a folder of
+its own, published with the next version.  A retried batch is skipped, a fresh
+checkpoint over an old table starts a run whose rows come after the old ones,
+folders fold level by level, and what no version lists is deleted in the end.
+
+* :class:`OrdersSink`   one row per order id, the earliest copy (``ingest``);
+* :class:`AppendSink`   all rows, deduped inside a batch;
+* :class:`UpsertSink`   the newest row per key;
+* :class:`DeltaSink`    sums of per-batch deltas per key;
+* :class:`ReplaceSink`  the newest batch.
+
+Readers (``read_*``) take the newest version; :func:`create_tables` describes the
+same tables to SQL, as views that :func:`refresh_tables` moves to a new version in
+one statement.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -23,14 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry import schemas
+from basketry.streaming import versions
+from basketry.streaming.ingest import OrdersTable
+from basketry.streaming.versions import DeltaTable, Table
 
 
-def _batch_path(path: str, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/batch_id={int(batch_id)}"
-
-
-def write_batch(df: DataFrame, path: str, batch_id: int, skip_empty: bool = True,
-                partition_by: Sequence[str] | None = None) -> int | None:
+def write_batch(table: Table, df: DataFrame, batch_id: int, skip_empty: bool = True, info: dict | None = None) -> int | None:
     """Idempotent write of one micro-batch (SNK1/SNK5).
 
     The batch is persisted once so the emptiness check and the write do not
@@ -40,183 +40,157 @@ def write_batch(df: DataFrame, path: str, batch_id: int, skip_empty: bool = True
     try:
         if skip_empty and df.isEmpty():
             return None
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(_batch_path(path, batch_id))
+        table.add(df, batch_id, info=info)
         return batch_id
     finally:
         df.unpersist()
 
 
 class AppendSink:
-    """SNK1: append-only table with per-batch dedupe on ``keys``."""
+    """SNK1: append-only table; of rows that share ``keys`` inside a batch the
+    first in the order of ``by`` (then of all columns) is kept."""
 
-    def __init__(self, path: str, keys: Sequence[str] | None = None):
-        self.path, self.keys = path, list(keys or [])
+    def __init__(self, path: str, keys: Sequence[str] | None = None, by: str | None = None, **options):
+        self.table, self.keys, self.by = Table(path, "append", **options), list(keys or []), by
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         if self.keys:
-            df = df.dropDuplicates(self.keys)
-        write_batch(df, self.path, batch_id)
+            rest = [c for c in df.columns if c not in self.keys]
+            order = [c for c in rest if c == self.by] + [c for c in rest if c != self.by]
+            first = df.groupBy(*self.keys).agg(F.min(F.struct(*order)).alias("_r"))
+            df = first.select(*[F.col(c) if c in self.keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
+        write_batch(self.table, df, batch_id)
 
 
-class UpsertSink:
-    """SNK2: keyed upsert of update-mode output (T5).
+class OrdersSink:
+    """Q01: the raw orders, duplicates settled while they arrive."""
 
-    With ``compact_every=n`` every n-th batch also folds the table into a
-    snapshot, so readers prune all older batch directories.
-    """
+    def __init__(self, path: str, key: str = "order_id", **options):
+        self.table = OrdersTable(path, key, **options)
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        self.table.ingest(df, batch_id)
+
+
+class UpsertSink:
+    """SNK2: keyed upsert of update-mode output (T5)."""
 
-    def __init__(self, path: str, keys: Sequence[str], compact_every: int | None = None):
-        self.path, self.keys, self.compact_every = path, list(keys), compact_every
+    def __init__(self, path: str, keys: Sequence[str], **options):
+        self.table = Table(path, "latest", keys, **options)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        write_batch(df, self.path, batch_id)
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            compact(df.sparkSession, self.path, self.keys, batch_id)
+        write_batch(self.table, df, batch_id)
 
 
 class DeltaSink:
-    """Per-batch additive deltas (ST9 pair counts)."""
+    """Per-batch additive deltas (ST9 pair counts), summed level by level."""
 
-    def __init__(self, path: str, transform=None):
-        self.path, self.transform = path, transform
+    def __init__(self, path: str, keys: Sequence[str], sums: Sequence[str], transform=None, **options):
+        self.table, self.transform = DeltaTable(path, keys, sums, **options), transform
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         # the transform reads its input several times: hold the batch once
         df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             out = self.transform(df) if self.transform else df
-            write_batch(out, self.path, batch_id)
+            info = None
+            if "window" in df.columns:
+                end = df.agg(F.unix_micros(F.max("window.end"))).first()[0]
+                if end is None:
+                    return
+                # windows without a pair close, too: their batch may be empty
+                info = {"end": end}
+            write_batch(self.table, out.select(*self.table.keys, *self.table.sums), batch_id, info is None, info)
         finally:
             df.unpersist()
 
 
 class ReplaceSink:
-    """SNK3: every batch replaces the whole table (complete-mode output).
+    """SNK3: every batch replaces the whole table (complete-mode output); a crash
+    in the middle of a write leaves the version before it in place."""
 
-    Each batch is a directory of its own and the newest one is the table
-    (:func:`read_replaced`), so a crash in the middle of a write leaves the
-    batch before it in place."""
-
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, **options):
+        self.table = Table(path, "replace", **options)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        write_batch(df, self.path, batch_id, skip_empty=False)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a committed Parquet output is there: a folder with data files or
-    batch folders.  Asked of the file system itself, so that a damaged table
-    raises when it is read instead of passing for an empty one."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p)) and any(not f.getPath().getName().startswith(("_", "."))
-                                      for f in fs.listStatus(p))
+        write_batch(self.table, df, batch_id, skip_empty=False)
 
 
-def _read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    if not _exists(spark, path):
-        return None if schema is None else spark.createDataFrame([], schema)
-    return spark.read.parquet(path)
-
+# -------------------------------------------------------------------- readers
 
 def read_replaced(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The newest batch of a replaced table."""
-    df = _read(spark, path, schema)
-    if df is None or "batch_id" not in df.columns:
-        return df
-    last = df.select(F.max("batch_id")).first()[0]
-    return df.where(F.col("batch_id") == F.lit(last)).drop("batch_id")
+    return Table(path, "replace").read(spark, schema=schema)
 
 
 def read_orders(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The raw orders table with one row per order id, the earliest winning:
-    the ingest appends every row, late ones too, and duplicates are settled here."""
-    from basketry.operators.kpis import dedupe_orders
-    df = read_appended(spark, path, schema)
-    return df if df is None else dedupe_orders(df)
+    """The raw orders table: one row per order id, the earliest copy."""
+    return OrdersTable(path).read(spark, schema=schema)
 
 
 def read_appended(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    df = _read(spark, path, schema)
-    if df is None or "batch_id" not in df.columns:
-        return df
-    return df.drop("batch_id")
+    return Table(path, "append").read(spark, schema=schema)
 
 
-def _snapshot(spark: SparkSession, path: str) -> tuple[int | None, str | None]:
-    """(id, folder) of the newest published snapshot (one row of a tiny hidden table)."""
-    published = f"{path.rstrip('/')}/_snapshots"
-    if not _exists(spark, published):
-        return None, None
-    r = spark.read.parquet(published).agg(F.max(F.struct("snapshot_id", "folder")).alias("s")).first()
-    return (r.s.snapshot_id, r.s.folder) if r.s is not None else (None, None)
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str], schema=None) -> DataFrame | None:
+    """Latest row per key (the upserted table)."""
+    return Table(path, "latest", keys).read(spark, schema=schema)
 
 
-def _snapshot_id(spark: SparkSession, path: str) -> int | None:
-    return _snapshot(spark, path)[0]
+def read_summed(spark: SparkSession, path: str, keys: Sequence[str],
+                sums: Sequence[str], schema=None) -> DataFrame | None:
+    """Sums per key over all batches, and over the flushed open windows if any."""
+    return DeltaTable(path, keys, sums).read(spark, schema=schema)
 
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str], schema=None) -> DataFrame | None:
-    """Latest row per key across batches (the upserted table).
-
-    With a compaction snapshot ``s``: the snapshot rows (as batch ``s``) plus
-    the batch directories after ``s`` -- older directories are pruned by
-    partition filter and never read."""
-    df = _read(spark, path, schema)
-    if df is None or "batch_id" not in df.columns:
-        return df
-    snap, folder = _snapshot(spark, path)
-    if snap is not None:
-        base = spark.read.parquet(f"{path.rstrip('/')}/_snapshot_data/{folder}") \
-            .withColumn("batch_id", F.lit(snap).cast(df.schema["batch_id"].dataType))
-        df = base.unionByName(df.where(F.col("batch_id") > F.lit(snap)))
-    vals = [c for c in df.columns if c not in keys and c != "batch_id"]
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"))
-    cols = [c for c in df.columns if c != "batch_id"]          # table column order
-    return latest.select(*[F.col(c) if c in keys else F.col(f"_v.{c}").alias(c) for c in cols])
+# ---------------------------------------------------------------------- tables
 
+def sink_table(name: str, path: str) -> Table:
+    """The table that the job of this output writes."""
+    keys = schemas.TABLES[name][1]
+    if name == "orders_raw":
+        return OrdersTable(path)
+    if name == "product_recommendations":
+        return DeltaTable(path, keys, ["co_purchase_count"])
+    return Table(path, "append" if name in schemas.APPENDED else "latest", keys)
 
-def read_summed(spark: SparkSession, path: str, keys: Sequence[str],
-                sums: Sequence[str], schema=None) -> DataFrame | None:
-    df = _read(spark, path, schema)
-    if df is None:
-        return None
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-
-
-def compact(spark: SparkSession, path: str, keys: Sequence[str], snapshot_id: int) -> None:
-    """Fold the table as of now into a snapshot taken at ``snapshot_id`` (the
-    newest batch already written).  Readers then skip every batch directory
-    up to it.
-
-    A snapshot's folder has a name of its own that is never used again, so a
-    snapshot is never written over, least of all by a fold that reads it; the
-    folder is published last, so a fold that dies midway is ignored, and a
-    retried batch whose snapshot is published already does nothing."""
-    published = _snapshot_id(spark, path)
-    if published is not None and published >= snapshot_id:
-        return
-    state = read_latest(spark, path, keys)
-    if state is None:
-        return
-    folder = f"snapshot_id={int(snapshot_id)}-{uuid.uuid4().hex[:12]}"
-    state.write.parquet(f"{path.rstrip('/')}/_snapshot_data/{folder}")
-    spark.createDataFrame([(int(snapshot_id), folder)], "snapshot_id long, folder string") \
-        .write.mode("append").parquet(f"{path.rstrip('/')}/_snapshots")
+
+def _view_sql(spark: SparkSession, name: str, path: str) -> str:
+    schema = schemas.TABLES[name][0]
+    table = sink_table(name, path)
+    v = versions.version(spark, table.path)
+    written = versions.schema_of(v) or schema
+    stored = type(schema)([f for f in schema.fields if f.name in written.names])
+    body = table.select_sql(v, stored)
+    if name == "product_recommendations":
+        # the score is the count; the table's last change is its newest version's
+        body = ("SELECT product_id, recommended_product_id, CAST(co_purchase_count AS DOUBLE) AS score, "
+                f"co_purchase_count, CAST({_changed(spark, table, v)} AS TIMESTAMP) AS last_updated FROM ({body})")
+    return body
+
+
+def _changed(spark: SparkSession, table: Table, v: versions.Version) -> str:
+    if not v.number:
+        return "NULL"
+    p, fs = versions._fs(spark, f"{table.path}/versions/{v.number}.json")
+    return f"timestamp_millis({fs.getFileStatus(p).getModificationTime()}L)"
 
 
 def create_tables(spark: SparkSession, location: str, names: Sequence[str] | None = None) -> None:
-    """SNK7: ``CREATE TABLE IF NOT EXISTS`` for the output tables, from the
-    one schema registry, as Parquet tables under ``location``."""
-    for name, (schema, _keys) in schemas.TABLES.items():
-        if names and name not in names:
-            continue
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schemas.ddl(schema)}) "
-                  f"USING parquet LOCATION '{location.rstrip('/')}/{name}'")
+    """SNK7: the output tables by name, from the one schema registry, as views of
+    the newest versions under ``location``; empty where a sink has written nothing."""
+    for name in names or schemas.TABLES:
+        body = _view_sql(spark, name, f"{location.rstrip('/')}/{name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
+
+
+#: A view is replaced by one statement, so a reader sees one version or the next.
+refresh_tables = create_tables
+
+
+def drop_tables(spark: SparkSession, names: Sequence[str] | None = None) -> None:
+    for name in names or schemas.TABLES:
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
 
 
 class JdbcUpsertSink:

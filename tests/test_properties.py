@@ -70,6 +70,15 @@ def test_basket_pairs_brute_force(spark, rows, heavy):
     assert got == want
 
 
+@SETTINGS
+@given(lines, st.integers(1, 12), st.integers(1, 4), st.integers(1, 4))
+def test_top_pairs_equal_the_first_of_all_pairs(spark, rows, k, block, most):
+    o = _orders(spark, rows + rows[:7])      # repeats make counts above 1 and pairs of one item
+    want = [tuple(r) for r in baskets.top_pairs(baskets.basket_pairs(o), k).collect()]
+    got = [tuple(r) for r in baskets.top_basket_pairs(o, k, block_items=block, max_blocks=most).collect()]
+    assert got == want
+
+
 @SETTINGS
 @given(lines)
 def test_window_properties(spark, rows):
