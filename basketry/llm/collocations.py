@@ -59,7 +59,7 @@ MIN_COUNT = 10
 TOP = 2000
 #: Text bytes of a bucket, about, and tokens of a batch.
 BUCKET_BYTES = 6_000_000
-BATCH_TOKENS = 1_000_000
+BATCH_TOKENS = 500_000
 #: Buckets that one batch is dealt to.
 FANOUT = 1024
 #: Every so many slices are looked at for frequent words; so many entries a task.
