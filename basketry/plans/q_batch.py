@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from basketry.functions.exprs import lookback
 from basketry.operators import baskets, kpis, segments, stats, windows
 from basketry.plans.registry import register
@@ -16,12 +18,24 @@ def _since(df, interval):
     return df if interval is None else df.where(lookback("timestamp", interval, inclusive=True))
 
 
+#: Where the 5-minute tables come from: rebuilt from raw rows, unless
+#: ``q_stored`` reads what the streaming sinks have stored.
+WINDOW_TABLES = ContextVar("WINDOW_TABLES", default=None)
+
+
+def _windows(kind, raw, compute, spark, sf, width):
+    stored = WINDOW_TABLES.get()
+    return compute(raw) if stored is None or width != "5 minutes" else stored(kind, spark, sf, raw, compute)
+
+
 def revenue5(spark, sf, since=None):
-    return windows.revenue_by_currency(_since(fx.orders_raw(spark, sf), since), "5 minutes")
+    return _windows("revenue", _since(fx.orders_raw(spark, sf), since),
+                    lambda o: windows.revenue_by_currency(o, "5 minutes"), spark, sf, "5 minutes")
 
 
 def funnel(spark, sf, width="5 minutes", since=None):
-    return windows.conversion_funnel_from_events(_since(fx.funnel_events(spark, sf), since), width)
+    return _windows("funnel", _since(fx.funnel_events(spark, sf), since),
+                    lambda e: windows.conversion_funnel_from_events(e, width), spark, sf, width)
 
 
 REV = with_("orders_raw", revenue_table("revenue"))

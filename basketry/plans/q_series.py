@@ -63,3 +63,13 @@ SELECT metric, arg_max(value, time) AS last,
 FROM ser GROUP BY metric""")(
     lambda s, d: series.reducers(kpis.per_minute(fx.orders_raw(s, d), F.count(F.lit(1)), "value",
                                                  None, metric="orders_processed")))
+
+# ---- W2: counter rate with resets over the real values -------------------------------
+
+register("w2_value_counter_rate_by_type", """WITH d AS (
+  SELECT ts, event_type, value, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS before
+  FROM events WHERE value IS NOT NULL)
+SELECT date_trunc('minute', ts) AS time, event_type,
+       ROUND(SUM(CASE WHEN value < before THEN value ELSE value - before END) / 60.0, 6) AS rate
+FROM d WHERE before IS NOT NULL GROUP BY 1, 2""")(
+    lambda s, d: series.segment_rate(_events(s, d), "event_type", tie="event_id"))

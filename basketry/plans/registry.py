@@ -60,6 +60,7 @@ def load_all() -> dict[str, Entry]:
         q_quality,
         q_series,
         q_sparksql,
+        q_stored,
         q_streaming,
         q_windows,
     )

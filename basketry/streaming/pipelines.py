@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry import config, schemas
 from basketry.operators import baskets, windows
 from basketry.sources.events import decode_orders, decode_views, split_valid
-from basketry.streaming.sinks import AppendSink, DeltaSink, OrdersSink, ReplaceSink, UpsertSink
+from basketry.streaming.sinks import AppendSink, DeltaSink, JdbcUpsertSink, OrdersSink, ReplaceSink, UpsertSink
 from basketry.streaming.versions import DeltaTable, Version
 
 
@@ -61,8 +61,8 @@ def views_stream(raw: DataFrame) -> DataFrame:
 
 def start_orders_ingest(raw_orders: DataFrame, table_path: str, checkpoint: str,
                         trigger: Trigger = Trigger(), watermark: str = config.WATERMARK,
-                        quarantine_path: str | None = None,
-                        drop_late: bool = False) -> list[StreamingQuery]:
+                        quarantine_path: str | None = None, drop_late: bool = False,
+                        sink=None, name: str | None = None) -> list[StreamingQuery]:
     """Q01: every decoded order is appended, however late (SNK1, T6).
 
     The query is stateless: retries are idempotent, and the sink settles
@@ -78,8 +78,8 @@ def start_orders_ingest(raw_orders: DataFrame, table_path: str, checkpoint: str,
     if drop_late:
         valid = (valid.withWatermark("timestamp", watermark)
                       .dropDuplicatesWithinWatermark(["order_id"]))
-    qs = [_start(valid, OrdersSink(table_path, schemas.TABLES["orders_raw"][1][0]),
-                 f"{checkpoint}/orders", "append", trigger)]
+    qs = [_start(valid, sink or OrdersSink(table_path, schemas.TABLES["orders_raw"][1][0]),
+                 f"{checkpoint}/orders", "append", trigger, name)]
     if quarantine_path:
         qs.append(_start(bad, AppendSink(quarantine_path), f"{checkpoint}/quarantine",
                          "append", trigger))
@@ -95,7 +95,8 @@ def start_views_quarantine(raw_views: DataFrame, quarantine_path: str, checkpoin
 
 def start_revenue(raw_orders: DataFrame, table_path: str, checkpoint: str,
                   trigger: Trigger = Trigger(), window: str = config.REVENUE_WINDOW,
-                  watermark: str = config.WATERMARK, mode: str = "update") -> StreamingQuery:
+                  watermark: str = config.WATERMARK, mode: str = "update",
+                  sink=None, name: str | None = None) -> StreamingQuery:
     """Q02: update-mode window aggregate, keyed upsert on (window_start, currency).
 
     ``mode="complete"`` (ST8) re-emits the whole result each trigger into a
@@ -107,29 +108,29 @@ def start_revenue(raw_orders: DataFrame, table_path: str, checkpoint: str,
         return _start(agg, ReplaceSink(table_path), f"{checkpoint}/revenue_complete",
                       "complete", trigger)
     keys = schemas.TABLES["revenue_by_currency_5min"][1]
-    return _start(agg, UpsertSink(table_path, keys), f"{checkpoint}/revenue",
-                  "update", trigger)
+    return _start(agg, sink or UpsertSink(table_path, keys), f"{checkpoint}/revenue",
+                  "update", trigger, name)
 
 
 def start_funnel(raw_views: DataFrame, raw_orders: DataFrame, table_path: str, checkpoint: str,
                  trigger: Trigger = Trigger(), window: str = config.FUNNEL_WINDOW,
-                 watermark: str = config.WATERMARK) -> StreamingQuery:
+                 watermark: str = config.WATERMARK, sink=None, name: str | None = None) -> StreamingQuery:
     """Q03: union of both feeds, one watermark after the union (T7, ST2)."""
     ev = windows.funnel_events(views_stream(raw_views), orders_stream(raw_orders)[0])
     agg = windows.conversion_funnel_from_events(ev.withWatermark("timestamp", watermark), window)
     keys = schemas.TABLES["conversion_funnel_5min"][1]
-    return _start(agg, UpsertSink(table_path, keys), f"{checkpoint}/funnel",
-                  "update", trigger)
+    return _start(agg, sink or UpsertSink(table_path, keys), f"{checkpoint}/funnel",
+                  "update", trigger, name)
 
 
 def start_sessions(raw_views: DataFrame, raw_orders: DataFrame, table_path: str, checkpoint: str,
                    trigger: Trigger = Trigger(), window: str = config.SESSION_WINDOW,
-                   watermark: str = config.WATERMARK) -> StreamingQuery:
+                   watermark: str = config.WATERMARK, sink=None, name: str | None = None) -> StreamingQuery:
     """Q05: append mode -- each window is written once, after it closes (ST6)."""
     ev = windows.funnel_events(views_stream(raw_views), orders_stream(raw_orders)[0])
     agg = windows.user_sessions_from_events(ev.withWatermark("timestamp", watermark), window)
-    return _start(agg, AppendSink(table_path, schemas.TABLES["user_sessions_5min"][1], "window_end"),
-                  f"{checkpoint}/sessions", "append", trigger)
+    sink = sink or AppendSink(table_path, schemas.TABLES["user_sessions_5min"][1], "window_end")
+    return _start(agg, sink, f"{checkpoint}/sessions", "append", trigger, name)
 
 
 def pair_deltas(closed: DataFrame) -> DataFrame:
@@ -141,7 +142,7 @@ def pair_deltas(closed: DataFrame) -> DataFrame:
 def start_recommendations(raw_orders: DataFrame, table_path: str, checkpoint: str,
                           trigger: Trigger = Trigger(config.RECOMMENDATION_TRIGGER),
                           window: str = config.BASKET_WINDOW, slide: str = config.BASKET_SLIDE,
-                          watermark: str = config.WATERMARK) -> StreamingQuery:
+                          watermark: str = config.WATERMARK, name: str | None = None) -> StreamingQuery:
     """Q04 / ST9, rebuilt so it can run.
 
     Stage 1 (stateful, append): distinct (sliding window, user, product).  A
@@ -160,7 +161,7 @@ def start_recommendations(raw_orders: DataFrame, table_path: str, checkpoint: st
                             "user_id", "product_id")
                    .agg(F.count(F.lit(1)).alias("n")))
     sink = DeltaSink(table_path, schemas.TABLES["product_recommendations"][1], ["co_purchase_count"], pair_deltas)
-    return _start(closed, sink, f"{checkpoint}/recommendations", "append", trigger)
+    return _start(closed, sink, f"{checkpoint}/recommendations", "append", trigger, name)
 
 
 def flush_recommendations(orders: DataFrame, table_path: str, window: str = config.BASKET_WINDOW,
@@ -194,30 +195,47 @@ OFFSETS = {
 }
 
 
-def start_all(raw_orders, raw_views, root: str,
-              trigger: Trigger = Trigger(), with_disabled: bool = True) -> list[StreamingQuery]:
+def start_all(raw_orders, raw_views, root: str, trigger: Trigger = Trigger(), with_disabled: bool = True,
+              names: str | None = None, jdbc: dict | None = None, late: bool = False) -> list[StreamingQuery]:
     """ST12: the reference's job set in one session -- ingestion, revenue and
     funnel, plus (rebuilt) recommendations and sessions -- each with its own
     checkpoint and table under ``root``.
 
     ``raw_orders`` and ``raw_views`` are streaming DataFrames, or functions
     ``job name -> streaming DataFrame`` when the jobs' sources differ (their
-    starting offsets, :data:`OFFSETS`)."""
+    starting offsets, :data:`OFFSETS`).
+
+    ``names`` names the queries ``<names>-<job>`` (for ``health.HealthListener``);
+    ``jdbc`` (``url``, ``properties``) upserts orders, revenue, funnel and sessions
+    into the database's tables of these names instead; ``late`` also keeps late rows
+    for ``late.repair_revenue`` and ``late.repair_funnel``."""
     feed = lambda raw, job: raw(job) if callable(raw) else raw
-    qs = start_orders_ingest(feed(raw_orders, "orders"), f"{root}/tables/orders_raw", f"{root}/checkpoints",
-                             trigger, quarantine_path=f"{root}/tables/orders_quarantine")
-    qs.append(start_views_quarantine(feed(raw_views, "quarantine"), f"{root}/tables/views_quarantine",
-                                     f"{root}/checkpoints", trigger))
-    qs.append(start_revenue(feed(raw_orders, "revenue"), f"{root}/tables/revenue_by_currency_5min",
-                            f"{root}/checkpoints", trigger))
-    qs.append(start_funnel(feed(raw_views, "funnel"), feed(raw_orders, "funnel"),
-                           f"{root}/tables/conversion_funnel_5min", f"{root}/checkpoints", trigger))
+    tables, checkpoints = f"{root}/tables", f"{root}/checkpoints"
+
+    def of(job: str, table: str) -> dict:
+        out = {"name": f"{names}-{job}"} if names else {}
+        if jdbc:
+            out["sink"] = JdbcUpsertSink(jdbc["url"], table, schemas.TABLES[table][1], jdbc.get("properties"))
+        return out
+
+    qs = start_orders_ingest(feed(raw_orders, "orders"), f"{tables}/orders_raw", checkpoints, trigger,
+                             quarantine_path=f"{tables}/orders_quarantine", **of("orders", "orders_raw"))
+    qs.append(start_views_quarantine(feed(raw_views, "quarantine"), f"{tables}/views_quarantine", checkpoints, trigger))
+    qs.append(start_revenue(feed(raw_orders, "revenue"), f"{tables}/revenue_by_currency_5min", checkpoints, trigger,
+                            **of("revenue", "revenue_by_currency_5min")))
+    qs.append(start_funnel(feed(raw_views, "funnel"), feed(raw_orders, "funnel"), f"{tables}/conversion_funnel_5min",
+                           checkpoints, trigger, **of("funnel", "conversion_funnel_5min")))
     if with_disabled:
         rec_trigger = trigger if trigger.available_now else Trigger(config.RECOMMENDATION_TRIGGER)
-        qs.append(start_recommendations(feed(raw_orders, "recommendations"), f"{root}/tables/product_recommendations",
-                                        f"{root}/checkpoints", rec_trigger))
-        qs.append(start_sessions(feed(raw_views, "sessions"), feed(raw_orders, "sessions"),
-                                 f"{root}/tables/user_sessions_5min", f"{root}/checkpoints", trigger))
+        qs.append(start_recommendations(feed(raw_orders, "recommendations"), f"{tables}/product_recommendations",
+                                        checkpoints, rec_trigger, name=f"{names}-recommendations" if names else None))
+        qs.append(start_sessions(feed(raw_views, "sessions"), feed(raw_orders, "sessions"), f"{tables}/user_sessions_5min",
+                                 checkpoints, trigger, **of("sessions", "user_sessions_5min")))
+    if late:
+        from basketry.streaming.late import start_late_events, start_late_orders
+        qs.append(start_late_orders(feed(raw_orders, "revenue"), f"{tables}/late_orders", checkpoints, trigger))
+        qs.append(start_late_events(feed(raw_views, "funnel"), feed(raw_orders, "funnel"), f"{tables}/late_events",
+                                    checkpoints, trigger))
     return qs
 
 

@@ -189,7 +189,7 @@ class Table:
     # ---- writing
 
     def add(self, df: DataFrame, batch: int, run: str | None = None, info: dict | None = None,
-            **extra: list[str]) -> Version:
+            notes: dict | None = None, **extra: list[str]) -> Version:
         """One batch, once: a batch that its run has published is skipped.
 
         With ``restart="replace"`` the first batch of a new run empties the table
@@ -213,7 +213,8 @@ class Table:
             gone |= dict.fromkeys(flushed, time.time())
             return v.next(schema=df.schema.json(), runs=v.runs | {run: batch}, gone=v.gone | gone,
                           folders=[*kept, Folder(name, v.number + 1, 0, run, info or {})],
-                          extra={k: x for k, x in (v.extra | more).items() if k != "open"})
+                          extra={k: x for k, x in (v.extra | more).items() if k != "open"},
+                          notes=v.notes | (notes or {}))
 
         out = change(spark, self.path, listed)
         return self.tidy(spark, out)
