@@ -8,8 +8,10 @@ whatever the batch size is.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
+import inspect
 import os
 import tempfile
 import time
@@ -164,6 +166,39 @@ def sha_hex(b: bytes) -> str:
     return hashlib.sha256(b).hexdigest()
 
 
+# ------------------------------------------------------------ worker memory
+
+def give_back() -> None:
+    """Return a Python worker's free memory to the system: workers are reused, and
+    what one task has freed would stay with the process for the next stage."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """``run`` for mapInArrow, giving memory back when its task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
+def lean_group(f: Callable) -> Callable:
+    """``f`` for applyInArrow (of one frame or two), giving memory back after each group."""
+    def call(*args):
+        try:
+            return f(*args)
+        finally:
+            give_back()
+    # Spark tells the kinds of functions apart by their parameters
+    return {1: lambda t: call(t), 2: lambda key, t: call(key, t), 3: lambda key, a, b: call(key, a, b)}[len(inspect.signature(f).parameters)]
+
+
 # --------------------------------------------------------------- Spark helpers
 
 def map_text(df: DataFrame, text: str, keep: list[str], fields: list[T.StructField],
@@ -189,7 +224,7 @@ def map_text(df: DataFrame, text: str, keep: list[str], fields: list[T.StructFie
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), *new], names)
 
     src = df.select(*(F.col(f"`{c}`") for c in cols), F.col(f"`{text}`").cast("string").alias(t))
-    return src.mapInArrow(run, T.StructType(out))
+    return src.mapInArrow(lean(run), T.StructType(out))
 
 
 def release(spark: SparkSession) -> None:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import MIX, U64, crc_mod, map_text, mix, slices, table, text_buffer
+from basketry.llm.common import MIX, U64, crc_mod, lean, map_text, mix, slices, table, text_buffer
 
 ORDER = 5
 #: Expected characters of training text per language: the bound of the fit.
@@ -270,12 +270,12 @@ def train(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", text: st
     cut = reduce(lambda c, r: c.when(F.col("l") == r.l, F.lit(int(max(r.low, min(1.0, train_chars / max(r.chars, 1)) * (top - 1024))))),
                  stats[1:], F.when(F.col("l") == stats[0].l, F.lit(int(max(stats[0].low, min(1.0, train_chars / max(stats[0].chars, 1)) * (top - 1024))))))
     sample = d.where(F.col("h") <= cut).select("l", "t", (F.col("h") % 5 == 0).alias("c"))
-    grams = (sample.where("NOT c").select("l", "t").mapInArrow(_count, "lang string, gram binary, n long")
+    grams = (sample.where("NOT c").select("l", "t").mapInArrow(lean(_count), "lang string, gram binary, n long")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     # a language whose rows were all held back trains on them, and does not calibrate
     lost = sorted({r.l for r in stats} - set(grams.column("lang").unique().to_pylist()))
     if lost:
-        more = (sample.where(F.col("l").isin(lost)).select("l", "t").mapInArrow(_count, "lang string, gram binary, n long")
+        more = (sample.where(F.col("l").isin(lost)).select("l", "t").mapInArrow(lean(_count), "lang string, gram binary, n long")
                 .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
         grams = pa.concat_tables([grams, more])
     grams = grams.combine_chunks()
@@ -303,7 +303,7 @@ def train(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", text: st
                 yield pa.RecordBatch.from_arrays([pa.array([m.langs.index(mine[i]) for i in on], pa.int32()), pa.array(k[on], pa.int64()),
                                                   pa.array([ce[i].tolist() for i in on], pa.list_(pa.float64()))], ["truth", "n", "ce"])
 
-    rows = held.select("l", "t").mapInArrow(entropies, "truth int, n long, ce array<double>").collect()
+    rows = held.select("l", "t").mapInArrow(lean(entropies), "truth int, n long, ce array<double>").collect()
     if rows:
         model.calibrate(np.array([r.ce for r in rows]), np.array([r.n for r in rows], float), np.array([r.truth for r in rows]))
     bc.unpersist()

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import MIX, U64, mix as mix_bits, table
+from basketry.llm.common import MIX, U64, lean, mix as mix_bits, table
 from basketry.session import checkpoint_root
 
 BLOCK = 64
@@ -202,14 +202,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     numbers = spark.createDataFrame([(r.source, k) for k, r in enumerate(stats)], f"source2 {docs.schema[source].dataType.simpleString()}, s int")
     rows = rows.join(numbers, F.col("source").eqNullSafe(F.col("source2"))).drop("source2").checkpoint()
     shards = -(-sum(plan.slots) // shard_slots)
-    counts = spark.range(shards).mapInArrow(_counts(plan, shard_slots), "shard long, s int, n long")
+    counts = spark.range(shards).mapInArrow(lean(_counts(plan, shard_slots)), "shard long, s int, n long")
     drawn = [0] * len(stats)
     for r in counts.groupBy("s").agg(F.sum("n").alias("n")).collect():
         drawn[r.s] = r.n
     before = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     slots = (counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
              .groupBy("shard").agg(F.collect_list(F.struct("s", "n", "start")).alias("rows"))
-             .mapInArrow(_slots(plan, drawn), "shard long, slot long, s int, block long, take long"))
+             .mapInArrow(lean(_slots(plan, drawn)), "shard long, slot long, s int, block long, take long"))
     pieces = (rows.where("size > 0")
               .select("s", "first", "doc_id", "size", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block))).alias("block")))
     lo = F.greatest(F.col("first"), F.col("block") * block)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import MIX, U64, free_name, grams, mix, release, table, text_slices, words
+from basketry.llm.common import MIX, U64, free_name, grams, lean, mix, release, table, text_slices, words
 from basketry.llm.graph import block_pairs, components
 from basketry.session import checkpoint_root
 
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     bands, rows = banding(threshold, recall)
     src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     src = src.withColumn("row", F.xxhash64("t"))
-    one = src.select("doc", "t", "row").mapInArrow(_signatures(bands, rows, k), "doc long, row long, n long, c1 long, c2 long, sig binary").checkpoint()
+    one = src.select("doc", "t", "row").mapInArrow(lean(_signatures(bands, rows, k)), "doc long, row long, n long, c1 long, c2 long, sig binary").checkpoint()
     ids = one.select("doc", "row", "n", "c1", "c2").distinct()
     worded = one.where("n > 0").groupBy("c1", "c2", "n").agg(F.first("sig").alias("sig"))
     sizes = ids.where("n > 0").groupBy("c1", "c2").agg(F.min(F.struct("doc", "row")).alias("low"), F.count(F.lit(1)).alias("size"))
@@ -258,7 +258,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     info = classes.select("doc", "sig", "n")
     side = lambda c, x, m: info.select(F.col("doc").alias(c), F.col("sig").alias(x), F.col("n").alias(m))
     edges = (stars.join(side("a", "x", "n"), "a").join(side("b", "y", "m"), "b").select("a", "b", "x", "y", "n", "m")
-             .mapInArrow(_agreeing(least, threshold), "a long, b long")).checkpoint()
+             .mapInArrow(lean(_agreeing(least, threshold)), "a long, b long")).checkpoint()
     found = components(edges)
     # buckets with members of several components
     member = (slots.select("key", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left")
@@ -267,18 +267,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     member = member.join(mixed, "key").join(info, "doc")
     units = (block_pairs(member, "key", "doc", block).groupBy("key", "lo", "hi")
              .agg(F.collect_list(F.struct("doc", "component", "n", "mine", "sig")).alias("rows")).select("lo", "hi", "rows"))
-    more = units.mapInArrow(_cross(least, threshold, width), "a long, b long")
+    more = units.mapInArrow(lean(_cross(least, threshold, width)), "a long, b long")
     found = components(edges.union(more)).checkpoint()
     release(spark)
 
     # full sets of the members of candidate components, from one row of each
     reps = classes.join(found.select(F.col("node").alias("doc")), "doc").select(F.col("doc").alias("k"), F.col("low.doc").alias("d"), F.col("low.row").alias("r"))
     texts = src.join(reps.hint("shuffle_hash"), (F.col("doc") == F.col("d")) & (F.col("row") == F.col("r")))
-    sets = texts.select("k", "t").mapInArrow(_sets(k), "doc long, shingles binary").dropDuplicates(["doc"])
+    sets = texts.select("k", "t").mapInArrow(lean(_sets(k)), "doc long, shingles binary").dropDuplicates(["doc"])
     member = found.withColumnRenamed("node", "doc").join(sets, "doc").join(classes.select("doc", "size"), "doc").checkpoint()
     units = (block_pairs(member, "component", "doc", block).groupBy("component", "lo", "hi")
              .agg(F.collect_list(F.struct("doc", "mine", "size", "shingles")).alias("rows")).select("lo", "hi", "rows"))
-    checked = units.mapInArrow(_verified(threshold), "a long, b long, links long").checkpoint()
+    checked = units.mapInArrow(lean(_verified(threshold)), "a long, b long, links long").checkpoint()
     release(spark)
     counts = checked.where("b IS NULL").groupBy(F.col("a").alias("doc")).agg(F.sum("links").alias("links"))
     found = components(checked.where("b IS NOT NULL")).checkpoint()

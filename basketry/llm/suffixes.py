@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import MIX, U64, free_name, mix, table, text_buffer
+from basketry.llm.common import MIX, U64, free_name, lean_group, mix, table, text_buffer
 
 LENGTH = 50
 GRAM = 16
@@ -464,18 +464,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = sample.mapInArrow(_sampled_contexts, "c binary").toArrow().column("c").to_pylist() if buckets > 1 else []
     found = np.sort(np.array(found, f"S{WIDTH}"))
     splitters = spark.sparkContext.broadcast(found[np.arange(1, buckets) * len(found) // buckets] if len(found) else found)
-    hashes = by_batch(None).applyInArrow(_send(bits), "range int, b int, data binary, flags binary")
-    masks = hashes.groupBy("range").applyInArrow(_meet, MESSAGE)
-    suffixes = by_batch(masks).applyInArrow(_contexts(bits, splitters), "bucket int, data binary")
-    settled = suffixes.groupBy("bucket").applyInArrow(_bucket(buckets), ROUTED)
-    spans = settled.groupBy("route").applyInArrow(_route, MESSAGE)
+    hashes = by_batch(None).applyInArrow(lean_group(_send(bits)), "range int, b int, data binary, flags binary")
+    masks = hashes.groupBy("range").applyInArrow(lean_group(_meet), MESSAGE)
+    suffixes = by_batch(masks).applyInArrow(lean_group(_contexts(bits, splitters)), "bucket int, data binary")
+    settled = suffixes.groupBy("bucket").applyInArrow(lean_group(_bucket(buckets)), ROUTED)
+    spans = settled.groupBy("route").applyInArrow(lean_group(_route), MESSAGE)
     names = []
     for x in ("n_bytes", "n_removed", "spans", "kept"):
         names.append(free_name([*keep, *names], x))
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()),
                            T.StructField(names[2], T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
                            T.StructField(names[3], T.BinaryType())])
-    return by_batch(spans).applyInArrow(_cut(keep, names, whole_chars), schema)
+    return by_batch(spans).applyInArrow(lean_group(_cut(keep, names, whole_chars)), schema)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
