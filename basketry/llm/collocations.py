@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.common import SLICE_BYTES, U64, mix, shuffle_partitions, slices, table, text_buffer, words
+from basketry.llm.common import SLICE_BYTES, U64, mix, shuffle_partitions, slices, table, text_buffer, text_parts, words
 from basketry.llm.suffix_tree import pack, unpack
 from basketry.session import checkpoint_root
 
@@ -86,19 +86,7 @@ def lang_number(lang: str) -> np.uint64:
 
 def parts_of(data: np.ndarray, limit: int = SLICE_BYTES):
     """(start, end) ranges of one long text that end at separators."""
-    a, n = 0, len(data)
-    while a < n:
-        b = min(n, a + limit)
-        if b < n:
-            back = np.flatnonzero(WORD[data[a:b]] == 0)
-            if len(back):
-                b = a + int(back[-1]) + 1
-            else:
-                while b < n and WORD[data[b]]:
-                    step = np.flatnonzero(WORD[data[b:b + limit]] == 0)
-                    b = b + int(step[0]) if len(step) else min(n, b + limit)
-        yield a, b
-        a = b
+    return text_parts(data, WORD == 0, limit)
 
 
 def tokens(data: np.ndarray, off: np.ndarray):

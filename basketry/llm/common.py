@@ -88,6 +88,30 @@ def text_slices(arr, limit: int = SLICE_BYTES):
         yield i, j, data[off[i]:off[j]], off[i:j + 1] - off[i]
 
 
+#: Bytes after which a long text may be cut: blanks and line ends.
+BLANKS = np.zeros(256, bool)
+BLANKS[[32, *range(9, 14)]] = True
+
+
+def text_parts(data: np.ndarray, may_cut: np.ndarray = BLANKS, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, end) of the parts of one long text, in order: at most ``limit`` bytes
+    each, cut after a byte of ``may_cut``, the next one if a part has none."""
+    a, n = 0, len(data)
+    while a < n:
+        b = min(n, a + limit)
+        if b < n:
+            back = np.flatnonzero(may_cut[data[a:b]])
+            if len(back):
+                b = a + int(back[-1]) + 1
+            else:
+                while b < n and not may_cut[data[b]]:
+                    step = np.flatnonzero(may_cut[data[b:b + limit]])
+                    b = b + int(step[0]) if len(step) else min(n, b + limit)
+                b = min(n, b + 1)
+        yield a, b
+        a = b
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every output bit depends on every input bit."""
     h = (h ^ (h >> U64(30))) * MIX2
