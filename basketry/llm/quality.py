@@ -14,7 +14,8 @@ rows with a weight vector of ``2**BITS`` entries.
 Defined results: null text counts as empty, an empty text has the score of no
 feature (the bias alone); a doc_id labelled more than once takes the larger
 label; without both labels in training every score is the share of label 1
-(0.5 without labels); repeated rows each get a score.
+(0.5 without labels); repeated rows each get a score; a text longer than a slice
+is read in parts that overlap by what the longest feature spans.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import MIX, TOKEN_BYTES, U64, crc_mod, map_text, slices, table, text_buffer, words
+from basketry.llm.common import MIX, TOKEN_BYTES, U64, crc_mod, map_text, slices, table, text_buffer, text_parts, words
 
 BITS = 17
 ORDERS = (1, 2, 3)
@@ -89,13 +90,36 @@ def row_slices(arr, limit: int = 1_000_000):
             yield a, z, data[off[a]:off[z]], off[a:z + 1] - off[a]
 
 
+def long_features(data: np.ndarray, limit: int = 1_000_000) -> np.ndarray:
+    """The features of one long text, part by part: a part starts some words and
+    bytes early, so that every n-gram and every run of a repeated word lies in one."""
+    found = np.zeros(1 << BITS, bool)
+    early = 0
+    for a, b in text_parts(data, limit=limit):
+        part = data[early:b]
+        found[features(part, np.array([0, len(part)]))[1]] = True
+        start = words(part, np.array([0, len(part)]), TOKEN_BYTES)[0]
+        back = early + int(start[-(REPEATS + 1)]) if len(start) > REPEATS else early
+        early = max(0, min(back, b - max(ORDERS) + 1))
+    return np.flatnonzero(found)
+
+
+def row_features(arr, limit: int = 1_000_000):
+    """(first row, end row, row of each feature, feature) of a string array."""
+    for i, j, data, off in row_slices(arr, limit):
+        if j == i + 1 and len(data) > limit:
+            k = long_features(data, limit)
+            yield i, j, np.zeros(len(k), np.int64), k
+        else:
+            yield i, j, *features(data, off)
+
+
 class Model:
     def __init__(self, weights: np.ndarray, scale2: np.ndarray, bias: float, slope: float, shift: float):
         self.weights, self.scale2, self.bias, self.slope, self.shift = weights, scale2, bias, slope, shift
 
-    def score(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        r, k = features(data, off)
-        n = len(off) - 1
+    def score(self, r: np.ndarray, k: np.ndarray, n: int) -> np.ndarray:
+        """Scores of ``n`` rows from the (row, feature) pairs they have."""
         norm = np.sqrt(np.bincount(r, self.scale2[k], n))
         m = np.bincount(r, self.weights[k], n) / np.maximum(norm, 1e-12) + self.bias
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * m + self.shift, -60, 60)))
@@ -183,8 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, is_training: Column, label: str =
     def sparse(batches):
         for b in batches:
             out = [None] * b.num_rows
-            for i, j, data, off in row_slices(b.column(0)):
-                r, k = features(data, off)
+            for i, j, r, k in row_features(b.column(0)):
                 ends = np.searchsorted(r, np.arange(j - i + 1))
                 k = k.astype("<u4")
                 for q in range(j - i):
@@ -207,7 +230,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
 
     def make():
         m = bc.value
-        return lambda arr: [pa.array(np.concatenate([m.score(d, o) for _, _, d, o in row_slices(arr)] or [np.zeros(0)]), pa.float64())]
+        return lambda arr: [pa.array(np.concatenate([m.score(r, k, j - i) for i, j, r, k in row_features(arr)] or [np.zeros(0)]), pa.float64())]
 
     return map_text(docs, text, docs.columns if keep is None else keep, FIELDS, make)
 

@@ -56,8 +56,8 @@ def test_language_edge_cases(spark, make_docs):
 
 
 def test_language_of_one_held_back_row_is_learned(spark, make_docs):
-    ids = spark.range(1000).where(F.abs(F.xxhash64(F.col("id").cast("string"))) % 5 == 0).limit(1).first().id
     rare = "qwx vyz kjq zzv wqk xyj " * 20
+    ids = spark.range(1000).where(F.xxhash64(F.col("id").cast("string"), F.lit(rare)).bitwiseAND((1 << 63) - 1) % 5 == 0).limit(1).first().id
     rows = [(i, "the house and the garden of the old town " * 5, "en") for i in range(1000, 1030)] + [(ids, rare, "xx")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.train(docs, F.lit(True))
@@ -71,6 +71,39 @@ def test_foreign_text_is_rejected(spark, sf_small, make_docs):
     assert r.rejected
 
 
+def test_wrong_labels_do_not_switch_rejection_off(spark, sf_small):
+    """Two in a hundred labels stand on random letters or another language."""
+    import random
+    rnd = random.Random(4)
+    known = [[("".join(rnd.choice(c) + rnd.choice(v) for _ in range(rnd.randint(1, 3)))) for _ in range(400)] for c, v in (("bdglm", "aeo"), ("prstk", "iou"))]
+    foreign = ["".join(rnd.choice("fvjzhwx") + rnd.choice("yaeq") for _ in range(rnd.randint(1, 3))) for _ in range(400)]
+    say = lambda words, n: " ".join(rnd.choice(words) for _ in range(n))
+    noise = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 8))) for _ in range(n))
+    rows = []
+    for k in range(3000):
+        lang = k % 2
+        words = rnd.choice((8, 30, 80))
+        text = say(known[lang], words) if k % 50 > 0 else rnd.choice((noise(words), say(known[1 - lang], words)))
+        rows.append((k, text, "ab"[lang]))
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    for make, least, most in ((lambda: say(known[0], rnd.choice((8, 60))), 0, 0.01), (lambda: say(known[1], 30) , 0, 0.01),
+                              (lambda: say(known[0], 30) + " " + say(known[1], 30), 0, 0.01),
+                              (lambda: noise(rnd.choice((8, 60))), 0.9, 1), (lambda: say(foreign, rnd.choice((8, 60))), 0.9, 1)):
+        judged = model.judge([make() for _ in range(200)])
+        assert least <= np.mean(judged[3]) <= most
+
+
+def test_rows_without_id_keep_the_sample_bounded(spark):
+    """A third of the ids null, and many copies of one row: the sample keeps its share."""
+    import random
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12))
+    rows = [(None if k % 3 == 0 else k, f"the house {word()}", "en") for k in range(3000)] + [(None, "one and the same text", "en")] * 3000
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), train_chars=3000)
+    # about 150 rows of 12 random letters, not the 1,000 without an id
+    assert model.langs == ["en"] and len(model.grams[langid.ORDER - 1].h) < 4000
+
+
 def test_quality_of_held_out_rows(spark, sf_small):
     big = sf_small.replace("0.001", "0.01")
     r = quality.op8(spark, big).join(spark.read.parquet(f"{big}/labels.parquet"), "doc_id").toPandas()
@@ -89,3 +122,34 @@ def test_quality_edge_cases(spark, make_docs):
     none = quality.train(docs, labels.limit(0), F.lit(True))
     assert quality.score(docs, none).where("score_ != 0.5").count() == 0
     assert quality.score(docs.limit(0), m).count() == 0
+
+
+def test_long_texts_in_parts_have_the_same_entropy_and_features(monkeypatch):
+    import random
+    rnd = random.Random(2)
+    words = ["the", "House", "über", "42", "a", "--", "garden", "x" * 50]
+    texts = [" ".join(rnd.choice(words) for _ in range(n)) for n in (0, 1, 5, 40, 400)] + [None, "the the the the the the end", "nothing", "w" * 300, " \n "]
+    arr = langid.pa.array(texts, langid.pa.string())
+    padded, at, _, _ = langid.symbols(["the house and the garden über alles " * 9])
+    g = np.stack([padded[at - j] for j in range(langid.ORDER - 1, -1, -1)], 1)
+    m = langid.Model(["x", "y"], [np.unique(g, axis=0, return_counts=True), np.unique(g[::2], axis=0, return_counts=True)])
+    want = m.entropies(arr)
+    counts = lambda: sorted((r["gram"], r["n"]) for b in langid._count([langid.pa.RecordBatch.from_arrays([langid.pa.array(["x"]), arr.slice(4, 1)], ["l", "t"])]) for r in b.to_pylist())
+    whole = {}
+    for k, n in counts():
+        whole[k] = whole.get(k, 0) + n
+    plain = set()
+    for i, _, r, k in quality.row_features(arr):
+        plain |= set(zip((r + i).tolist(), k.tolist(), strict=True))
+    for limit in (7, 20, 64, 333):
+        monkeypatch.setattr(langid, "CHUNK", limit)
+        got = m.entropies(arr)
+        assert np.allclose(got[0], want[0], atol=1e-5) and (got[1] == want[1]).all() and (got[2] == want[2]).all()
+        parts = {}
+        for k, n in counts():
+            parts[k] = parts.get(k, 0) + n
+        assert parts == whole
+        cut = set()
+        for i, _, r, k in quality.row_features(arr, limit):
+            cut |= set(zip((r + i).tolist(), k.tolist(), strict=True))
+        assert cut == plain
