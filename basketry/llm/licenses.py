@@ -5,14 +5,17 @@ the positions of the same 2-grams in the license templates (a fixed list, so
 the broadcast is bounded).  A match votes for a diagonal: word position minus
 template position.  Votes are aggregated by (document, template, diagonal) as
 a bit set of covered template positions; neighbouring diagonals of a long
-template merge (words inserted or missing in between); a merged span is
-verified by the share of template 2-grams whose words, not only hashes, were
-found.  Base phrases need all their 2-grams on one diagonal.
+template merge (words inserted or missing in between).  A merged span is verified
+around its strongest diagonal: of the diagonals at most ``DRIFT`` away from it, the
+template's 2-grams (by words, not only hashes) count as far as their first places
+follow each other in the template's order, and their share must reach ``COVER``.
+Base phrases need all their 2-grams on one diagonal.
 
 The words of the text are those of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after
 A-Z have been lower-cased.  ``lower`` would also turn the Kelvin sign into k,
-so that sign is replaced by another letter first; no other character becomes
-ASCII, and positions never change.
+so that sign is replaced by another letter first.  A dotted capital I becomes an
+ASCII i and a mark that stays in the word, so no other word becomes one of ASCII
+alone, and positions never change.
 
 Defined results: null text is empty, with n_words 0 and null positions; rows
 that repeat both doc_id and text give one row; rows that share only doc_id
@@ -46,6 +49,8 @@ TEMPLATES = [
 ]
 #: Diagonals of a long template at most this far apart merge.
 GAP = 3
+#: Words by which a span may drift from its strongest diagonal.
+DRIFT = 8
 #: Share of a template's 2-grams that verifies a span.
 COVER = 0.8
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -91,12 +96,23 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", base=None,
     merged = votes.selectExpr("*", f"""CASE WHEN is_base OR diagonal - lag(diagonal) OVER (PARTITION BY doc, key, tid ORDER BY diagonal) > {gap}
                                        THEN 1 ELSE 0 END AS new""")
     merged = merged.selectExpr("*", "sum(new) OVER (PARTITION BY doc, key, tid ORDER BY diagonal) AS span")
-    spans = (merged.groupBy("doc", "key", "n", "tid", "label", "is_base", "size", "span")
-             .agg(F.min("diagonal").alias("start"), F.max("diagonal").alias("last"), F.bit_or("seen").alias("seen"))
-             .withColumn("coverage", F.bit_count("seen") / F.greatest(F.col("size"), F.lit(1))))
-    spans = spans.where(F.col("label").isNull() | F.when(F.col("is_base"), F.col("coverage") == 1).otherwise(F.col("coverage") >= cover))
-    return spans.select(F.col("doc").alias(doc_id), "key", F.col("n").cast("long").alias("n_words"), "label", "is_base",
-                        F.col("start").cast("long").alias("start"), (F.col("last") + F.col("size") + 1).cast("long").alias("end"), "coverage")
+    span = "OVER (PARTITION BY doc, key, tid, span)"
+    merged = merged.selectExpr("*", f"bit_count(bit_or(seen) {span}) AS found", f"max(bit_count(seen)) {span} AS best")
+    out = [F.col("doc").alias(doc_id), "key", F.col("n").cast("long").alias("n_words"), "label", "is_base",
+           F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "coverage"]
+    # one diagonal each: documents, and base phrases that stand there whole
+    plain = merged.where("label IS NULL OR (is_base AND found = size)")
+    plain = plain.selectExpr("*", "diagonal AS start", "diagonal + size + 1 AS end", "CASE WHEN label IS NULL THEN 0.0D ELSE 1.0D END AS coverage").select(*out)
+    # the others: of the 2-grams near the strongest diagonal those that follow each other
+    near = merged.where((F.col("tid") >= 0) & ~F.col("is_base") & (F.col("found") >= cover * F.col("size")))
+    near = near.selectExpr("*", f"min(CASE WHEN bit_count(seen) = best THEN diagonal END) {span} AS anchor").where(f"abs(diagonal - anchor) <= {DRIFT}")
+    spots = near.selectExpr("*", "explode(sequence(0, size - 1)) AS t").where("shiftright(seen, t) & 1 = 1")
+    keys = ["doc", "key", "n", "tid", "label", "is_base", "size", "span"]
+    spots = spots.groupBy(*keys, "t").agg(F.min(F.col("diagonal") + F.col("t")).alias("pos"))
+    spots = spots.selectExpr("*", "max(pos) OVER (PARTITION BY doc, key, tid, span ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before")
+    spans = (spots.where("before IS NULL OR pos > before").groupBy(*keys)
+             .agg(F.min("pos").alias("start"), (F.max("pos") + 2).alias("end"), (F.count(F.lit(1)) / F.col("size")).alias("coverage")))
+    return plain.union(spans.where(F.col("coverage") >= cover).select(*out))
 
 
 def summary(spans: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -124,9 +140,18 @@ votes AS (SELECT d, tid, label, is_base, size, pos - tpos AS diagonal, bit_or(CA
           FROM pairs JOIN templates ON a = w0 AND b = w1 GROUP BY ALL),
 marked AS (SELECT *, CASE WHEN is_base OR diagonal - lag(diagonal) OVER (PARTITION BY d, tid ORDER BY diagonal) > {GAP} THEN 1 ELSE 0 END AS new FROM votes),
 numbered_spans AS (SELECT *, sum(new) OVER (PARTITION BY d, tid ORDER BY diagonal) AS span FROM marked),
-spans AS (SELECT d, label, is_base, min(diagonal) AS first, bit_count(bit_or(seen)) / CAST(size AS DOUBLE) AS coverage
-          FROM numbered_spans GROUP BY d, tid, label, is_base, size, span),
-good AS (SELECT * FROM spans WHERE CASE WHEN is_base THEN coverage = 1 ELSE coverage >= {COVER} END),
+measured AS (SELECT *, bit_count(bit_or(seen) OVER w) AS found, max(bit_count(seen)) OVER w AS best FROM numbered_spans WINDOW w AS (PARTITION BY d, tid, span)),
+near AS (SELECT *, min(CASE WHEN bit_count(seen) = best THEN diagonal END) OVER (PARTITION BY d, tid, span) AS anchor
+         FROM measured WHERE NOT is_base AND found >= {COVER} * size),
+spots AS (SELECT d, tid, label, size, span, t, min(diagonal + t) AS pos
+          FROM (SELECT *, unnest(range(0, size)) AS t FROM near WHERE abs(diagonal - anchor) <= {DRIFT}) x
+          WHERE (seen >> t) & 1 = 1 GROUP BY ALL),
+ordered AS (SELECT *, max(pos) OVER (PARTITION BY d, tid, span ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM spots),
+good AS (
+  SELECT d, label, true AS is_base, diagonal AS first, 1.0::DOUBLE AS coverage FROM measured WHERE is_base AND found = size
+  UNION ALL
+  SELECT d, label, false, min(pos), count(*) / CAST(size AS DOUBLE) FROM ordered WHERE before IS NULL OR pos > before
+  GROUP BY d, tid, label, size, span HAVING count(*) >= {COVER} * size),
 told AS (SELECT d, count(*) FILTER (WHERE is_base) AS n_base, min(first) FILTER (WHERE is_base) AS first_word, max(first) FILTER (WHERE is_base) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE is_base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
          max(coverage) AS score FROM good GROUP BY d)

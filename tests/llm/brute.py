@@ -79,6 +79,43 @@ def near_duplicates(docs, threshold=0.8):
     return {i: (cls[i], n[i], group[i]) for i in ids}
 
 
+def license_labels(text, base, templates, gap=3, drift=8, cover=0.8):
+    """(places of base phrases, base labels, all labels, best share): the definition, by plain loops."""
+    w = words(text)
+    places, own, every, best = [], set(), set(), 0.0
+    for phrase, label in base:
+        p = phrase.split()
+        at = [i for i in range(len(w) - len(p) + 1) if w[i:i + len(p)] == p]
+        places += at
+        if at:
+            own.add(label)
+            best = 1.0
+    for phrase, label in templates:
+        p = phrase.split()
+        pairs = list(zip(p, p[1:], strict=False))
+        found = sorted({(i - t, t) for i in range(len(w) - 1) for t, q in enumerate(pairs) if (w[i], w[i + 1]) == q})
+        groups = []
+        for d, t in found:
+            if not groups or d - groups[-1][-1][0] > gap:
+                groups.append([])
+            groups[-1].append((d, t))
+        for g in groups:
+            count = Counter(d for d, _ in g)
+            anchor = min(d for d in count if count[d] == max(count.values()))
+            first = {}
+            for d, t in g:
+                if abs(d - anchor) <= drift:
+                    first[t] = min(first.get(t, d + t), d + t)
+            last, n = -1, 0
+            for t in sorted(first):
+                if first[t] > last:
+                    last, n = first[t], n + 1
+            if len({t for _, t in g}) >= cover * len(pairs) and n >= cover * len(pairs):
+                every.add(label)
+                best = max(best, n / len(pairs))
+    return places, own, every | own, best
+
+
 def windows(text, size=13):
     w = words(text)
     k = min(size, len(w))
