@@ -18,7 +18,7 @@ counts as an item whose id is the empty string.
 
 from __future__ import annotations
 
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import free_name, map_text, sha_hex, text_slices, words
+from basketry.llm.common import SLICE_BYTES, WORD_BYTES, free_name, map_text, sha_hex, slices, text_buffer, text_parts, text_slices, words
 
 #: Words in a window.
 WINDOW = 13
 #: A document is contaminated if at least one word in this many is hit.
 RATIO = 20
-#: Benchmark text that goes to the executors in one pass; a larger benchmark
-#: takes several passes over the documents.
-PASS_BYTES = 32_000_000
+#: Benchmark text of one part; a part takes about 60 times as much memory while it
+#: is made in the driver, and 10 times in a worker.
+PART_BYTES = 1_000_000
+#: Parts that one pass over the documents searches; a larger benchmark takes more passes.
+PASS_PARTS = 8
 #: Every so many text positions one suffix position is kept.
 SAMPLE = 8
 
@@ -224,27 +226,63 @@ FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongT
           T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", SPANS)]
 
 
-def _scanner(bc):
+def scan_parts(data: np.ndarray, off: np.ndarray, parts: list[Phrases]):
+    """:func:`scan_slice` for several parts of the benchmark; pairs are (row, item id)."""
+    hit, pairs = None, set()
+    for ph in parts:
+        n_words, h, start, end, row, found = scan_slice(data, off, ph)
+        hit = h if hit is None else hit | h
+        pairs |= {(r, ph.ids[k]) for r, k in found.tolist()}
+    return n_words, hit, start, end, row, pairs
+
+
+def scan_long(data: np.ndarray, parts: list[Phrases], window: int, limit: int):
+    """The same for one long text, part by part; a part starts ``window`` - 1 words
+    early, so that every window lies in one."""
+    starts, ends, hits, items, early = [], [], [], set(), 0
+    again = np.zeros(0, bool)                                     # of the words that the part before has, too
+    n = len(data)
+    for _, b in text_parts(data, WORD_BYTES == 0, limit):
+        _, hit, start, end, _, pairs = scan_parts(data[early:b], np.array([0, b - early]), parts)
+        items |= {k for _, k in pairs}
+        hit[:len(again)] |= again
+        done = len(start) if b == n else max(0, len(start) - window + 1)
+        starts.append(start[:done] + early)
+        ends.append(end[:done] + early)
+        hits.append(hit[:done])
+        again = hit[done:]
+        early = early + int(start[done]) if done < len(start) else b
+    cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+    return cat(starts, np.int64), cat(ends, np.int64), cat(hits, bool), items
+
+
+def _scanner(bcs, window: int = WINDOW, limit: int = SLICE_BYTES):
     def make():
-        ph = bc.value
+        parts = [bc.value for bc in bcs]
 
         def f(texts):
             n_words, n_hit, items, sizes, spans = [], [], [], [], []
-            for i, j, data, off in text_slices(texts):
-                nw, hit, start, end, row, pairs = scan_slice(data, off, ph)
+            data, off = text_buffer(texts)
+            for i, j in slices(off, limit):
+                if off[j] - off[i] > limit:
+                    start, end, hit, found = scan_long(data[off[i]:off[j]], parts, window, limit)
+                    row, nw, pairs, at = np.zeros(len(start), np.int64), np.array([len(start)]), {(0, k) for k in found}, np.zeros(2, np.int64)
+                else:
+                    at = off[i:j + 1] - off[i]
+                    nw, hit, start, end, row, pairs = scan_parts(data[off[i]:off[j]], at, parts)
                 n_words.append(nw)
                 n_hit.append(np.bincount(row[hit], minlength=j - i))
-                mine = [[] for _ in range(j - i)]
-                for r, k in pairs.tolist():
-                    mine[r].append(ph.ids[k])
-                items += [sorted(set(x)) for x in mine]
+                mine = [set() for _ in range(j - i)]
+                for r, k in pairs:
+                    mine[r].add(k)
+                items += [sorted(x) for x in mine]
                 # removal spans: maximal runs of hit words of a row, in bytes of its text
                 on = np.flatnonzero(hit)
                 if len(on):
                     head = np.concatenate(([True], (on[1:] != on[:-1] + 1) | (row[on[1:]] != row[on[:-1]])))
                     tail = np.concatenate((head[1:], [True]))
                     r = row[on[head]]
-                    spans.append((start[on[head]] - off[r], end[on[tail]] - off[r]))
+                    spans.append((start[on[head]] - at[r], end[on[tail]] - at[r]))
                     sizes.append(np.bincount(r, minlength=j - i))
                 else:
                     sizes.append(np.zeros(j - i, np.int64))
@@ -273,35 +311,38 @@ def _passes(benchmark: DataFrame, item: str, text: str, limit: int):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None,
                   item: str = "item_id", item_text: str = "text", window: int = WINDOW,
-                  pass_bytes: int | None = None) -> DataFrame:
+                  part_bytes: int | None = None, pass_parts: int | None = None) -> DataFrame:
     """The ``keep`` columns (default: all) plus n_words, n_hit, items (sorted
     ids of items with an occurring window) and spans (merged removal spans, in
     bytes of the text's UTF-8).
 
-    One narrow pass over the documents, without a shuffle, for a benchmark of
-    up to ``pass_bytes`` (default: ``PASS_BYTES``).  A larger benchmark adds a pass for each further
-    part; a window of 13 words never spans two items, so parts are independent.
+    One narrow pass over the documents, without a shuffle, searches up to
+    ``pass_parts`` parts of ``part_bytes`` of benchmark text; a larger benchmark
+    takes more passes, matched by text.  A window of 13 words never spans two items,
+    so parts are independent.
     """
     sc = docs.sparkSession.sparkContext
     keep = docs.columns if keep is None else keep
-    parts = _passes(benchmark, item, item_text, PASS_BYTES if pass_bytes is None else pass_bytes)
-    first, second = next(parts), next(parts, None)
+    part_bytes, pass_parts = part_bytes or PART_BYTES, pass_parts or PASS_PARTS
+    made = (sc.broadcast(Phrases(p, window)) for p in _passes(benchmark, item, item_text, part_bytes))
+    passes = iter(lambda: list(islice(made, pass_parts)), [])
+    first, second = next(passes), next(passes, None)
     if second is None:
-        return map_text(docs, text, keep, FIELDS, _scanner(sc.broadcast(Phrases(first, window))))
+        return map_text(docs, text, keep, FIELDS, _scanner(first, window))
     own = free_name(docs.columns, "_own_text")  # later passes match by the text, whether it is kept or not
     docs = docs.withColumn(own, F.col(f"`{text}`").cast("string"))
-    out = map_text(docs, own, [*keep, own], FIELDS, _scanner(sc.broadcast(Phrases(first, window))))
-    for part in chain([second], parts):
-        out = _another_pass(out, docs, own, sc.broadcast(Phrases(part, window)))
+    out = map_text(docs, own, [*keep, own], FIELDS, _scanner(first, window))
+    for more in chain([second], passes):
+        out = _another_pass(out, docs, own, _scanner(more, window))
     return out.drop(own)
 
 
-def _another_pass(out, docs, text, bc):
+def _another_pass(out, docs, text, scanner):
     """Adds the hits of one more part of the benchmark to an earlier result.
 
     Rows are matched by the text itself (its digest): equal texts have equal hits."""
     names = out.columns[-4:]
-    more = map_text(docs.select(F.col(text)).distinct(), text, [text], FIELDS, _scanner(bc))
+    more = map_text(docs.select(F.col(text)).distinct(), text, [text], FIELDS, scanner)
     more = more.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_d"), *(F.col(f.name).alias(f"_{f.name}") for f in FIELDS)).dropDuplicates(["_d"])
     both = out.withColumn("_d", F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).join(more, "_d", "left")
     merged = merge_spans(F.concat(F.col(names[3]), F.coalesce(F.col("_spans"), F.array().cast(SPANS))))
