@@ -38,6 +38,8 @@ from basketry.session import checkpoint_root
 
 BLOCK = 64
 SHARD_SLOTS = 8192
+#: Slots that one task makes, about.
+TASK_SLOTS = 250_000
 #: Documents of one source that one task sums, about.
 BUCKET_DOCS = 4_000
 SHARE = 1.5
@@ -209,6 +211,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     before = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     slots = (counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
              .groupBy("shard").agg(F.collect_list(F.struct("s", "n", "start")).alias("rows"))
+             .repartition(max(1, min(shards, -(-sum(plan.slots) // TASK_SLOTS))), "shard")  # few small rows make many slots
              .mapInArrow(lean(_slots(plan, drawn)), "shard long, slot long, s int, block long, take long"))
     pieces = (rows.where("size > 0")
               .select("s", "first", "doc_id", "size", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block))).alias("block")))
