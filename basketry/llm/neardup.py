@@ -309,3 +309,24 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
 
 def op9(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+OP9_SQL = r"""
+WITH RECURSIVE
+u AS (SELECT DISTINCT doc_id, coalesce(doc_id, 9223372036854775807) AS doc, coalesce(text, '') AS t FROM documents),
+d AS (SELECT row_number() OVER () AS rid, doc_id, doc, regexp_extract_all(
+        translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM u),
+s AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+shared AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.rid <> b.rid GROUP BY 1, 2),
+link AS (SELECT x, y, c = p.n AND c = q.n AS same FROM shared JOIN n p ON p.rid = x JOIN n q ON q.rid = y WHERE c / (p.n + q.n - c)::DOUBLE >= 0.8),
+reach AS (SELECT rid AS a, rid AS b FROM d UNION SELECT a, y FROM reach JOIN link ON b = x),
+comp AS (SELECT a AS rid, min(doc) AS least FROM reach JOIN d ON d.rid = b GROUP BY a),
+class AS (SELECT x AS rid, min(doc) AS least FROM link JOIN d ON d.rid = y WHERE same GROUP BY x),
+links AS (SELECT x AS rid, count(*) AS n_links FROM link GROUP BY x)
+SELECT doc_id, nullif(least(doc, coalesce(class.least, doc)), 9223372036854775807) AS class_id, coalesce(n_links, 0) AS n_links,
+       nullif(comp.least, 9223372036854775807) AS group_id, doc = comp.least AS kept
+FROM d JOIN comp USING (rid) LEFT JOIN class USING (rid) LEFT JOIN links USING (rid)
+"""

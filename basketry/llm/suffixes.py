@@ -453,11 +453,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     body, order, digest, batch = own
     base = docs.select(*(F.col(f"`{c}`") for c in keep), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(body),
                        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(top)).alias(order))
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(n_batches)).cast("int")
-    d = base.select(body, order, F.sha2(F.col(body), 256).alias(digest), *(F.col(f"`{c}`") for c in keep), place(order).alias(batch))
+    # by id and text, so that many rows of one id, or of none, do not meet in one batch
+    place = lambda c, t: F.pmod(F.xxhash64(c, t), F.lit(n_batches)).cast("int")
+    d = base.select(body, order, F.sha2(F.col(body), 256).alias(digest), *(F.col(f"`{c}`") for c in keep)).withColumn(batch, place(order, digest))
     ids = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(top)).alias("rank"), F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256).alias("digest"))
     reps = ids.groupBy("digest").agg(F.min("rank").alias("rank")).select(
-        place("rank").alias("b"), F.lit(0).alias("kind"), "rank", "digest", F.lit(None).cast("int").alias("range"), F.lit(None).cast("binary").alias("data"))
+        place("rank", "digest").alias("b"), F.lit(0).alias("kind"), "rank", "digest", F.lit(None).cast("int").alias("range"), F.lit(None).cast("binary").alias("data"))
     by_batch = lambda extra: d.groupBy(batch).cogroup((reps.unionByName(extra) if extra is not None else reps).groupBy("b"))
     share = min(1.0, max(SAMPLE_BYTES * buckets / max(total, 1), 64 / max(n_docs, 1)))
     sample = base.where(F.abs(F.xxhash64(order, F.lit(3))) <= int(share * (2.0**63 - 1024))).select(body)
@@ -481,3 +482,22 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def op7(spark, sf_dir: str) -> DataFrame:
     r = remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return r.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS rank, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, rank, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT rid, rank, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+first AS (SELECT s, min(rank) AS least FROM w GROUP BY s),
+hit AS (SELECT rid, i FROM w JOIN first USING (s) WHERE least < rank),
+marked AS (SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hit),
+numbered AS (SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS run FROM marked),
+runs AS (SELECT rid, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY rid, run),
+gaps AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM runs),
+cut AS (
+  SELECT rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS tail,
+         string_agg(substr(h, (2 * before + 1)::BIGINT, (2 * (a - before))::BIGINT), '' ORDER BY a) AS kept
+  FROM gaps JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE kept || substr(h, (2 * tail + 1)::BIGINT) END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (rid)
+"""
