@@ -6,8 +6,9 @@
    ``K`` nearest of its blocks.
 3. NN-descent: a vector's neighbours and reverse neighbours meet in a join and
    are compared with each other; every vector keeps its K nearest.  Rounds go
-   on until few lists change.  A reverse list is sampled (by a hash) to
-   ``2 * K``, as the method has it; step 5 makes up for that.
+   on until few lists change, ``ROUNDS`` at most; the audit makes up for what they
+   leave.  A reverse list is sampled (by a hash) to ``2 * K``, as the method has it;
+   step 5 makes up for that.
 4. Edges at or above the threshold give components.  Of all pairs met in steps
    2 and 3 at or above the threshold, also beyond a full list, a spanning
    forest of each block or meeting is passed on.
@@ -163,8 +164,11 @@ def _from_tables(vecs: DataFrame, total: int, tables: range, k: int, threshold:
 
 
 def _lists(pairs: DataFrame, k: int) -> DataFrame:
-    """(u, near): the k nearest of each vector, best first; ties by id."""
-    return pairs.groupBy(F.col("a").alias("u")).agg(F.slice(F.sort_array(F.collect_set(F.struct("s", "b")), asc=False), 1, k).alias("near"))
+    """(u, near): the k nearest of each vector, best first; ties by id.  An entry
+    is (s, b, old), old if one of its ``pairs`` is marked so."""
+    old = F.col("old") if "old" in pairs.columns else F.lit(False)
+    one = pairs.groupBy(F.col("a").alias("u"), "b").agg(F.max("s").alias("s"), F.max(old).alias("old"))
+    return one.groupBy("u").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "b", "old")), asc=False), 1, k).alias("near"))
 
 
 def _meeting(k: int, threshold: float):
@@ -192,13 +196,11 @@ def _descend(vecs: DataFrame, graph: DataFrame, k: int, threshold: float, rounds
 
     Vectors in ``vecs`` (id, v, g) have unit length; pairs of one group g are not listed, but
     ``inside`` (u, w), if given, are edges of the groups that lead to neighbours as well."""
-    n = graph.count()
-    fresh, hot = None, None
-    for _ in range(rounds):
-        edges = graph.select("u", F.explode("near").alias("e")).select("u", F.col("e.b").alias("w"))
-        edges = edges.withColumn("fresh", F.lit(True)) if fresh is None else edges.join(fresh, ["u", "w"], "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
+    n, hot = graph.count(), None
+    for turn in range(rounds):
+        edges = graph.select("u", F.explode("near").alias("e")).select("u", F.col("e.b").alias("w"), (~F.col("e.old")).alias("fresh"))
         if inside is not None:
-            edges = edges.union(inside.select("u", "w", F.lit(fresh is None).alias("fresh")))
+            edges = edges.union(inside.select("u", "w", F.lit(turn == 0).alias("fresh")))
         back = edges.select(F.col("w").alias("u"), F.col("u").alias("w"), "fresh")
         # reverse neighbours: 2 * k of each vector, by a hash
         back = back.groupBy("u").agg(F.slice(F.sort_array(F.collect_set(F.struct(F.xxhash64("u", "w").alias("h"), "w", "fresh"))), 1, 2 * k).alias("r"))
@@ -211,13 +213,12 @@ def _descend(vecs: DataFrame, graph: DataFrame, k: int, threshold: float, rounds
                .mapInArrow(_meeting(k, threshold), "a long, b long, s double")).checkpoint()
         beyond = met.where(F.col("s") >= threshold - CLOSE).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s").dropDuplicates(["a", "b"]).checkpoint()
         hot = beyond if hot is None else hot.union(beyond)
-        old = graph.select(F.col("u").alias("a"), F.explode("near").alias("e")).select("a", "e.b", "e.s")
-        now = _lists(old.union(met), k).checkpoint()
-        entries = now.select("u", F.explode("near").alias("e")).select("u", F.col("e.b").alias("w"))
-        fresh = entries.join(old.select(F.col("a").alias("u"), F.col("b").alias("w")), ["u", "w"], "left_anti").withColumn("fresh", F.lit(True)).checkpoint()
-        graph = now
+        # the next lists tell which of their entries the last ones had
+        old = _entries(graph).withColumn("old", F.lit(True))
+        graph = _lists(old.union(met.withColumn("old", F.lit(False))), k).checkpoint()
+        fresh = graph.agg(F.sum(F.size(F.filter("near", lambda e: ~e["old"])))).first()[0] or 0
         release(vecs.sparkSession)
-        if fresh.count() < CHANGE * n * k:
+        if fresh < CHANGE * n * k:
             break
     return graph, hot
 
@@ -400,3 +401,18 @@ def _exact(threshold: float):
 
 def op3(spark, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE
+v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL),
+ok AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT a, y FROM reach JOIN link ON b = x)
+SELECT a AS vec_id, (SELECT count(*) FROM link WHERE x = a) AS n_links, min(b) AS component_id, a = min(b) AS kept
+FROM reach GROUP BY a
+"""

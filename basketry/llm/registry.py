@@ -13,11 +13,11 @@ from basketry.llm.licenses import OP2_SQL, op2
 from basketry.llm.lines import OP11_SQL, op11
 from basketry.llm.manifest import OP12_SQL, op12
 from basketry.llm.mixing import op4
-from basketry.llm.neighbours import op3
-from basketry.llm.neardup import op9
+from basketry.llm.neighbours import OP3_SQL, op3
+from basketry.llm.neardup import OP9_SQL, op9
 from basketry.llm.quality import op8
 from basketry.llm.suffix_tree import op6
-from basketry.llm.suffixes import op7
+from basketry.llm.suffixes import OP7_SQL, op7
 
 QUERIES = {
     "op1_language_id": op1,
@@ -37,7 +37,10 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_license_scans": OP2_SQL,
+    "op3_embedding_near_dedup": OP3_SQL,
     "op5_chat_formatting": OP5_SQL,
+    "op7_suffix_dedup": OP7_SQL,
+    "op9_ngram_jaccard_join": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
     "op11_line_dedup": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,

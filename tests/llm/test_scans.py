@@ -18,7 +18,7 @@ TRICKY = [(1, "The MIT license. mit LICENSE"), (2, None), (3, ""), (4, "General
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql_on_small_tables(spark, sf_small, oracle, name):
     import pandas as pd
-    tables = {t: pd.read_parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark", "conversations")}
+    tables = {t: pd.read_parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark", "conversations", "embeddings")}
     same(QUERIES[name](spark, sf_small).toPandas(), oracle(ORACLE_SQL[name], **tables))
 
 
@@ -31,6 +31,39 @@ def test_license_edge_cases(make_docs, oracle):
     assert licenses.summary(licenses.scan(docs.limit(0))).count() == 0
 
 
+def test_license_order_and_drift(spark, make_docs, oracle):
+    """Scattered and reordered 2-grams are no license; spans never start below 0."""
+    import random
+    from brute import license_labels
+    rnd = random.Random(11)
+    isc = licenses.TEMPLATES[6][0].split()
+    texts = ["rights reserved all rights", "license identifier spdx license", "all rights reserved", "x all rights y reserved", "SPDX-License-Identifier: MIT",
+             " ".join(isc), " ".join(isc[:8] + ["or", "not"] + isc[8:]), " ".join(isc[:4] + isc[6:]), " ".join(reversed(isc)),
+             " ".join(f"{a} {b} filler" for a, b in zip(isc, isc[1:], strict=False)), " ".join(isc[10:] + isc[:10]), "q " * 20 + " ".join(isc)]
+    pool = [t.split() for t, _ in licenses.TEMPLATES] + [b.split() for b, _ in licenses.BASE]
+    for _ in range(150):
+        out = []
+        for _ in range(rnd.randint(1, 4)):
+            w = list(rnd.choice(pool))
+            for _ in range(rnd.randint(0, 3)):
+                k = rnd.randrange(len(w))
+                w[k:k + rnd.randint(0, 2)] = rnd.choice([[], ["word"], w[:2], ["a", "b", "c", "d", "e"]])
+                w = w or ["x"]
+            out += w
+        texts.append(" ".join(out))
+    docs = make_docs(list(enumerate(texts)))
+    spans = licenses.scan(docs)
+    assert spans.where("start < 0 OR end > n_words").count() == 0
+    got = {r.doc_id: r for r in licenses.summary(spans).collect()}
+    for i, t in enumerate(texts):
+        places, own, every, best = license_labels(t, licenses.BASE, licenses.TEMPLATES)
+        r = got[i]
+        assert (r.n_base, r.base_labels, r.labels) == (len(places), ",".join(sorted(own)), ",".join(sorted(every))), t
+        assert abs(r.score - best) < 1e-9
+    assert got[0].labels == got[1].labels == got[8].labels == "" and got[2].labels == "proprietary" and got[6].labels == got[11].labels == "isc"
+    same(licenses.summary(spans).toPandas(), oracle(licenses.OP2_SQL, documents=docs.toPandas()))
+
+
 def test_license_scan_stays_in_the_jvm(make_docs):
     plan = licenses.summary(licenses.scan(make_docs(TRICKY).where("doc_id > 0")))._jdf.queryExecution().toString()
     assert "Python" not in plan.replace("applySchemaToPythonRDD", "") and "Arrow" not in plan
@@ -44,8 +77,8 @@ def test_decontamination_by_brute_force(spark, make_docs):
             (7, "one two. one two three one two three four"), (8, "ÜNÏCODE ünïcode Ünïcode"), (9, "q " * 30_000 + "one two three"), (1, "x One, TWO three y"), (None, "one two three")]
     docs, bench = make_docs(rows), spark.createDataFrame(BENCH, "item_id long, text string")
     want = brute_force(rows, BENCH)
-    for limit in (32_000_000, 10):  # one pass, and one pass for each item
-        got = decontaminate(docs, bench, pass_bytes=limit).toPandas()
+    for limit, parts in ((32_000_000, 8), (10, 8), (10, 3), (10, 1)):  # one part, one pass of parts, several passes, one pass for each item
+        got = decontaminate(docs, bench, part_bytes=limit, pass_parts=parts).toPandas()
         assert len(got) == len(rows)
         for r in got.itertuples():
             i = None if r.doc_id != r.doc_id else int(r.doc_id)
@@ -67,8 +100,9 @@ def test_registered_decontamination_in_several_passes(spark, sf_small, oracle, m
     tables = {t: pd.read_parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark")}
     total = int(tables["benchmark"].text.str.encode("utf-8").str.len().sum())
     docs, bench = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark"))
-    assert decontaminate(docs, bench, keep=["doc_id"], pass_bytes=total // 3).columns == ["doc_id", "n_words", "n_hit", "items", "spans"]
-    monkeypatch.setattr(decontaminate_module, "PASS_BYTES", total // 3)
+    assert decontaminate(docs, bench, keep=["doc_id"], part_bytes=total // 3, pass_parts=1).columns == ["doc_id", "n_words", "n_hit", "items", "spans"]
+    monkeypatch.setattr(decontaminate_module, "PART_BYTES", total // 3)
+    monkeypatch.setattr(decontaminate_module, "PASS_PARTS", 1)
     same(op10(spark, sf_small).toPandas(), oracle(OP10_SQL, **tables))
 
 
@@ -129,3 +163,30 @@ def test_template_language():
             list(template.compile_template(bad, {})({"a": "x", "f": len}))
     with pytest.raises(template.TemplateError):
         list(template.compile_template("{{ a.upper }}", {})({"a": "x"}))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "c", "dd", "Ünï", "x y", "a b c d", " ", ".", "\n"]), max_size=60), st.integers(1, 40), st.integers(1, 5))
+def test_long_texts_in_parts_are_scanned_alike(pieces, limit, window):
+    """A text cut into parts anywhere has the same hits, items and spans."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+    bench = [("1", "a b c d e"), ("2", "b dd ünï"), ("3", "a"), ("4", "c d a b c d a b c")]
+    texts = pa.array([" ".join(pieces), None, "a b " + "".join(pieces), ""], pa.string())
+    bcs = [SimpleNamespace(value=Phrases([b], window)) for b in bench]
+    whole = [x.to_pylist() for x in decontaminate_module._scanner(bcs, window)()(texts)]
+    assert [x.to_pylist() for x in decontaminate_module._scanner(bcs, window, limit)()(texts)] == whole
+    one = [SimpleNamespace(value=Phrases(bench, window))]
+    assert [x.to_pylist() for x in decontaminate_module._scanner(one, window, limit)()(texts)] == whole
+
+
+def test_a_long_text_takes_no_more_memory_than_a_slice():
+    import resource
+    from types import SimpleNamespace
+    import pyarrow as pa
+    ph = [SimpleNamespace(value=Phrases([("1", "one two three")], 13))]
+    text = pa.array(["lorem ipsum one two three dolor " * 500_000], pa.string())     # 16 MB
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    out = decontaminate_module._scanner(ph)()(text)
+    assert out[0].to_pylist() == [3_000_000] and out[1].to_pylist() == [1_500_000] and len(out[3][0]) == 500_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
