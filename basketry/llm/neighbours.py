@@ -1,6 +1,6 @@
 """Embedding near-dedup (operator 3): NN-descent over cosine similarity.
 
-1. Equal vectors form classes; only the class of the smallest vec_id counts on.
+1. Equal vectors form classes, numbered; from here on a class is one vector.
 2. First graph: in each of ``TABLES`` tables the vectors are sorted by the
    signs of random projections and cut into blocks; every vector takes its
    ``K`` nearest of its blocks.
@@ -25,9 +25,11 @@
    the graph and the descent goes on; after ``AUDITS`` rounds it is an error.
 
 Defined results: null vectors, zero vectors and vectors with null or
-non-finite components link with nothing; so do vectors of different lengths;
-rows that repeat a vec_id keep the least vector; null vec_id rows are left
-out; an empty table gives no rows.
+non-finite components link with nothing; so do vectors of different lengths.
+Rows that repeat vec_id and vector are one vector; a vec_id with several vectors
+gets one row with the sum of their links, and they share a component.  Rows
+without a vec_id are vectors of their own and get a row each, with the smallest
+vec_id of their component or null.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -276,9 +278,9 @@ def _count_links(threshold: float):
             ids, links = [], []
             for lo, hi, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 mine, size = np.array([r["mine"] for r in rows]), np.array([r["size"] for r in rows], np.int64)
-                x, raw = np.array([r["id"] for r in rows], np.int64), _matrix([r["v"] for r in rows])
+                x, raw = np.array([r["id"] for r in rows], np.int64), [r["v"] for r in rows]
                 left, right = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
-                ok = linked(raw[left], raw[right], threshold)
+                ok = linked_raw([raw[i] for i in left], [raw[i] for i in right], threshold)
                 if lo == hi:
                     np.fill_diagonal(ok, False)
                     ids.extend(x[left].tolist())
@@ -299,6 +301,17 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     return a @ b.T / (na[:, None] * nb[None, :]) >= threshold
 
 
+def linked_raw(a: list[bytes], b: list[bytes], threshold: float) -> np.ndarray:
+    """:func:`linked` of packed vectors; those of different lengths (which only a
+    shared vec_id brings together) link with nothing."""
+    out = np.zeros((len(a), len(b)), bool)
+    wide_a, wide_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    for z in np.intersect1d(wide_a, wide_b):
+        i, j = np.flatnonzero(wide_a == z), np.flatnonzero(wide_b == z)
+        out[np.ix_(i, j)] = linked(_matrix([a[k] for k in i]), _matrix([b[k] for k in j]), threshold)
+    return out
+
+
 def _audit(vecs: DataFrame, found: DataFrame, counts: DataFrame, threshold: float) -> float:
     """The least recall of a class of query vectors (by the power of two of their true links)."""
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
@@ -351,19 +364,24 @@ def _units(vecs: DataFrame) -> DataFrame:
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD, k: int = K) -> DataFrame:
-    """One row per vec_id: n_links, component_id, kept."""
+    """One row per vec_id, and one per vector without one: n_links, component_id, kept."""
     checkpoint_root(vectors.sparkSession)
     v, fine = _valid(embedding)
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), v.alias("x"), fine.alias("fine")).where("id IS NOT NULL")
-    rows = rows.groupBy("id").agg(F.min("x").alias("x"), F.min(F.when(F.col("fine"), F.col("x"))).alias("y")).select("id", F.when(F.coalesce(F.col("x") == F.col("y"), F.lit(False)), F.col("y")).alias("x")).checkpoint()
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.when(fine, v).alias("x"))
+    # k: rows of one id and vector; they are one vector, unless the id is null
+    rows = rows.groupBy("id", "x").agg(F.count(F.lit(1)).alias("k")).checkpoint()
 
     def raw(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.asarray(x, "<f8").tobytes() for x in b.column(1).to_pylist()], pa.binary())], ["id", "v"])
-
-    one = rows.where("x IS NOT NULL").mapInArrow(raw, "id long, v binary")
-    member = one.select("id", "v")
-    vecs = member.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size")).select("id", "v", "size").checkpoint()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.asarray(x, "<f8").tobytes() for x in b.column(1).to_pylist()], pa.binary()), b.column(2)], ["vec", "v", "k"])
+
+    member = rows.where("x IS NOT NULL").mapInArrow(raw, "vec long, v binary, k long")
+    classes = member.groupBy("v").agg(F.min("vec").alias("low"), F.sum(F.when(F.col("vec").isNull(), F.col("k")).otherwise(1)).alias("size"))
+    vecs = classes.withColumn("id", F.monotonically_increasing_id()).select("id", "v", "size", "low").checkpoint()
+    # classes that share a vec_id belong together
+    owned = member.where("vec IS NOT NULL").join(vecs.select("v", "id"), "v").select("vec", "id")
+    shared = owned.groupBy("vec").agg(F.min("id").alias("a"), F.max("id").alias("top")).where("a != top").select("vec", "a")
+    shared = owned.join(shared, "vec").where("id != a").select("a", F.col("id").alias("b")).checkpoint()
     total = vecs.count()
     units = _units(vecs).checkpoint()
     links, graph, found, counts = None, None, None, None
@@ -373,7 +391,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         old = pairs if graph is None else pairs.union(_entries(graph))
         graph, hot = _descend(units, _lists(old, k).checkpoint(), k, threshold, ROUNDS)
         edges = _true_links(_entries(graph).union(pairs).union(hot), vecs, threshold)
-        links = edges if links is None else links.union(edges)
+        links = edges.union(shared) if links is None else links.union(edges)
         found = components(links).checkpoint()
         links, found = _join_components(units, vecs, graph, links, found, k, threshold)
         m = found.withColumnRenamed("node", "id").join(vecs, "id")
@@ -385,10 +403,17 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     else:
         raise RuntimeError(f"recall of the links is {reached:.4f} after {AUDITS} rounds, below {RECALL}")
     per = (vecs.join(found.withColumnRenamed("node", "id"), "id", "left").join(counts, "id", "left")
-           .select("v", F.coalesce("component", "id").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links")))
-    good = member.join(per, "v").select("id", "n_links", "component_id")
-    out = rows.select("id").join(good, "id", "left")
-    return out.select(F.col("id").alias(vec_id), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id")).withColumn("kept", F.col(vec_id) == F.col("component_id"))
+           .select("v", "low", F.coalesce("component", "id").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links")))
+    per = per.join(per.groupBy("c").agg(F.min("low").alias("component_id")), "c").select("v", "n_links", "component_id")
+    good = member.join(per, "v")
+    ids = rows.where("id IS NOT NULL").select("id").distinct()
+    named = good.where("vec IS NOT NULL").groupBy(F.col("vec").alias("id")).agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+    named = ids.join(named, "id", "left").select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    each = F.explode(F.sequence(F.lit(1), F.col("k").cast("int")))
+    no_id = good.where("vec IS NULL").select("n_links", "component_id", each).select(F.lit(None).cast("long").alias("id"), "n_links", "component_id")
+    bad = rows.where("id IS NULL AND x IS NULL").select(each).select(F.lit(None).cast("long").alias("id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
+    out = named.union(no_id).union(bad)
+    return out.select(F.col("id").alias(vec_id), F.col("n_links").cast("long").alias("n_links"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _exact(threshold: float):
@@ -405,14 +430,21 @@ def op3(spark, sf_dir: str) -> DataFrame:
 
 OP3_SQL = r"""
 WITH RECURSIVE
-v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL),
-ok AS (
-  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
-  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+one AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL
+        UNION ALL SELECT vec_id, embedding::DOUBLE[] FROM embeddings WHERE vec_id IS NULL),
+v AS (SELECT row_number() OVER () AS r, vec_id, e FROM one),
+valid AS (
+  SELECT r, list_transform(e, lambda x: CASE WHEN isfinite(x) THEN x ELSE 0 END) AS e FROM v
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+ok AS (SELECT r, e, sqrt(list_dot_product(e, e)) AS norm FROM valid),
 link AS (
-  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
-  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
-reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT a, y FROM reach JOIN link ON b = x)
-SELECT a AS vec_id, (SELECT count(*) FROM link WHERE x = a) AS n_links, min(b) AS component_id, a = min(b) AS kept
-FROM reach GROUP BY a
+  SELECT a.r AS x, b.r AS y FROM ok a JOIN ok b ON a.r <> b.r
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_dot_product(a.e, b.e) / (a.norm * b.norm) END >= 0.95),
+edge AS (SELECT x, y FROM link UNION SELECT a.r, b.r FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.r <> b.r),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT a, y FROM reach JOIN edge ON b = x),
+low AS (SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = b GROUP BY a),
+n AS (SELECT x AS r, count(*) AS n_links FROM link GROUP BY x)
+SELECT any_value(vec_id) AS vec_id, CAST(sum(coalesce(n_links, 0)) AS BIGINT) AS n_links, min(component_id) AS component_id,
+       any_value(vec_id) IS NOT DISTINCT FROM min(component_id) AS kept
+FROM v JOIN low USING (r) LEFT JOIN n USING (r) GROUP BY coalesce('i' || vec_id, 'r' || r)
 """

@@ -239,7 +239,8 @@ def test_embeddings_edge_cases(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "ROUNDS", 1)
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0]), (2, [1.0, 0.1])], "vec_id long, embedding array<float>")
     got = neighbours.near_vectors(df).toPandas().sort_values("vec_id")
-    assert got.vec_id.tolist() == [1, 2] and got.n_links.tolist() == [1, 1] and got.component_id.tolist() == [1, 1]
+    assert got.vec_id.tolist()[:2] == [1, 2] and len(got) == 3 and got.n_links.tolist() == [2, 2, 2] and got.component_id.tolist() == [1, 1, 1]
+    assert got.kept.tolist() == [True, False, False]
     assert neighbours.near_vectors(df.limit(0)).count() == 0
 
 
@@ -273,3 +274,19 @@ def test_held_out_texts_score_better_than_the_base(spark, sf_small):
     r = suffix_tree.op6(spark, sf_small).toPandas()
     held = r[r.held_out]
     assert held.score.sum() > held.base_score.sum()
+
+
+def test_embeddings_of_repeated_and_missing_ids(spark, oracle):
+    """A vec_id with several vectors loses no link, and rows without one stay."""
+    import numpy as np
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(12, 6))
+    rows = [(int(rng.integers(0, 25)) if rng.random() < 0.7 else None, (base[rng.integers(12)] + rng.normal(size=6) * rng.choice([0, 0.05, 0.3])).round(6).tolist()) for _ in range(90)]
+    rows += [(3, None), (50, None), (51, [0.0] * 6), (None, None), (None, [0.0] * 6), (52, [1.0, float("nan")] + [0.0] * 4), (7, [2.0] * 5), (8, [2.0] * 5), (None, [2.0] * 5), (None, [2.0] * 5)]
+    rows += rows[:9]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.near_vectors(df).toPandas()
+    want = oracle(neighbours.OP3_SQL, embeddings=spark.createDataFrame(rows, "vec_id long, embedding array<double>").toPandas().astype({"vec_id": "Int64"}))
+    key = lambda d: sorted((-1 if x.vec_id is None or x.vec_id != x.vec_id else int(x.vec_id), int(x.n_links), -1 if x.component_id != x.component_id or x.component_id is None else int(x.component_id), bool(x.kept))
+                           for x in d.astype(object).where(d.notna(), None).itertuples())
+    assert key(got) == key(want)
