@@ -16,7 +16,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from basketry.session import build_session
 
-    spark = build_session("basketry-tests", master="local[4]", shuffle_partitions=8,
+    spark = build_session("basketry-tests", master="local[8]", shuffle_partitions=8,
                           extra={"spark.driver.memory": "4g"})
     # tests own no cluster: give the checkpoint root a fresh local folder
     if not spark.sparkContext.getCheckpointDir():
