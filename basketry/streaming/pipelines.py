@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry import config, schemas
@@ -244,11 +245,16 @@ def await_all(spark, queries: list[StreamingQuery]) -> None:
     query's failure went unseen); on a failure stop the rest and raise."""
     pending = list(queries)
     while pending:
-        spark.streams.awaitAnyTermination()
-        spark.streams.resetTerminated()
         for q in [q for q in pending if not q.isActive]:
             pending.remove(q)
             if q.exception() is not None:
                 for other in pending:
                     other.stop()
                 raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
+        # forget what ended before, in this run or another; what ends from here on wakes the wait
+        spark.streams.resetTerminated()
+        if pending and all(q.isActive for q in pending):
+            try:
+                spark.streams.awaitAnyTermination()
+            except StreamingQueryException:
+                pass                         # whose it is, the loop finds out
