@@ -98,21 +98,21 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", base=None,
     merged = merged.selectExpr("*", "sum(new) OVER (PARTITION BY doc, key, tid ORDER BY diagonal) AS span")
     span = "OVER (PARTITION BY doc, key, tid, span)"
     merged = merged.selectExpr("*", f"bit_count(bit_or(seen) {span}) AS found", f"max(bit_count(seen)) {span} AS best")
-    out = [F.col("doc").alias(doc_id), "key", F.col("n").cast("long").alias("n_words"), "label", "is_base",
-           F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "coverage"]
-    # one diagonal each: documents, and base phrases that stand there whole
-    plain = merged.where("label IS NULL OR (is_base AND found = size)")
-    plain = plain.selectExpr("*", "diagonal AS start", "diagonal + size + 1 AS end", "CASE WHEN label IS NULL THEN 0.0D ELSE 1.0D END AS coverage").select(*out)
-    # the others: of the 2-grams near the strongest diagonal those that follow each other
-    near = merged.where((F.col("tid") >= 0) & ~F.col("is_base") & (F.col("found") >= cover * F.col("size")))
-    near = near.selectExpr("*", f"min(CASE WHEN bit_count(seen) = best THEN diagonal END) {span} AS anchor").where(f"abs(diagonal - anchor) <= {DRIFT}")
-    spots = near.selectExpr("*", "explode(sequence(0, size - 1)) AS t").where("shiftright(seen, t) & 1 = 1")
-    keys = ["doc", "key", "n", "tid", "label", "is_base", "size", "span"]
+    # one diagonal each (plain): documents, and base phrases that stand there whole; of the
+    # others the 2-grams near the strongest diagonal, as far as they follow each other
+    merged = merged.selectExpr("*", f"min(CASE WHEN bit_count(seen) = best THEN diagonal END) {span} AS anchor",
+                               "label IS NULL OR is_base AND found = size AS plain")
+    near = merged.where(F.col("plain") | ~F.col("is_base") & (F.col("found") >= cover * F.col("size")) & (F.abs(F.col("diagonal") - F.col("anchor")) <= DRIFT))
+    spots = near.selectExpr("*", "explode(CASE WHEN plain THEN array(0) ELSE filter(sequence(0, size - 1), t -> shiftright(seen, t) & 1 = 1) END) AS t")
+    keys = ["doc", "key", "n", "tid", "label", "is_base", "size", "span", "plain"]
     spots = spots.groupBy(*keys, "t").agg(F.min(F.col("diagonal") + F.col("t")).alias("pos"))
     spots = spots.selectExpr("*", "max(pos) OVER (PARTITION BY doc, key, tid, span ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before")
     spans = (spots.where("before IS NULL OR pos > before").groupBy(*keys)
-             .agg(F.min("pos").alias("start"), (F.max("pos") + 2).alias("end"), (F.count(F.lit(1)) / F.col("size")).alias("coverage")))
-    return plain.union(spans.where(F.col("coverage") >= cover).select(*out))
+             .agg(F.min("pos").alias("start"), F.max("pos").alias("last"), F.count(F.lit(1)).alias("m")))
+    spans = spans.selectExpr("*", "CASE WHEN plain THEN 1.0D ELSE m / size END AS coverage", "CASE WHEN plain THEN start + size + 1 ELSE last + 2 END AS end")
+    return spans.where(F.col("coverage") >= cover).select(
+        F.col("doc").alias(doc_id), "key", F.col("n").cast("long").alias("n_words"), "label", "is_base",
+        F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "coverage")
 
 
 def summary(spans: DataFrame, doc_id: str = "doc_id") -> DataFrame:
