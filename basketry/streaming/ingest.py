@@ -92,32 +92,38 @@ class OrdersTable(Table):
         v = versions.version(spark, self.path)
         if v.runs.get(run, -1) >= batch:
             return v
-        one = dedupe_orders(batch_rows, self.key).persist(StorageLevel.MEMORY_AND_DISK)
+        held = []                            # persisted while the batch is written
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return df
+
+        one = hold(dedupe_orders(batch_rows, self.key))
         try:
             if one.isEmpty():
                 return v
             dead, new = [], one
             if v.folders:
-                maybe = self.possible(spark, v, one.select(self.key)).persist(StorageLevel.MEMORY_AND_DISK)
+                maybe = hold(self.possible(spark, v, one.select(self.key)))
                 where = {r[0] for r in maybe.select("folder").distinct().collect()}     # at most the folders
                 if where:
-                    new, replaced = self._settled(spark, v, one, maybe, [f for f in v.folders if f.name in where])
-                    dead = self._note(replaced)
-                maybe.unpersist()
+                    both = hold(self._settled(spark, v, one, maybe, [f for f in v.folders if f.name in where]))
+                    new = both.select(*one.columns)
+                    dead = self._note(both.where(F.col("_old").isNotNull()).select(F.col("_in").alias(FOLDER), self.key))
             return self._append(new, batch, run, dead)
         finally:
-            one.unpersist()
+            for df in reversed(held):
+                df.unpersist()
 
-    def _settled(self, spark, v: Version, one: DataFrame, maybe: DataFrame, folders: list[Folder]) -> tuple[DataFrame, DataFrame]:
-        """(rows of the batch to keep, stored copies that they replace)."""
+    def _settled(self, spark, v: Version, one: DataFrame, maybe: DataFrame, folders: list[Folder]) -> DataFrame:
+        """Rows of the batch to keep, with the stored copy that each replaces, if any."""
         rest = [c for c in one.columns if c != self.key]
         order = ["timestamp", *(c for c in rest if c != "timestamp")]
         stored = self.alive(spark, v, folders).join(maybe.withColumnRenamed("folder", FOLDER), [FOLDER, self.key], "left_semi")
         there = stored.select(self.key, F.col(FOLDER).alias("_in"), F.struct(*order).alias("_old"))
         both = one.join(there, self.key, "left").withColumn("_new", F.struct(*order))
         earlier = F.col("_old").isNull() | (F.col("_new") < F.col("_old"))
-        both = both.where(earlier).persist(StorageLevel.MEMORY_AND_DISK)
-        return both.select(*one.columns), both.where(F.col("_old").isNotNull()).select(F.col("_in").alias(FOLDER), self.key)
+        return both.where(earlier)
 
     def _note(self, replaced: DataFrame) -> list[str]:
         if replaced.isEmpty():
