@@ -54,4 +54,4 @@ AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 PAIR_BLOCK_ITEMS = 512
 
 # Top pairs: items of one block; pairs are summed inside a pair of blocks.
-TOP_BLOCK_ITEMS = 4096
+TOP_BLOCK_ITEMS = 2000
