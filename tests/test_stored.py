@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import time
 
 import pytest
@@ -17,6 +18,7 @@ from basketry.sources import fixtures as fx
 from basketry.sources.events import decode_orders, decode_views, read_json_lines, read_json_lines_stream, split_valid
 from basketry.streaming import health, late, sinks, sketches, versions
 from basketry.streaming import pipelines as pl
+from basketry.streaming.replay import replay, state_partitions
 from basketry.streaming.stored import freshness_cut, windows_upto_now
 
 NOW = pl.Trigger(processing_time=None, available_now=True)
@@ -80,6 +82,17 @@ def test_without_a_stored_table_all_windows_are_rebuilt(spark, sf_small):
     assert q_batch.WINDOW_TABLES.get() is None
 
 
+def test_what_state_tasks_report_grows_no_faster_than_the_feed(spark, sf_small):
+    assert [state_partitions(n, 200) for n in (0, 10**6, 25 * 10**6, 10**8, 10**12)] == [16, 16, 50, 100, 200]
+    assert state_partitions(10**6, 8) == 8
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions", "200")
+    s.conf.set("spark.sql.session.timeZone", "UTC")
+    root = replay(s, sf_small, lambda st, root: [pl.start_revenue(st["orders"], f"{root}/t", f"{root}/ckpt", NOW)], "test-state", 2, ("orders",), order=[0])
+    parts = [f for f in os.listdir(f"{root.removeprefix('file:')}/ckpt/revenue/state/0") if f.isdigit()]
+    assert len(parts) == 16      # 200 tasks sent 200 partitions' metrics each
+
+
 # ---- late rows ---------------------------------------------------------------------
 
 BATCHES = [[_order("a", 10, 0), _order("b", 10, 30)],
