@@ -79,6 +79,25 @@ def test_top_pairs_equal_the_first_of_all_pairs(spark, rows, k, block, most):
     assert got == want
 
 
+@settings(SETTINGS, max_examples=4)
+@given(lines, st.integers(1, 8), st.integers(1, 4), st.integers(1, 5))
+def test_top_pairs_of_baskets_in_pieces(spark, rows, k, block, piece):
+    hot = [("u9", "p0", 0)] * 9 + [("u9", "p1", 0)] * 5     # norms that leave blocks out
+    o = _orders(spark, rows + hot)
+    want = [tuple(r) for r in baskets.top_pairs(baskets.basket_pairs(o), k).collect()]
+    got = [tuple(r) for r in baskets.top_basket_pairs(o, k, block_items=block, basket_items=piece, task_pairs=9).collect()]
+    assert got == want
+
+
+def test_top_pairs_send_a_row_once_however_many_items(spark, monkeypatch):
+    o = _orders(spark, [(f"u{u}", f"p{5 * u + i}", 0) for u in range(40) for i in range(5)])
+    sent, real = [], type(o).repartition
+    monkeypatch.setattr(type(o), "repartition", lambda df, *a: (sent.append(df.count()), real(df, *a))[1])
+    got = baskets.top_basket_pairs(o, 3, block_items=5).collect()
+    assert [tuple(r) for r in got] == [("p0", "p1", 1), ("p0", "p2", 1), ("p0", "p3", 1)]
+    assert sum(sent) <= 200      # 200 rows of (user, item); blocks of items got 32 copies of each
+
+
 @SETTINGS
 @given(lines)
 def test_window_properties(spark, rows):
