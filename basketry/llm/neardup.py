@@ -259,15 +259,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     side = lambda c, x, m: info.select(F.col("doc").alias(c), F.col("sig").alias(x), F.col("n").alias(m))
     edges = (stars.join(side("a", "x", "n"), "a").join(side("b", "y", "m"), "b").select("a", "b", "x", "y", "n", "m")
              .mapInArrow(lean(_agreeing(least, threshold)), "a long, b long")).checkpoint()
-    found = components(edges)
+    # what follows is cut by checkpoints, too: one plan of it all would fill the driver while it is adapted
+    found = components(edges).checkpoint()
     # buckets with members of several components
     member = (slots.select("key", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left")
               .withColumn("component", F.coalesce("component", "doc")))
     mixed = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-    member = member.join(mixed, "key").join(info, "doc")
+    member = member.join(mixed, "key").checkpoint()
+    release(spark)
+    member = member.join(info, "doc")
     units = (block_pairs(member, "key", "doc", block).groupBy("key", "lo", "hi")
              .agg(F.collect_list(F.struct("doc", "component", "n", "mine", "sig")).alias("rows")).select("lo", "hi", "rows"))
-    more = units.mapInArrow(lean(_cross(least, threshold, width)), "a long, b long")
+    more = units.mapInArrow(lean(_cross(least, threshold, width)), "a long, b long").checkpoint()
+    release(spark)
     found = components(edges.union(more)).checkpoint()
     release(spark)
 
@@ -283,7 +287,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     counts = checked.where("b IS NULL").groupBy(F.col("a").alias("doc")).agg(F.sum("links").alias("links"))
     found = components(checked.where("b IS NOT NULL")).checkpoint()
     per_class = (classes.select("doc", "c1", "c2", "low", "size").join(found.withColumnRenamed("node", "doc"), "doc", "left")
-                 .join(counts, "doc", "left").withColumn("component", F.coalesce("component", "doc")))
+                 .join(counts, "doc", "left").withColumn("component", F.coalesce("component", "doc"))).checkpoint()
+    release(spark)
     lowest = per_class.groupBy("component").agg(F.min("low").alias("least"))
     per_class = (per_class.join(lowest, "component")
                  .select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), F.col("low.doc").alias("class_id"), "size", "least", F.coalesce("links", F.lit(0)).alias("links")))

@@ -144,6 +144,14 @@ def test_near_duplicates_of_rows_without_own_id(spark, make_docs):
     assert len(kept) == 6 and all(len(x & set(kept)) == 1 for x in at) and rows[0][1] in kept and rows[5][1] in kept
 
 
+def test_candidate_edges_are_planned_apart(spark, make_docs, monkeypatch):
+    """One plan of the rounds' result, the mixed buckets and their block pairs filled the driver."""
+    seen, real = [], neardup.components
+    monkeypatch.setattr(neardup, "components", lambda e: (seen.append(e._jdf.queryExecution().executedPlan().toString().count("Exchange")), real(e))[1])
+    neardup.near_duplicates(make_docs([(i, f"a b c d e f g h {i % 3}") for i in range(9)])).collect()
+    assert len(seen) == 3 and max(seen) == 0      # the second planned all of it at once
+
+
 def test_banding_reaches_recall():
     for t in (0.5, 0.8, 0.9):
         bands, rows = neardup.banding(t, 0.999)
