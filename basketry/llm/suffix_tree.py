@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import MIX, TOKEN_BYTES, U64, crc_mod, mix, release, table, text_slices, words
+from basketry.llm.common import MIX, TOKEN_BYTES, U64, crc_mod, mix, release, short_shuffles, table, text_slices, words
 from basketry.session import checkpoint_root
 
 DISCOUNT = 0.7
@@ -386,14 +386,15 @@ def score_texts(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", te
 
     settle = lambda messages: messages.groupBy("topic", "part").applyInArrow(_totals, MESSAGE).checkpoint()
     state = src.mapInArrow(_numbered(bits), "b long, data binary").checkpoint()
-    one = settle(state.mapInArrow(_pass1(bits), MESSAGE))
-    release(spark)
-    sums = [unpack(bytes(r.data), "<i8")[0] for r in one.where("b = -1").select("data").toLocalIterator()]
-    kinds, total = (int(sum(s[q] for s in sums)) for q in (0, 1))
-    two = settle(by_batch(one, _pass2(bits, total, kinds), MESSAGE))
-    release(spark)
-    three = settle(by_batch(one.union(two), _pass3(bits, total, kinds), MESSAGE))
-    release(spark)
+    with short_shuffles(spark):
+        one = settle(state.mapInArrow(_pass1(bits), MESSAGE))
+        release(spark)
+        sums = [unpack(bytes(r.data), "<i8")[0] for r in one.where("b = -1").select("data").toLocalIterator()]
+        kinds, total = (int(sum(s[q] for s in sums)) for q in (0, 1))
+        two = settle(by_batch(one, _pass2(bits, total, kinds), MESSAGE))
+        release(spark)
+        three = settle(by_batch(one.union(two), _pass3(bits, total, kinds), MESSAGE))
+        release(spark)
     out = by_batch(one.union(two).union(three), _scores(total, kinds), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 

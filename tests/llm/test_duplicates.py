@@ -278,6 +278,24 @@ def test_score_edge_cases(spark, make_docs):
     assert suffix_tree.score_texts(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_scoring_leaves_no_shuffle_files_of_its_passes(spark, make_docs, monkeypatch):
+    """They stayed until the driver's garbage happened to be collected; so a second run passed its disk limit."""
+    import time
+    kept = lambda: {str(b) for b in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if b.startswith("shuffle")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    option = spark.conf.get(key, None)
+    monkeypatch.setattr(suffix_tree, "release", lambda s: None)
+    docs = make_docs([(i, f"a b c d {i % 3} e f {i % 5}") for i in range(40)]).localCheckpoint()
+    held = kept()
+    scored = suffix_tree.score_texts(docs, common.crc_mod("doc_id", 7) != 2)
+    until = time.time() + 20
+    while kept() - held and time.time() < until:
+        time.sleep(0.2)
+    # the byte count of the texts is no checkpoint: its one-row shuffle may stay
+    assert len({b.split("_")[1] for b in kept() - held}) <= 1
+    assert spark.conf.get(key, None) == option and scored.count() == 40
+
+
 def test_held_out_texts_score_better_than_the_base(spark, sf_small):
     r = suffix_tree.op6(spark, sf_small).toPandas()
     held = r[r.held_out]
