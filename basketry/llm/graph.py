@@ -15,24 +15,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 5
     Alternating large-star and small-star: every node points its larger
     neighbours at its smallest one, then itself and its smaller neighbours, until
     only stars are left (a logarithmic number of rounds in practice).  Each
-    round is written to the shared checkpoint folder.  Hub nodes are pre-aggregated
-    (``min``) and joined back, which adaptive skew joins split.
+    star step is written to the shared checkpoint folder.  Hub nodes are pre-aggregated
+    (``min``) and merge-joined back, which adaptive skew joins split.
     """
     checkpoint_root(edges.sparkSession)
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct().checkpoint()
-    sign = None
     for _ in range(max_rounds):
-        both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        # u > v in every edge; each star is a small plan of its own, as the driver holds a plan many times over while it is adapted
+        low = e.union(e.select("v", "u")).groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        large = e.join(low.hint("merge"), F.col("v") == F.col("k")).select("u", F.col("m").alias("v")).distinct().checkpoint()
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-        small = large.join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        e = small.union(low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct().checkpoint()
-        now = e.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+        # the smallest neighbour's own row stands for the node itself
+        small = large.join(low.hint("merge"), F.col("u") == F.col("k")).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        e = small.distinct().checkpoint()
+        ends = e.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+        loose = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1").agg(F.count(F.lit(1))).first()[0]
         release(edges.sparkSession)
-        if now == sign:
+        if not loose:  # every node hangs on one node that hangs on none
             break
-        sign = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())

@@ -169,6 +169,16 @@ def test_forest_spans(pairs):
     assert components(range(31), edges) == components(range(31), [p for p in pairs if p[0] != p[1]]) and len(edges) < 31
 
 
+def test_components_plan_each_star_apart(spark, monkeypatch):
+    """One plan of a round held its large stars three times; the driver's memory grew with it."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i % 10 < 8] + [(100, i) for i in range(50, 80)], "a long, b long")
+    joins, real = [], type(edges).checkpoint
+    monkeypatch.setattr(type(edges), "checkpoint", lambda df, *a: (joins.append(df._jdf.queryExecution().executedPlan().toString().count("Join ")), real(df, *a))[1])
+    found = {(r.node, r.component) for r in graph.components(edges).collect()}
+    assert max(joins) == 1
+    assert found == {(i, i - i % 10) for i in range(40) if i % 10 < 9} | {(i, 50) for i in [*range(50, 80), 100]}
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + r.randint(0, 40), 100 + r.randint(0, 40)) for _ in range(30)] + [(7, 7)]
